@@ -9,6 +9,8 @@ from threadloom import constants as C
 # Unicode white space and word characters, spelled out because Java's \s, \S and \w are ASCII only.
 SPACE = r"\t-\r\x{1c}-\x{20}\x{85}\p{Z}"
 WORD = r"\p{L}\p{N}_"
+# White space that is more than one plain blank; a lone blank needs no rewriting.
+RAGGED_SPACE = rf" [{SPACE}]+|[{SPACE}&&[^ ]][{SPACE}]*"
 
 
 def strip(c: Column) -> Column:
@@ -21,24 +23,28 @@ def strip_lower(c: Column) -> Column:
 
 
 def mask_urls(c: Column) -> Column:
-    return F.regexp_replace(c, rf"https?://[^{SPACE}]+", "[URL]")
+    """Links as a mark. A plain substring test spares most texts the regular expression."""
+    masked = F.regexp_replace(c, rf"https?://[^{SPACE}]+", "[URL]")
+    return F.when(F.contains(c, F.lit("http")), masked).otherwise(c)
 
 
 def strip_mentions(c: Column) -> Column:
-    return F.regexp_replace(c, rf"@[{WORD}]+", "")
+    bare = F.regexp_replace(c, rf"@[{WORD}]+", "")
+    return F.when(F.contains(c, F.lit("@")), bare).otherwise(c)
 
 
 def clean_text(c: Column) -> Column:
     """Drop zero-width marks, mask links, drop mentions, collapse white space; NULL becomes ''."""
     visible = F.translate(F.coalesce(c, F.lit("")), "\u200b\u200d", "")
     unlinked = strip_mentions(mask_urls(visible))
-    return F.trim(F.regexp_replace(unlinked, rf"[{SPACE}]+", " "))
+    return F.trim(F.regexp_replace(unlinked, RAGGED_SPACE, " "))
 
 
 def ascii_share(c: Column) -> Column:
     """Share of ASCII characters, NULL for empty text."""
-    ascii_only = F.regexp_replace(c, r"[^\x00-\x7F]", "")
-    return F.try_divide(F.length(ascii_only), F.length(c))
+    ascii_only = F.regexp_replace(c, r"[^\x00-\x7F]+", "")
+    kept = F.when(F.octet_length(c) == F.length(c), F.length(c)).otherwise(F.length(ascii_only))
+    return F.try_divide(kept, F.length(c))
 
 
 def is_mostly_ascii(c: Column, share: float = C.ASCII_SHARE) -> Column:
@@ -100,12 +106,19 @@ def to_taxonomy(c: Column) -> Column:
     return F.when(in_taxonomy(label), label).otherwise(C.FALLBACK_INTENT)
 
 
-def percent(c: Column) -> Column:
-    return F.when(c.isNotNull(), F.format_string("%.1f%%", c * 100)).otherwise("N/A")
+def decimals(c: Column, digits: int) -> Column:
+    """Fixed number of decimals, rounded from the exact binary value."""
+    pattern = "0" if digits == 0 else "0." + "0" * digits
+    return F.call_function("format_number", c.cast("double"), F.lit(pattern))
+
+
+def percent(c: Column, digits: int = 1) -> Column:
+    """A share as percent text. Shares are reported from their four-digit values."""
+    return F.coalesce(F.concat(decimals(F.round(c, 4) * 100, digits), F.lit("%")), F.lit("N/A"))
 
 
 def two_decimals(c: Column) -> Column:
-    return F.when(c.isNotNull(), F.format_string("%.2f", c)).otherwise("N/A")
+    return F.coalesce(decimals(F.round(c, 2), 2), F.lit("N/A"))
 
 
 def sampling_key(c: Column, seed: int = C.SEED) -> Column:

@@ -92,8 +92,7 @@ def per_class(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def intent_metrics(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Accuracy, macro F1 over the whole taxonomy, support-weighted F1."""
     classes = per_class(counts, by)
-    summary = classes.groupBy(*by) if by else classes.groupBy()
-    return summary.agg(
+    return _summary(classes, by).agg(
         F.try_divide(F.sum("hits"), F.sum("support")).alias("accuracy"),
         F.avg("f1").alias("macro_f1"),
         _ratio(F.sum(F.col("f1") * F.col("support")), F.sum("support")).alias("weighted_f1"),
@@ -101,16 +100,23 @@ def intent_metrics(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def binary_metrics(df: DataFrame, truth: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
-    """Counts, precision, recall, F1, accuracy and positive rates of a yes/no decision, in one pass."""
-    flags = df.select(*by, truthy_label(F.col(truth)).alias("t"), truthy_label(F.col(predicted)).alias("p"))
-    t, p = F.col("t"), F.col("p")
-    counts = (flags.groupBy(*by) if by else flags.groupBy()).agg(
-        F.count_if(t & p).alias("tp"),
-        F.count_if(~t & p).alias("fp"),
-        F.count_if(t & ~p).alias("fn"),
-        F.count_if(~t & ~p).alias("tn"),
-    )
+def _summary(df: DataFrame, by: Sequence[str]):
+    return df.groupBy(*by) if by else df.groupBy()
+
+
+def binary_counts(df: DataFrame, truth: str, predicted: str, by: Sequence[str] = (), weight: Column | None = None) -> DataFrame:
+    """True and false positives and negatives of two yes/no columns, in one pass."""
+    weight = F.lit(1) if weight is None else weight
+    t, p = F.col(truth), F.col(predicted)
+
+    def total(condition: Column, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(condition, weight)), F.lit(0)).cast("bigint").alias(name)
+
+    return _summary(df, by).agg(total(t & p, "tp"), total(~t & p, "fp"), total(t & ~p, "fn"), total(~t & ~p, "tn"))
+
+
+def binary_scores(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Precision, recall, F1, accuracy and positive rates from the four counts."""
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     total = tp + fp + fn + tn
     return counts.select(
@@ -125,16 +131,35 @@ def binary_metrics(df: DataFrame, truth: str, predicted: str, by: Sequence[str]
     )
 
 
+def binary_metrics(df: DataFrame, truth: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
+    """All numbers about a yes/no decision given as label texts."""
+    flags = df.select(*by, truthy_label(F.col(truth)).alias("t"), truthy_label(F.col(predicted)).alias("p"))
+    return binary_scores(binary_counts(flags, "t", "p", by), by)
+
+
+def outcome_counts(
+    df: DataFrame, intents: tuple[str, str], decisions: tuple[str, str], by: Sequence[str] = ()
+) -> DataFrame:
+    """Counts per combination of true and predicted intent and decision: one pass over the rows
+    feeds the intent and the escalation metrics, and the result is bounded by the label set."""
+    outcomes = df.select(
+        *by,
+        to_taxonomy(F.col(intents[0])).alias("true_label"), to_taxonomy(F.col(intents[1])).alias("pred_label"),
+        truthy_label(F.col(decisions[0])).alias("t"), truthy_label(F.col(decisions[1])).alias("p"),
+    )
+    return outcomes.groupBy(*by, "true_label", "pred_label", "t", "p").agg(F.count("*").alias("n"))
+
+
 def cohen_kappa(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Agreement beyond chance of two label columns."""
     sides = label_distribution(counts, by)
     margins = (sides.groupBy(*by, "label")
                .agg(F.sum(F.when(F.col("side") == "true", F.col("n"))).alias("a"),
                     F.sum(F.when(F.col("side") == "pred", F.col("n"))).alias("b")))
-    chance = (margins.groupBy(*by) if by else margins.groupBy()).agg(
+    chance = _summary(margins, by).agg(
         F.sum(F.coalesce(F.col("a") * F.col("b"), F.lit(0)).cast("double")).alias("ab"), F.sum("a").alias("n")
     )
-    agreed = (counts.groupBy(*by) if by else counts.groupBy()).agg(
+    agreed = _summary(counts, by).agg(
         F.sum(F.when(F.col("true_label") == F.col("pred_label"), F.col("n")).otherwise(0)).alias("same")
     )
     both = chance.join(agreed, list(by)) if by else chance.withColumn("same", agreed.scalar())

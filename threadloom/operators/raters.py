@@ -6,14 +6,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from threadloom import constants as C
 from threadloom.functions.stats import correlation_p
-from threadloom.operators.sampling import sample_rows
+from threadloom.operators.sampling import BROADCAST_SAMPLE, sample_rows
 
 
 def judge_aggregate(scores: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Mean and population deviation per dimension, one pass."""
     names = (*C.DIMENSIONS, "overall")
     measures = [f(d).alias(f"{tag}_{d}") for d in names for tag, f in (("mean", F.avg), ("std", F.stddev_pop))]
-    row = (scores.groupBy(*by) if by else scores.groupBy()).agg(*measures, F.count("*").alias("n_judged"))
+    grouped = scores.groupBy(*by) if by else scores.groupBy()
+    row = grouped.agg(*measures, F.count("*").alias("n_judged"))
     entries = [
         F.struct(F.lit(d).alias("dimension"), F.col(f"mean_{d}").alias("mean"), F.col(f"std_{d}").alias("std"))
         for d in names
@@ -28,7 +29,9 @@ def judge_subsample(predictions: DataFrame, n: int = C.JUDGE_SAMPLE, seed: int =
 
 def human_sheet(predictions: DataFrame, golden: DataFrame, n: int = C.JUDGE_SAMPLE, seed: int = C.SEED) -> DataFrame:
     """Sampled rows with empty score cells. The sample is drawn first, so the join is small."""
-    chosen = F.broadcast(judge_subsample(predictions.select("example_id", "query", "reply"), n, seed))
+    chosen = judge_subsample(predictions.select("example_id", "query", "reply"), n, seed)
+    if n <= BROADCAST_SAMPLE:
+        chosen = F.broadcast(chosen)
     rows = golden.select("example_id", "brand_response_actual").join(chosen, "example_id")
     blank = [F.lit("").alias(f"human_{c}") for c in (*C.DIMENSIONS, "notes")]
     return rows.select(

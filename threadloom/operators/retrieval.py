@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from threadloom import constants as C
+from threadloom.functions.text import decimals
 from threadloom.functions.vectors import l2_normalize
 
 # Values (rows x dimensions) a side may have to be sent to every executor: 32 MiB of doubles.
@@ -213,9 +214,9 @@ def neighbours_nested(hits: DataFrame) -> DataFrame:
 def retrieval_context(nested: DataFrame, n: int = C.NEIGHBOUR_COUNT) -> DataFrame:
     """Neighbours as the text block of a reply prompt."""
     def example(entry, i):
-        head = F.format_string("Example %d (similarity: %.2f):", i + 1, entry["score"])
+        head = F.concat(F.lit("Example "), (i + 1).cast("string"), F.lit(" (similarity: "), decimals(entry["score"], 2))
         return F.concat(
-            head, F.lit("\n  Customer: "), entry["query"], F.lit("\n  Brand response: "), entry["response"]
+            head, F.lit("):\n  Customer: "), entry["query"], F.lit("\n  Brand response: "), entry["response"]
         )
 
     parts = F.transform(F.slice("similar_threads", 1, n), example)

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from threadloom import constants as C
 from threadloom.functions.text import prefix_key, sampling_key
 
-# Samples up to this size may be broadcast to filter a large table.
-BROADCAST_SAMPLE = 100_000
+# Samples up to this many rows may be broadcast to filter a large table.
+BROADCAST_SAMPLE = 10_000
 
 
 def keep_first(df: DataFrame, key: str, *order: str) -> DataFrame:

@@ -1,17 +1,20 @@
-"""Thread rebuild: a breadth-first walk from every root, one join per level.
+"""Thread rebuild: from every root, all messages that replies lead to, in the order of a queue.
 
-The walk keeps the visit order of a queue: level first, then the order of the parents, then the
-order of the children. A message that is missing, empty or mostly non-ASCII ends its branch.
+The visit order is level first, then the order of the parents, then the order of the children. A
+message that is missing, empty or mostly non-ASCII ends its branch.
 
-No step gathers a whole thread in one task. The children of a very popular message are split over
-salted edge groups, the order inside a level comes from a distributed sort, and the final running
-number is a sum over the small per-chunk counts of a thread.
+Two ways give the same rows. Where every message has one parent, replies form trees: each message
+finds its root by doubling its ancestor distance, so depth 1,000 takes ten rounds. Threads in which a
+message can be met twice are walked level by level. No step gathers a whole thread in one task: the
+children of a very popular message are split over salted groups or skew-join pieces, the order comes
+from a distributed sort, and the running number is a sum over the small per-chunk counts of a thread.
 """
 
 from __future__ import annotations
 
 import math
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -27,30 +30,119 @@ BROADCAST_ROWS = 100_000
 MERGE_LEVELS = 32
 
 _VISIT = ["root", "tid", "level", "pos", "ok", "is_brand", "multi", "fan"]
+_OUT = ["root", "tid", "level", "pos", "ok", "is_brand"]
 
 
-def walk_edges(slim: DataFrame, partitions: int) -> DataFrame:
-    """Edges a walk can use: kept source, existing target, one row per pair, target flags attached.
-    Stored by source, so that no level of the walk has to shuffle them again."""
+def walk_edges(slim: DataFrame) -> DataFrame:
+    """Edges a walk can use: kept source, existing target, one row per pair, target flags attached."""
     raw = graph.reply_edges(slim).where("src <> dst")
     order = graph.edge_order(F.col("kind"), F.col("place"))
     pairs = raw.groupBy("src", "dst").agg(F.min(order).alias("ord"))
     targets = slim.select(F.col("tweet_id").alias("dst"), "ok", "is_brand")
     sources = slim.where("ok").select(F.col("tweet_id").alias("src"))
-    usable = pairs.join(targets, "dst").join(sources, "src", "left_semi")
-    usable = usable.select("src", "dst", "ord", "ok", "is_brand", F.lit(False).alias("multi"), F.lit(1).alias("fan"))
-    return materialize(usable.repartition(partitions, "src"))
+    return materialize(pairs.join(targets, "dst").join(sources, "src", "left_semi"))
 
 
-def _widest(edges: DataFrame) -> tuple[int, int]:
-    """Largest number of children and of parents of one message."""
+class Shape(NamedTuple):
+    """What the edges look like: largest child and parent counts, roots that are replied into."""
+
+    children: int
+    parents: int
+    entered_roots: int
+
+
+def edge_shape(edges: DataFrame, roots: DataFrame) -> Shape:
     def most(column: str) -> DataFrame:
         sizes = edges.groupBy(column).agg(F.count("*").alias("n"))
-        return sizes.agg(F.lit(column).alias("side"), F.coalesce(F.max("n"), F.lit(0)).alias("most"))
+        return sizes.agg(F.lit(column).alias("side"), F.coalesce(F.max("n"), F.lit(0)).alias("n"))
+
+    entered = roots.join(edges.select(F.col("dst").alias("root")), "root", "left_semi")
+    entered = entered.agg(F.lit("roots").alias("side"), F.count("*").alias("n"))
+    found = {r["side"]: r["n"] for r in most("src").unionByName(most("dst")).unionByName(entered).collect()}
+    return Shape(found["src"], found["dst"], found["roots"])
+
+
+# --- trees: ancestor doubling ---------------------------------------------------------------
+
+def split_irregular(edges: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Edges into messages with one parent, and the others: into a shared message or into a root."""
+    shared = edges.groupBy("dst").agg(F.count("*").alias("n")).where("n > 1").select("dst")
+    irregular = shared.unionByName(roots.select(F.col("root").alias("dst"))).distinct()
+    return edges.join(irregular, "dst", "left_anti"), edges.join(irregular, "dst", "left_semi")
+
+
+def _tree_rows(edges: DataFrame) -> DataFrame:
+    """One row per message below a top. ``path`` holds the order among siblings, but only where there
+    are siblings, so that long back-and-forth chains stay short rows."""
+    children = edges.groupBy("src").agg(F.count("*").alias("n_children"))
+    several = children.where("n_children > 1").select("src", F.lit(True).alias("branching"))
+    inner = children.select(F.col("src").alias("tid"), F.lit(True).alias("internal"))
+    step = F.when(F.col("branching"), F.array("ord")).otherwise(F.array().cast("array<bigint>"))
+    rows = edges.join(several, "src", "left").select(
+        F.col("dst").alias("tid"), F.col("src").alias("anc"), F.lit(1).alias("dist"), step.alias("path"), "ok", "is_brand"
+    )
+    return rows.join(inner, "tid", "left").withColumn("internal", F.coalesce("internal", F.lit(False)))
 
-    found = {r["side"]: r["most"] for r in most("src").unionByName(most("dst")).collect()}
-    return found["src"], found["dst"]
 
+def find_tops(edges: DataFrame) -> DataFrame:
+    """Top, distance and sibling path of every message below a top; every target has one parent.
+
+    Each round joins the rows still on their way with the row of their current ancestor. A round that
+    finishes nothing leaves only closed circles, which no top leads to.
+    """
+    columns = ["tid", "anc", "dist", "path", "ok", "is_brand", "internal"]
+    active, finished = materialize(_tree_rows(edges)).select(*columns, F.lit(False).alias("done")), []
+    while True:
+        ancestors = reduce(DataFrame.unionByName, [*finished, active]).where("internal").select(
+            F.col("tid").alias("anc"), F.col("anc").alias("up"), F.col("dist").alias("up_dist"),
+            F.col("path").alias("up_path"), F.col("done").alias("up_done"),
+        )
+        is_top = F.col("up").isNull()
+        moved = active.drop("done").join(ancestors, "anc", "left").select(
+            "tid",
+            F.coalesce("up", "anc").alias("anc"),
+            (F.col("dist") + F.coalesce("up_dist", F.lit(0))).alias("dist"),
+            F.when(is_top, F.col("path")).otherwise(F.concat("up_path", "path")).alias("path"),
+            "ok", "is_brand", "internal",
+            F.coalesce("up_done", F.lit(True)).alias("done"),
+        )
+        table, counts = materialize_counted(moved, done=F.col("done"))
+        finished.append(table.where("done"))
+        active = table.where("NOT done")
+        if counts["done"] in (0, counts["rows"]):
+            return reduce(DataFrame.unionByName, finished)
+
+
+def tree_visits(below: DataFrame, roots: DataFrame) -> DataFrame:
+    """Visits of the trees under ``roots``; ``pos`` follows the sibling paths of a level."""
+    members = below.withColumnRenamed("anc", "root").join(roots.select("root"), "root", "left_semi")
+    visits = members.select("root", "tid", F.col("dist").alias("level"), "path", "ok", "is_brand")
+    tops = roots.select(
+        "root", F.col("root").alias("tid"), F.lit(0).alias("level"), F.array().cast("array<bigint>").alias("path"),
+        F.lit(True).alias("ok"), "is_brand",
+    )
+    ordered = visits.unionByName(tops).orderBy("root", "level", "path", "tid")
+    return materialize(ordered.withColumn("pos", F.monotonically_increasing_id()).select(*_OUT))
+
+
+def visit_threads(
+    edges: DataFrame, roots: DataFrame, partitions: int = 1, max_levels: int = 10_000, group_edges: int = GROUP_EDGES
+) -> DataFrame:
+    """All visits: trees by doubling, and a level walk for the roots that reach an irregular message."""
+    shape = edge_shape(edges, roots)
+    if shape.parents <= 1 and not shape.entered_roots:
+        return tree_visits(find_tops(edges), roots)
+    regular, irregular = split_irregular(edges, roots)
+    below = find_tops(materialize(regular))
+    exits = irregular.select(F.col("src").alias("tid")).distinct()
+    tops = exits.join(below.select("tid", "anc"), "tid", "left").select(F.coalesce("anc", "tid").alias("root")).distinct()
+    tangled = materialize(roots.join(tops, "root", "left_semi"))
+    clean = roots.join(tangled.select("root"), "root", "left_anti")
+    walked = walk(edges, tangled, shape, partitions, max_levels, group_edges)
+    return tree_visits(below, clean).unionByName(walked)
+
+
+# --- level walk -----------------------------------------------------------------------------
 
 def _split_hot_sources(edges: DataFrame, group_edges: int, partitions: int) -> tuple[DataFrame, DataFrame]:
     """Spread the children of very popular messages over salts; ``fan`` tells a visit how many
@@ -61,28 +153,30 @@ def _split_hot_sources(edges: DataFrame, group_edges: int, partitions: int) -> t
     salt = F.pmod(F.xxhash64("dst"), F.coalesce("groups", F.lit(1))).cast("int")
     salted = edges.join(hot, "src", "left").withColumn("salt", salt).drop("groups")
     onward = hot.withColumnRenamed("src", "dst")
-    fanned = salted.join(onward, "dst", "left").withColumn("fan", F.coalesce("groups", F.lit(1))).drop("groups")
+    fanned = salted.drop("fan").join(onward, "dst", "left").withColumn("fan", F.coalesce("groups", F.lit(1))).drop("groups")
     return materialize(fanned.repartition(partitions, "src", "salt")), hot
 
 
 def walk(
-    edges: DataFrame, roots: DataFrame, partitions: int = 1, max_levels: int = 10_000, group_edges: int = GROUP_EDGES
+    edges: DataFrame, roots: DataFrame, shape: Shape, partitions: int = 1, max_levels: int = 10_000,
+    group_edges: int = GROUP_EDGES,
 ) -> DataFrame:
     """Visits ``(root, tid, level, pos, ok, is_brand)``; ``pos`` orders the visits of a level.
 
     ``edges`` as made by :func:`walk_edges`; ``roots(root, is_brand)`` holds kept messages only.
     More levels than ``max_levels`` raise an error, nothing is cut off.
     """
-    most_children, most_parents = _widest(edges)
-    repeated, salted = most_parents > 1, most_children > group_edges
+    repeated, salted = shape.parents > 1, shape.children > group_edges
     frontier = roots.select(
         "root", F.col("root").alias("tid"), F.lit(0).alias("level"), F.lit(0).cast("bigint").alias("pos"),
         F.lit(True).alias("ok"), "is_brand", F.lit(False).alias("multi"), F.lit(1).alias("fan"),
     )
-    if repeated:
-        shared = edges.groupBy("dst").agg((F.count("*") > 1).alias("multi"))
-        edges = materialize(edges.drop("multi").join(shared, "dst").repartition(partitions, "src"))
-    if salted:
+    shared = edges.groupBy("dst").agg((F.count("*") > 1).alias("multi"))
+    edges = edges.join(shared, "dst") if repeated else edges.withColumn("multi", F.lit(False))
+    edges = edges.withColumn("fan", F.lit(1))
+    if not salted:
+        edges = materialize(edges.repartition(partitions, "src"))
+    else:
         edges, hot = _split_hot_sources(edges, group_edges, partitions)
         frontier = frontier.join(hot.withColumnRenamed("src", "tid"), "tid", "left")
         frontier = frontier.withColumn("fan", F.coalesce("groups", F.lit(1))).select(*_VISIT)
@@ -103,7 +197,7 @@ def walk(
             levels.append(frontier)
         if len(levels) == MERGE_LEVELS:
             done, levels = done + [materialize(reduce(DataFrame.unionByName, levels))], []
-    return reduce(DataFrame.unionByName, done + levels).select("root", "tid", "level", "pos", "ok", "is_brand")
+    return reduce(DataFrame.unionByName, done + levels).select(*_OUT)
 
 
 def _expand(frontier: DataFrame, edges: DataFrame, size: int | None, salted: bool) -> DataFrame:
@@ -177,7 +271,7 @@ def build_threads(
     )
     partitions = max(1, math.ceil(counts["rows"] / PARTITION_EDGES))
     roots = graph.thread_roots(slim, orphan_roots).where("ok").select(F.col("tweet_id").alias("root"), "is_brand")
-    visits = walk(walk_edges(slim, partitions), roots, partitions, max_levels, group_edges)
+    visits = visit_threads(walk_edges(slim), roots, partitions, max_levels, group_edges)
     turns = number_turns(visits).join(
         nodes.select(F.col("tweet_id").alias("tid"), "author_id", "text"), "tid"
     )

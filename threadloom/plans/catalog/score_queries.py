@@ -302,7 +302,7 @@ def system_comparison(spark, sf_dir):
 
 
 _CELLS = ", ".join(
-    f"CASE WHEN {s} IS NULL THEN 'N/A' WHEN l.family = 'reply_quality' THEN printf('%.2f', {s}) ELSE printf('%.1f%%', {s} * 100) END AS {s}"
+    f"CASE WHEN {s} IS NULL THEN 'N/A' WHEN l.family = 'reply_quality' THEN printf('%.2f', round({s}, 2)) ELSE printf('%.1f%%', round({s}, 4) * 100) END AS {s}"
     for s in evaluation.SYSTEMS
 )
 
@@ -317,7 +317,7 @@ def report_rows(spark, sf_dir):
 
 
 @query("per_class_report", f"""{_LONG}
-    SELECT label AS class, printf('%.0f%%', precision * 100) AS precision, printf('%.0f%%', recall * 100) AS recall,
-           printf('%.0f%%', f1 * 100) AS f1, support FROM per_class WHERE system = 'pipeline'""")
+    SELECT label AS class, printf('%.0f%%', round(precision, 4) * 100) AS precision, printf('%.0f%%', round(recall, 4) * 100) AS recall,
+           printf('%.0f%%', round(f1, 4) * 100) AS f1, support FROM per_class WHERE system = 'pipeline'""")
 def per_class_report(spark, sf_dir):
     return evaluation.per_class_report(_evaluated(spark, sf_dir))

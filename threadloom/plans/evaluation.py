@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from threadloom.functions.text import percent, two_decimals
 from threadloom.operators import metrics, raters
+from threadloom.session import materialize
 
 SYSTEM = ("system",)
 SYSTEMS = ("pipeline", "simple_baseline", "trivial_baseline")
@@ -26,16 +27,22 @@ def evaluate(
 ) -> DataFrame:
     """Long table ``(system, family, metric, class, value)``.
 
+    The rows are read once: every metric follows from one stored table of outcome counts, which has
+    at most labels x labels x 4 rows per system.
+
     ``predictions`` carries a ``system`` column, so all systems share each aggregate. ``judge`` is
     ``(system, example_id, ratings)``; with a filled ``human`` sheet the agreement is reported too.
     """
     truth = golden.select("example_id", F.col("intent").alias("gold_intent"), F.col("escalate").alias("gold_escalate"))
     aligned = metrics.align(predictions.select("system", "example_id", "intent", "escalate"), truth)
-    counts = metrics.pair_counts(aligned, "gold_intent", "intent", SYSTEM)
+    outcomes = materialize(
+        metrics.outcome_counts(aligned, ("gold_intent", "intent"), ("gold_escalate", "escalate"), SYSTEM)
+    )
+    counts = outcomes.groupBy("system", "true_label", "pred_label").agg(F.sum("n").alias("n"))
     classes = metrics.per_class(counts, SYSTEM)
     matrix = metrics.confusion_matrix(counts, SYSTEM)
     spread = metrics.label_distribution(counts, SYSTEM)
-    binary = metrics.binary_metrics(aligned, "gold_escalate", "escalate", SYSTEM)
+    binary = metrics.binary_scores(metrics.binary_counts(outcomes, "t", "p", SYSTEM, F.col("n")), SYSTEM)
     parts = [
         _melt(metrics.intent_metrics(counts, SYSTEM), "intent", ("accuracy", "macro_f1", "weighted_f1", "n")),
         _melt(classes, "intent_class", ("precision", "recall", "f1", "support"), F.col("label")),
@@ -96,5 +103,5 @@ def per_class_report(long: DataFrame, system: str = SYSTEMS[0]) -> DataFrame:
     """Per-class table of one system, whole percents and a plain support count."""
     rows = long.where((F.col("system") == system) & (F.col("family") == "intent_class"))
     wide = rows.groupBy("class").pivot("metric", ["precision", "recall", "f1", "support"]).agg(F.first("value"))
-    shown = [F.format_string("%.0f%%", F.col(m) * 100).alias(m) for m in ("precision", "recall", "f1")]
+    shown = [percent(F.col(m), 0).alias(m) for m in ("precision", "recall", "f1")]
     return wide.select("class", *shown, F.col("support").cast("bigint").alias("support"))
