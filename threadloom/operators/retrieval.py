@@ -62,7 +62,9 @@ class _TopHits:
         self.floor = np.full(len(ids), -np.inf)
 
     def add(self, docs: np.ndarray, vectors: np.ndarray) -> None:
-        step = max(1, SCORES_AT_ONCE // max(1, len(self.ids)))
+        if not len(self.ids):
+            return
+        step = max(1, SCORES_AT_ONCE // len(self.ids))
         for at in range(0, len(docs), step):
             self._add_block(docs[at:at + step], vectors[at:at + step])
 
