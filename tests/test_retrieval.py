@@ -92,7 +92,7 @@ def test_leak_rate(spark):
 def test_text_vectors_rank_the_same_words_first(spark):
     texts = ["battery drains fast", "cannot log in to account", "battery empty very fast", "log in fails", ""]
     df = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
-    encoded = retrieval.text_vectors(df)
+    encoded = retrieval.text_vectors(df, "id")
     lengths = [sum(x * x for x in r["embedding"]) for r in encoded.orderBy("id").collect()]
     assert np.allclose(lengths, [1, 1, 1, 1, 0])
     documents = encoded.select("id", F.col("embedding").alias("vector"))

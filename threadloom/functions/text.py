@@ -9,6 +9,8 @@ from threadloom import constants as C
 # Unicode white space and word characters, spelled out because Java's \s, \S and \w are ASCII only.
 SPACE = r"\t-\r\x{1c}-\x{20}\x{85}\p{Z}"
 WORD = r"\p{L}\p{N}_"
+ZERO_WIDTH = ("\u200b", "\u200d")
+ASCII_BREAKS = ("\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x1d", "\x1e", "\x1f")
 # White space that is more than one plain blank; a lone blank needs no rewriting.
 RAGGED_SPACE = rf" [{SPACE}]+|[{SPACE}&&[^ ]][{SPACE}]*"
 
@@ -23,21 +25,35 @@ def strip_lower(c: Column) -> Column:
 
 
 def mask_urls(c: Column) -> Column:
-    """Links as a mark. A plain substring test spares most texts the regular expression."""
-    masked = F.regexp_replace(c, rf"https?://[^{SPACE}]+", "[URL]")
-    return F.when(F.contains(c, F.lit("http")), masked).otherwise(c)
+    return F.regexp_replace(c, rf"https?://[^{SPACE}]+", "[URL]")
 
 
 def strip_mentions(c: Column) -> Column:
-    bare = F.regexp_replace(c, rf"@[{WORD}]+", "")
-    return F.when(F.contains(c, F.lit("@")), bare).otherwise(c)
+    return F.regexp_replace(c, rf"@[{WORD}]+", "")
+
+
+def _contains_any(c: Column, marks: tuple[str, ...]) -> Column:
+    found = F.contains(c, F.lit(marks[0]))
+    for mark in marks[1:]:
+        found = found | F.contains(c, F.lit(mark))
+    return found
 
 
 def clean_text(c: Column) -> Column:
-    """Drop zero-width marks, mask links, drop mentions, collapse white space; NULL becomes ''."""
-    visible = F.translate(F.coalesce(c, F.lit("")), "\u200b\u200d", "")
-    unlinked = strip_mentions(mask_urls(visible))
-    return F.trim(F.regexp_replace(unlinked, RAGGED_SPACE, " "))
+    """Drop zero-width marks, mask links, drop mentions, collapse white space; NULL becomes ''.
+
+    Most messages need less than the whole chain. Substring tests on the raw text pick the shortest
+    one: plain ASCII text with single blanks runs no regular expression.
+    """
+    c = F.coalesce(c, F.lit(""))
+    bare = strip_mentions(mask_urls(F.translate(c, "".join(ZERO_WIDTH), "")))
+    marked = _contains_any(c, ("@", "http", *ZERO_WIDTH))
+    ragged = _contains_any(c, ("  ", *ASCII_BREAKS)) | (F.octet_length(c) != F.length(c))
+    return F.trim(
+        F.when(marked, F.regexp_replace(bare, RAGGED_SPACE, " "))
+        .when(ragged, F.regexp_replace(c, RAGGED_SPACE, " "))
+        .otherwise(c)
+    )
 
 
 def ascii_share(c: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from threadloom.functions.text import clean_text, is_mostly_ascii, null_if_missing, split_ids
+from threadloom.session import materialize
 from threadloom.sources.tweets import with_inbound_flag
 
 # Children named in a parent's own list come after those that point to it.
@@ -63,8 +64,9 @@ def matches_brand(author: Column, brand: str, exact: bool = False) -> Column:
 
 
 def brand_authors(tweets: DataFrame, brand: str, exact: bool = False) -> DataFrame:
-    """Outbound authors that match the brand; when none does, the most prolific one."""
-    authors = outbound_authors(tweets)
+    """Outbound authors that match the brand; when none does, the most prolific one. The messages
+    are read once, for the table of authors; the choice is made on that."""
+    authors = materialize(outbound_authors(tweets))
     matched = authors.withColumn("matched", matches_brand(F.col("author_id"), brand, exact))
     any_match = matched.agg(F.max("matched")).scalar()
     busiest = authors.orderBy(F.desc("n_messages"), "author_id").limit(1).select("author_id").scalar()

@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from threadloom import constants as C
 from threadloom.schemas import TURN
+from threadloom.session import materialize_counted
 
 # Turns per nested row. Longer threads continue on further pages, nothing is left out.
 PAGE_TURNS = 1_000
+# Threads (id and one number each) that may be broadcast.
+BROADCAST_ROWS = 100_000
 
 
 def _spoken(role: str) -> Column:
@@ -21,20 +24,20 @@ def first_pairs(turns: DataFrame, key: str = "thread_id", carry: Sequence[str] =
     """``(key, customer_seq, customer_query, brand_seq, brand_response)`` per thread that has both.
 
     The first customer turn and the first brand turn are mergeable aggregates, so each map task
-    sends one row per thread. Only threads whose brand spoke before the customer need a second look.
+    sends one row per thread. These rows are stored once. Only threads whose brand spoke before the
+    customer need a second look at the turns, and usually there are none or few.
     """
     carried = [F.min(c).alias(c) for c in carry]
     firsts = turns.groupBy(key).agg(
         F.min(_spoken("customer")).alias("c"), F.min(_spoken("brand")).alias("b"), *carried
     ).where("c IS NOT NULL AND b IS NOT NULL")
-    answered = firsts.where("b.seq > c.seq")
-    waiting = firsts.where("b.seq < c.seq").drop("b")
-    brand_turns = turns.where(F.col("role") == "brand").select(key, F.struct("seq", "text").alias("later"))
-    brand_turns = brand_turns.where("coalesce(later.text, '') <> ''")
-    found = brand_turns.join(waiting.select(key, F.col("c.seq").alias("asked")), key).where("later.seq > asked")
-    found = found.groupBy(key).agg(F.min("later").alias("b"))
-    late = waiting.join(found, key)
-    return answered.unionByName(late.select(*answered.columns)).select(
+    brand_first = F.col("b.seq") < F.col("c.seq")
+    firsts, counts = materialize_counted(firsts, waiting=brand_first)
+    pairs = firsts.where(~brand_first)
+    if counts["waiting"]:
+        late = _late_answers(turns, key, firsts.where(brand_first).drop("b"), counts["waiting"])
+        pairs = pairs.unionByName(late.select(*pairs.columns))
+    return pairs.select(
         key,
         *carry,
         F.col("c.seq").alias("customer_seq"),
@@ -44,6 +47,16 @@ def first_pairs(turns: DataFrame, key: str = "thread_id", carry: Sequence[str] =
     )
 
 
+def _late_answers(turns: DataFrame, key: str, waiting: DataFrame, n_waiting: int) -> DataFrame:
+    """First brand turn after the question, for threads that do not start with the question."""
+    asked = waiting.select(key, F.col("c.seq").alias("asked"))
+    if n_waiting <= BROADCAST_ROWS:
+        asked = F.broadcast(asked)
+    answers = turns.where(_spoken("brand").isNotNull()).select(key, F.struct("seq", "text").alias("b"))
+    later = answers.join(asked, key).where("b.seq > asked")
+    return waiting.join(later.groupBy(key).agg(F.min("b").alias("b")), key)
+
+
 def first_turns(turns: DataFrame, n: int = C.CONTEXT_TURNS, key: str = "thread_id") -> DataFrame:
     """The first ``n`` turns of every thread; map tasks already keep no more than ``n`` per thread."""
     order = Window.partitionBy(key).orderBy("seq")

@@ -212,6 +212,7 @@ def assemble_predictions(examples: DataFrame, responses: DataFrame, nested: Data
     )
 
 
-def pending(queries: DataFrame, done: DataFrame, key: str = "example_id") -> DataFrame:
+def pending(queries: DataFrame, done: DataFrame, key: str | list[str] = "example_id") -> DataFrame:
     """Queries without a stored result."""
-    return queries.join(done.select(key), key, "left_anti")
+    keys = [key] if isinstance(key, str) else key
+    return queries.join(done.select(*keys), keys, "left_anti")

@@ -18,13 +18,16 @@ from pyspark.sql import DataFrame, Window, functions as F
 from threadloom import constants as C
 from threadloom.functions.text import decimals
 from threadloom.functions.vectors import l2_normalize
+from threadloom.session import materialize, materialize_counted
 
 # Values (rows x dimensions) a side may have to be sent to every executor: 32 MiB of doubles.
 BROADCAST_VALUES = 4_194_304
-# Rows of either side per grid cell, and scores held at once by a task.
-CELL_QUERIES = 16_384
-CELL_DOCUMENTS = 131_072
+# Values per grid cell side (128 MiB of documents), and scores held at once by a task.
+CELL_QUERY_VALUES = 2_097_152
+CELL_DOCUMENT_VALUES = 16_777_216
 SCORES_AT_ONCE = 4_194_304
+# Hits (four numbers each) that may be broadcast.
+BROADCAST_HITS = 100_000
 # Scores are compared at this precision, so that equal vectors tie and the smaller id wins.
 SCORE_DIGITS = 9
 
@@ -98,12 +101,17 @@ def _rank(hits: DataFrame, k: int) -> DataFrame:
     return ranked.select("query_id", "rank", "doc_id", "score")
 
 
+def _dimensions(side: DataFrame) -> int | None:
+    first = side.select(F.size("vector").alias("d")).head()
+    return None if first is None else first["d"]
+
+
 def _small_block(side: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
     """The whole side when it is small, else None. Never fetches more than the bound plus one row."""
-    first = side.select(F.size("vector").alias("d")).head()
-    if first is None:
+    width = _dimensions(side)
+    if width is None:
         return np.empty(0, np.int64), np.empty((0, 1))
-    bound = max(1, BROADCAST_VALUES // max(1, first["d"]))
+    bound = max(1, BROADCAST_VALUES // max(1, width))
     table = side.limit(bound + 1).toArrow()
     if table.num_rows > bound:
         return None
@@ -137,10 +145,11 @@ def _documents_to_queries(block, queries: DataFrame, k: int, exclude_self: bool)
 
 
 def _grid(queries: DataFrame, documents: DataFrame, k: int, exclude_self: bool,
-          cell_queries: int, cell_documents: int) -> DataFrame:
-    """Every query row meets every document column in exactly one cell."""
-    rows = max(1, math.ceil(queries.count() / cell_queries))
-    columns = max(1, math.ceil(documents.count() / cell_documents))
+          cell_queries: int | None, cell_documents: int | None) -> DataFrame:
+    """Every query row meets every document column in exactly one cell of bounded size."""
+    width = max(1, _dimensions(queries) or 1)
+    rows = max(1, math.ceil(queries.count() / (cell_queries or max(1, CELL_QUERY_VALUES // width))))
+    columns = max(1, math.ceil(documents.count() / (cell_documents or max(1, CELL_DOCUMENT_VALUES // width))))
 
     def lane(n: int):
         return F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
@@ -165,8 +174,8 @@ def knn_topk(
     *,
     exclude_self: bool = False,
     way: str = "auto",
-    cell_queries: int = CELL_QUERIES,
-    cell_documents: int = CELL_DOCUMENTS,
+    cell_queries: int | None = None,
+    cell_documents: int | None = None,
 ) -> DataFrame:
     """Top ``k`` documents of every query: ``(query_id, rank, doc_id, score)``.
 
@@ -197,9 +206,13 @@ def retrieval_corpus(pairs: DataFrame, vectors: DataFrame, key: str = "thread_id
 
 
 def with_documents(hits: DataFrame, corpus: DataFrame, key: str = "thread_id") -> DataFrame:
-    """Hits with the texts of their documents."""
+    """Hits with the texts of their documents. Stored first: the search then runs once, and few hits
+    go to the texts instead of shuffling those."""
+    hits, counts = materialize_counted(hits)
+    if counts["rows"] <= BROADCAST_HITS:
+        hits = F.broadcast(hits)
     texts = corpus.select(F.col(key).alias("doc_id"), "customer_query", "brand_response")
-    return hits.join(texts, "doc_id")
+    return texts.join(hits, "doc_id")
 
 
 def neighbours_nested(hits: DataFrame) -> DataFrame:
@@ -232,20 +245,20 @@ def leak_rate(hits: DataFrame) -> DataFrame:
                    F.round(F.avg("leaked"), 4).alias("leak_rate"))
 
 
-def text_vectors(df: DataFrame, text: str = "text", dimensions: int = 256) -> DataFrame:
-    """TF-IDF vectors of hashed words, unit length: the built-in stand-in for a sentence encoder."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
+def text_vectors(df: DataFrame, key: str, text: str = "text", dimensions: int = 256) -> DataFrame:
+    """``(key, embedding)``: TF-IDF of hashed words, unit length. The built-in stand-in for a
+    sentence encoder. The word counts are stored between the two passes, so texts are read once."""
+    from pyspark.ml.feature import IDF, HashingTF, Normalizer
     from pyspark.ml.functions import vector_to_array
 
-    stages = [
-        RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"[^\p{L}\p{N}]+"),
-        HashingTF(inputCol="_words", outputCol="_counts", numFeatures=dimensions),
-        IDF(inputCol="_counts", outputCol="_weights"),
-        Normalizer(inputCol="_weights", outputCol="_unit"),
-    ]
-    encoded = Pipeline(stages=stages).fit(df).transform(df)
-    return encoded.select(*df.columns, vector_to_array("_unit").alias("embedding"))
+    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    counted = HashingTF(inputCol="words", outputCol="counts", numFeatures=dimensions).transform(
+        df.select(key, words.alias("words"))
+    )
+    counts = materialize(counted.select(key, "counts"))
+    weighted = IDF(inputCol="counts", outputCol="weights").fit(counts).transform(counts)
+    unit = Normalizer(inputCol="weights", outputCol="unit").transform(weighted)
+    return unit.select(key, vector_to_array("unit").alias("embedding"))
 
 
 def attach_vectors(df: DataFrame, encoder, schema: str) -> DataFrame:

@@ -236,3 +236,23 @@ def resume_pending(spark, sf_dir):
 
     queries = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("example_id"), "n_chars")
     return P.pending(queries, view(spark, sf_dir, "escalations"))
+
+
+@query("resumable_scoring", f"""
+    SELECT conv_id, turn, {sql_cap(sql_tidy('text'))} AS reply FROM conversations WHERE role = 'assistant'""")
+def resumable_scoring(spark, sf_dir):
+    """The scoring stream over the conversation files, stopped and started again once."""
+    from threadloom.plans.catalog.base import table
+    from threadloom.session import scratch_path
+    from threadloom.streaming.resumable import start_scoring
+
+    def score(batch):
+        return batch.where("role = 'assistant'").select("conv_id", "turn", P.finish_reply(F.col("text")).alias("reply"))
+
+    schema = table(spark, sf_dir, "conversations").schema
+    sink, state = scratch_path(spark, "scores"), scratch_path(spark, "score-state")
+    for _ in range(2):
+        start_scoring(
+            spark, sf_dir, schema, score, sink, state, key=["conv_id", "turn"], file_pattern="conversations.parquet"
+        ).awaitTermination()
+    return spark.read.parquet(sink).select("conv_id", "turn", "reply")

@@ -122,6 +122,6 @@ def tweet_lookup_dedup(spark, sf_dir):
 @query("tfidf_embed")
 def tfidf_embed(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = retrieval.text_vectors(documents, "text")
+    encoded = retrieval.text_vectors(documents, "doc_id")
     length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x * x))
     return encoded.select("doc_id", F.size("embedding").alias("dimensions"), F.round(length, 6).alias("length"))

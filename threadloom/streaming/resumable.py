@@ -14,8 +14,9 @@ from threadloom.sources.tables import is_complete
 Scorer = Callable[[DataFrame], DataFrame]
 
 
-def run_pending(queries: DataFrame, score: Scorer, sink: str, key: str = "example_id") -> int:
-    """Score the queries the sink lacks and append them; returns how many rows the sink has now."""
+def run_pending(queries: DataFrame, score: Scorer, sink: str, key: str | list[str] = "example_id") -> int:
+    """Score the queries the sink lacks and append them; returns how many rows the sink has now.
+    A stored result is never computed again, and a new query is found by its key, not its place."""
     spark = queries.sparkSession
     if is_complete(spark, sink):
         queries = pending(queries, spark.read.parquet(sink), key)
@@ -25,16 +26,15 @@ def run_pending(queries: DataFrame, score: Scorer, sink: str, key: str = "exampl
 
 def start_scoring(
     spark: SparkSession, source: str, schema: StructType, score: Scorer, sink: str, checkpoint: str,
-    key: str = "example_id", files_per_batch: int = 1_000,
+    key: str | list[str] = "example_id", files_per_batch: int = 1_000, file_pattern: str = "*",
 ) -> StreamingQuery:
     """Score new query files until none is left. Every micro-batch owns one folder of the sink and
     replaces it when it is run again, so a restart neither loses nor repeats a key."""
-    queries = (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
-    )
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    queries = reader.option("pathGlobFilter", file_pattern).parquet(source)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.dropDuplicates([key])
+        fresh = batch.dropDuplicates([key] if isinstance(key, str) else key)
         done = earlier_batches(spark, sink, batch_id)
         if done is not None:
             fresh = pending(fresh, done, key)
