@@ -11,8 +11,9 @@ SPACE = r"\t-\r\x{1c}-\x{20}\x{85}\p{Z}"
 WORD = r"\p{L}\p{N}_"
 ZERO_WIDTH = ("\u200b", "\u200d")
 ASCII_BREAKS = ("\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x1d", "\x1e", "\x1f")
-# White space that is more than one plain blank; a lone blank needs no rewriting.
-RAGGED_SPACE = rf" [{SPACE}]+|[{SPACE}&&[^ ]][{SPACE}]*"
+# White space that is more than one plain blank; a lone blank needs no rewriting. The look-ahead
+# turns printable ASCII away before the costly Unicode class is tried.
+RAGGED_SPACE = rf"(?![!-~])(?: (?![!-~])[{SPACE}]++|(?! )[{SPACE}]++)"
 
 
 def strip(c: Column) -> Column:
