@@ -45,6 +45,15 @@ def test_samples_are_the_hash_order_under_any_partitioning(spark):
     assert sampling.sample_rows(df, "id", 20, seed=7).count() == 20
 
 
+def test_large_samples_cut_at_a_prefix_give_the_same_rows(spark, monkeypatch):
+    df = spark.range(3000)
+    want = {n: {r["id"] for r in sampling.sample_rows(df, "id", n).collect()} for n in (1, 777, 2999, 3000, 4000)}
+    monkeypatch.setattr(sampling, "ONE_TASK_SAMPLE", 0)
+    for n, ids in want.items():
+        rows = [r["id"] for r in sampling.sample_rows(df, "id", n).collect()]
+        assert len(rows) == min(n, 3000) and set(rows) == ids
+
+
 def test_sample_threads_keeps_whole_threads(spark):
     df = turns(spark, {f"t{i}": [("customer", "q"), ("brand", "a"), ("customer", "b")] for i in range(30)})
     sizes = sampling.sample_threads(df, 7).groupBy("thread_id").count().collect()

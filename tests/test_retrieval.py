@@ -53,10 +53,29 @@ def test_large_query_side_takes_the_small_documents_along(spark, monkeypatch):
 
 
 def test_many_blocks_and_equal_vectors_keep_the_smallest_ids(spark, monkeypatch):
-    monkeypatch.setattr(retrieval, "SCORES_AT_ONCE", 10)
+    monkeypatch.setattr(retrieval, "CELL_PAIRS", 50)
     d = np.tile(vectors(1), (40, 1))
-    got = retrieval.knn_topk(side(spark, d[:2]), side(spark, d), 5)
-    assert {(r["query_id"], r["doc_id"]) for r in got.collect()} == {(q, i) for q in (0, 1) for i in range(5)}
+    for way in ("auto", "grid"):
+        got = retrieval.knn_topk(side(spark, d[:2]), side(spark, d), 5, way=way)
+        assert {(r["query_id"], r["doc_id"]) for r in got.collect()} == {(q, i) for q in (0, 1) for i in range(5)}
+
+
+@pytest.mark.parametrize("exclude", [False, True])
+def test_blocks_inside_a_task(monkeypatch, exclude):
+    monkeypatch.setattr(retrieval, "BLOCK_QUERIES", 7)
+    monkeypatch.setattr(retrieval, "BLOCK_DOCUMENTS", 11)
+    d = vectors(90, copies=9)
+    top = retrieval._QueryBlocks(np.arange(30), d[:30], 4, exclude)
+    for at in range(0, 90, 25):
+        top.add(np.arange(at, min(90, at + 25)), d[at:at + 25])
+    got = {}
+    for batch in top.batches():
+        for q, doc, score in zip(*[c.to_pylist() for c in batch.columns]):
+            got.setdefault(q, []).append((doc, round(score, 6)))
+    want = {}
+    for q, rank, doc, score in sorted(brute(d[:30], d, 4, exclude)):
+        want.setdefault(q, []).append((doc, score))
+    assert got == want
 
 
 def test_fewer_documents_than_k_and_no_documents(spark):

@@ -26,11 +26,13 @@ def unknown_labels(df: DataFrame, label: str) -> DataFrame:
 def pair_counts(df: DataFrame, truth: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
     """Counts per (true, predicted) label: at most labels x labels rows per group."""
     labels = df.select(*by, to_taxonomy(F.col(truth)).alias("true_label"), to_taxonomy(F.col(predicted)).alias("pred_label"))
-    return labels.groupBy(*by, "true_label", "pred_label").agg(F.count("*").alias("n"))
+    counts = labels.groupBy(*by, "true_label", "pred_label").agg(F.count("*").alias("n"))
+    # At most labels x labels rows: one partition, so that nothing derived from them shuffles again.
+    return counts if by else counts.repartition(1)
 
 
 def _groups(counts: DataFrame, by: Sequence[str]) -> DataFrame:
-    return counts.select(*by).distinct() if by else counts.agg(F.lit(0).alias("_one"))
+    return counts.select(*by).distinct() if by else counts.sparkSession.range(1)
 
 
 def _label_column(name: str) -> Column:
@@ -91,7 +93,11 @@ def per_class(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def intent_metrics(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Accuracy, macro F1 over the whole taxonomy, support-weighted F1."""
-    classes = per_class(counts, by)
+    return intent_summary(per_class(counts, by), by)
+
+
+def intent_summary(classes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The same from the per-class table."""
     return _summary(classes, by).agg(
         F.try_divide(F.sum("hits"), F.sum("support")).alias("accuracy"),
         F.avg("f1").alias("macro_f1"),
@@ -152,20 +158,19 @@ def outcome_counts(
 
 def cohen_kappa(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Agreement beyond chance of two label columns."""
-    sides = label_distribution(counts, by)
-    margins = (sides.groupBy(*by, "label")
-               .agg(F.sum(F.when(F.col("side") == "true", F.col("n"))).alias("a"),
-                    F.sum(F.when(F.col("side") == "pred", F.col("n"))).alias("b")))
-    chance = _summary(margins, by).agg(
-        F.sum(F.coalesce(F.col("a") * F.col("b"), F.lit(0)).cast("double")).alias("ab"), F.sum("a").alias("n")
-    )
-    agreed = _summary(counts, by).agg(
-        F.sum(F.when(F.col("true_label") == F.col("pred_label"), F.col("n")).otherwise(0)).alias("same")
+    same = F.when(F.col("true_label") == F.col("pred_label"), F.col("n")).otherwise(0).cast("bigint")
+    none = F.lit(0).cast("bigint")
+    sides = F.inline(F.array(
+        F.struct(F.col("true_label").alias("label"), F.col("n").alias("a"), none.alias("b"), same.alias("same")),
+        F.struct(F.col("pred_label").alias("label"), none.alias("a"), F.col("n").alias("b"), none.alias("same")),
+    ))
+    margins = counts.select(*by, sides).groupBy(*by, "label").agg(*[F.sum(c).alias(c) for c in ("a", "b", "same")])
+    totals = _summary(margins, by).agg(
+        F.sum(F.col("a").cast("double") * F.col("b")).alias("ab"), F.sum("a").alias("n"), F.sum("same").alias("same")
     )
-    both = chance.join(agreed, list(by)) if by else chance.withColumn("same", agreed.scalar())
     po = F.try_divide(F.col("same"), F.col("n"))
     pe = F.try_divide(F.col("ab"), F.col("n").cast("double") * F.col("n"))
-    return both.select(*by, po.alias("observed"), pe.alias("expected"), F.try_divide(po - pe, 1 - pe).alias("kappa"))
+    return totals.select(*by, po.alias("observed"), pe.alias("expected"), F.try_divide(po - pe, 1 - pe).alias("kappa"))
 
 
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:

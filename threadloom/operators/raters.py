@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from threadloom import constants as C
 from threadloom.functions.stats import correlation_p
 from threadloom.operators.sampling import BROADCAST_SAMPLE, sample_rows
+from threadloom.session import materialize
 
 
 def judge_aggregate(scores: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
@@ -72,8 +73,9 @@ def _correlation(x: Column, y: Column, w: Column) -> Column:
 
 
 def human_agreement(judge: DataFrame, human: DataFrame, p_values: bool = True) -> DataFrame:
-    """Pearson and Spearman correlation per dimension; fewer than five pairs give a message instead."""
-    pairs = score_pairs(judge, human)
+    """Pearson and Spearman correlation per dimension; fewer than five pairs give a message instead.
+    The two score tables are joined once; ranks and sums work on the counts of score pairs."""
+    pairs = materialize(score_pairs(judge, human))
     ranked = pairs.join(_average_ranks(pairs, "x"), ["dimension", "x"]).join(
         _average_ranks(pairs, "y"), ["dimension", "y"]
     )

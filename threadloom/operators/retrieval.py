@@ -22,14 +22,19 @@ from threadloom.session import materialize, materialize_counted
 
 # Values (rows x dimensions) a side may have to be sent to every executor: 32 MiB of doubles.
 BROADCAST_VALUES = 4_194_304
-# Values per grid cell side (128 MiB of documents), and scores held at once by a task.
+# Values per grid cell side (128 MiB of documents), and pairs that are worth a cell of their own.
 CELL_QUERY_VALUES = 2_097_152
 CELL_DOCUMENT_VALUES = 16_777_216
-SCORES_AT_ONCE = 4_194_304
+CELL_PAIRS = 10_000_000
+# A task scores blocks of this shape.
+BLOCK_QUERIES = 1_024
+BLOCK_DOCUMENTS = 4_096
 # Hits (four numbers each) that may be broadcast.
 BROADCAST_HITS = 100_000
 # Scores are compared at this precision, so that equal vectors tie and the smaller id wins.
 SCORE_DIGITS = 9
+SCORE_UNIT = 10.0 ** -SCORE_DIGITS
+LOWEST = np.finfo(np.float64).min
 
 _HIT = "query_id bigint, doc_id bigint, score double"
 
@@ -55,7 +60,7 @@ def _best(query: np.ndarray, doc: np.ndarray, score: np.ndarray, k: int):
 
 
 class _TopHits:
-    """Running best hits of a query block while document blocks pass by."""
+    """Running best hits of a few queries while document blocks pass by."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, exclude_self: bool):
         self.ids, self.vectors, self.k, self.exclude_self = ids, vectors, k, exclude_self
@@ -65,22 +70,19 @@ class _TopHits:
         self.floor = np.full(len(ids), -np.inf)
 
     def add(self, docs: np.ndarray, vectors: np.ndarray) -> None:
-        if not len(self.ids):
-            return
-        step = max(1, SCORES_AT_ONCE // len(self.ids))
-        for at in range(0, len(docs), step):
-            self._add_block(docs[at:at + step], vectors[at:at + step])
-
-    def _add_block(self, docs: np.ndarray, vectors: np.ndarray) -> None:
-        scores = np.round(self.vectors @ vectors.T, SCORE_DIGITS)
+        scores = self.vectors @ vectors.T
         if self.exclude_self:
             scores[self.ids[:, None] == docs[None, :]] = -np.inf
-        floor = self.floor
-        if len(docs) > self.k:
-            floor = np.maximum(floor, np.partition(scores, -self.k, axis=1)[:, -self.k])
-        row, col = np.nonzero((scores >= floor[:, None]) & (scores > -np.inf))
+        # Rounding can lift a score by half a unit, so the test is one unit generous.
+        row, col = np.nonzero(scores >= np.maximum(self.floor - SCORE_UNIT, LOWEST)[:, None])
+        if len(row) > 4 * self.k * len(self.ids) and len(docs) > self.k:
+            kth = np.partition(scores, -self.k, axis=1)[:, -self.k]
+            row, col = np.nonzero(scores >= np.maximum(kth - SCORE_UNIT, LOWEST)[:, None])
+        if not len(row):
+            return
+        found = np.round(scores[row, col], SCORE_DIGITS)
         self.rows, self.docs, self.scores = _best(
-            np.r_[self.rows, row], np.r_[self.docs, docs[col]], np.r_[self.scores, scores[row, col]], self.k
+            np.r_[self.rows, row], np.r_[self.docs, docs[col]], np.r_[self.scores, found], self.k
         )
         counts = np.bincount(self.rows, minlength=len(self.ids))
         last = np.cumsum(counts) - 1
@@ -91,6 +93,25 @@ class _TopHits:
         return self.ids[self.rows], self.docs, self.scores
 
 
+class _QueryBlocks:
+    """All queries of a task in blocks, so that a score matrix stays small."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, exclude_self: bool):
+        self.blocks = [
+            _TopHits(ids[at:at + BLOCK_QUERIES], vectors[at:at + BLOCK_QUERIES], k, exclude_self)
+            for at in range(0, len(ids), BLOCK_QUERIES)
+        ]
+
+    def add(self, docs: np.ndarray, vectors: np.ndarray) -> None:
+        for at in range(0, len(docs), BLOCK_DOCUMENTS):
+            for block in self.blocks:
+                block.add(docs[at:at + BLOCK_DOCUMENTS], vectors[at:at + BLOCK_DOCUMENTS])
+
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        for block in self.blocks:
+            yield _as_batch(*block.hits())
+
+
 def _as_batch(query: np.ndarray, doc: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(query), pa.array(doc), pa.array(score)], ["query_id", "doc_id", "score"])
 
@@ -122,11 +143,11 @@ def _queries_to_documents(block, documents: DataFrame, k: int, exclude_self: boo
     shared = documents.sparkSession.sparkContext.broadcast(block)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        top = _TopHits(*shared.value, k, exclude_self)
+        top = _QueryBlocks(*shared.value, k, exclude_self)
         for batch in batches:
             if batch.num_rows:
                 top.add(_ids(batch["id"]), _matrix(batch["vector"]))
-        yield _as_batch(*top.hits())
+        yield from top.batches()
 
     return documents.mapInArrow(score, _HIT)
 
@@ -137,9 +158,9 @@ def _documents_to_queries(block, queries: DataFrame, k: int, exclude_self: bool)
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                top = _TopHits(_ids(batch["id"]), _matrix(batch["vector"]), k, exclude_self)
+                top = _QueryBlocks(_ids(batch["id"]), _matrix(batch["vector"]), k, exclude_self)
                 top.add(*shared.value)
-                yield _as_batch(*top.hits())
+                yield from top.batches()
 
     return queries.mapInArrow(score, _HIT)
 
@@ -148,8 +169,15 @@ def _grid(queries: DataFrame, documents: DataFrame, k: int, exclude_self: bool,
           cell_queries: int | None, cell_documents: int | None) -> DataFrame:
     """Every query row meets every document column in exactly one cell of bounded size."""
     width = max(1, _dimensions(queries) or 1)
-    rows = max(1, math.ceil(queries.count() / (cell_queries or max(1, CELL_QUERY_VALUES // width))))
-    columns = max(1, math.ceil(documents.count() / (cell_documents or max(1, CELL_DOCUMENT_VALUES // width))))
+    n_queries, n_documents = max(1, queries.count()), max(1, documents.count())
+    rows = math.ceil(n_queries / (cell_queries or max(1, CELL_QUERY_VALUES // width)))
+    columns = math.ceil(n_documents / (cell_documents or max(1, CELL_DOCUMENT_VALUES // width)))
+    # Few cells would leave cores idle. Row and column counts near the ratio of the sides copy least.
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    wanted = min(4 * cores, math.ceil(n_queries * n_documents / CELL_PAIRS))
+    if rows * columns < wanted:
+        rows = min(n_queries, max(rows, round(math.sqrt(wanted * n_queries / n_documents))))
+        columns = min(n_documents, max(columns, math.ceil(wanted / rows)))
 
     def lane(n: int):
         return F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
@@ -160,9 +188,9 @@ def _grid(queries: DataFrame, documents: DataFrame, k: int, exclude_self: bool,
     def cell(q: pa.Table, d: pa.Table) -> pa.Table:
         if not (q.num_rows and d.num_rows):
             return pa.Table.from_batches([_as_batch(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))])
-        top = _TopHits(_ids(q["id"]), _matrix(q["vector"]), k, exclude_self)
+        top = _QueryBlocks(_ids(q["id"]), _matrix(q["vector"]), k, exclude_self)
         top.add(_ids(d["id"]), _matrix(d["vector"]))
-        return pa.Table.from_batches([_as_batch(*top.hits())])
+        return pa.Table.from_batches(list(top.batches()))
 
     return left.groupBy("r", "c").cogroup(right.groupBy("r", "c")).applyInArrow(cell, _HIT)
 

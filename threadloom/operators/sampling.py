@@ -9,6 +9,8 @@ from threadloom.functions.text import prefix_key, sampling_key
 
 # Samples up to this many rows may be broadcast to filter a large table.
 BROADCAST_SAMPLE = 10_000
+# Samples up to this many rows are merged in one task.
+ONE_TASK_SAMPLE = 100_000
 
 
 def keep_first(df: DataFrame, key: str, *order: str) -> DataFrame:
@@ -23,8 +25,23 @@ def prefix_dedup(df: DataFrame, text: str, *order: str) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = C.SEED) -> DataFrame:
-    """Uniform sample of ``n`` rows, all rows when there are fewer; same rows on any partitioning."""
-    return df.orderBy(sampling_key(F.col(key), seed), key).limit(n)
+    """Uniform sample of ``n`` rows, all rows when there are fewer; same rows on any partitioning.
+
+    The sample is the first ``n`` rows in hash order. A large one is cut at a hash prefix instead of
+    being sorted into one task: all rows below the prefix, and the first rows of the prefix itself.
+    """
+    rank = sampling_key(F.col(key), seed)
+    if n <= ONE_TASK_SAMPLE:
+        return df.orderBy(rank, key).limit(n)
+    prefix = F.substring(rank, 1, 4)
+    sizes = df.groupBy(prefix.alias("prefix")).agg(F.count("*").alias("n")).collect()  # at most 65,536 rows
+    taken = 0
+    for edge, size in sorted((r["prefix"], r["n"]) for r in sizes):
+        if taken + size > n:
+            rest = df.where(prefix == edge).orderBy(rank, key).limit(n - taken)
+            return df.where(prefix < edge).unionByName(rest)
+        taken += size
+    return df
 
 
 def sample_threads(turns: DataFrame, n: int = C.THREAD_SAMPLE, seed: int = C.SEED, key: str = "thread_id") -> DataFrame:

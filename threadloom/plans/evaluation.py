@@ -28,23 +28,24 @@ def evaluate(
     """Long table ``(system, family, metric, class, value)``.
 
     The rows are read once: every metric follows from one stored table of outcome counts, which has
-    at most labels x labels x 4 rows per system.
+    at most labels x labels x 4 rows per system and so fits one partition.
 
     ``predictions`` carries a ``system`` column, so all systems share each aggregate. ``judge`` is
     ``(system, example_id, ratings)``; with a filled ``human`` sheet the agreement is reported too.
     """
     truth = golden.select("example_id", F.col("intent").alias("gold_intent"), F.col("escalate").alias("gold_escalate"))
     aligned = metrics.align(predictions.select("system", "example_id", "intent", "escalate"), truth)
-    outcomes = materialize(
-        metrics.outcome_counts(aligned, ("gold_intent", "intent"), ("gold_escalate", "escalate"), SYSTEM)
+    outcomes = metrics.outcome_counts(
+        aligned, ("gold_intent", "intent"), ("gold_escalate", "escalate"), SYSTEM
     )
+    outcomes = materialize(outcomes.repartition(1))
     counts = outcomes.groupBy("system", "true_label", "pred_label").agg(F.sum("n").alias("n"))
     classes = metrics.per_class(counts, SYSTEM)
     matrix = metrics.confusion_matrix(counts, SYSTEM)
     spread = metrics.label_distribution(counts, SYSTEM)
     binary = metrics.binary_scores(metrics.binary_counts(outcomes, "t", "p", SYSTEM, F.col("n")), SYSTEM)
     parts = [
-        _melt(metrics.intent_metrics(counts, SYSTEM), "intent", ("accuracy", "macro_f1", "weighted_f1", "n")),
+        _melt(metrics.intent_summary(classes, SYSTEM), "intent", ("accuracy", "macro_f1", "weighted_f1", "n")),
         _melt(classes, "intent_class", ("precision", "recall", "f1", "support"), F.col("label")),
         _melt(matrix, "confusion", ("n",), F.concat_ws("->", "true_label", "pred_label")),
         _melt(spread, "distribution", ("n",), F.concat_ws(":", "side", "label")),

@@ -11,6 +11,7 @@ from threadloom.operators import pairs, predictions as P, retrieval, sampling, t
 from threadloom.operators.failures import failure_report, find_failures
 from threadloom.operators.raters import human_sheet
 from threadloom.plans import evaluation
+from threadloom.session import configure
 from threadloom.sources.golden import write_golden_csv, write_golden_json
 from threadloom.sources.human import write_human_sheet
 from threadloom.sources.tables import read_or_build, table_path, write_metrics
@@ -21,6 +22,8 @@ def build_conversations(
     n: int = C.THREAD_SAMPLE, seed: int = C.SEED, **options,
 ) -> DataFrame:
     """Data step: rebuild the brand's threads, sample, store. A table with the same key is reused."""
+    configure(spark)
+
     def build() -> DataFrame:
         turns = threads.build_threads(tweets, brand, **options)
         return sampling.sample_threads(turns, n, seed, key="root_id")

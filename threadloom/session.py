@@ -14,6 +14,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join side even when a later aggregate then needs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Limit every "row_number() <= k" inside the map tasks, also for large k.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
     # JSON objects with a repeated key parse, the last value wins.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
@@ -29,6 +31,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def build_session(app: str = "threadloom", master: str | None = None, **settings: str) -> SparkSession:
     """Create a session; ``settings`` use underscores for dots in the key."""
     builder = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC")
+    # Checkpoints go when the tables read from them are gone.
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
     for key, value in settings.items():
