@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -35,6 +36,23 @@ def test_clean_text_agrees_with_unicode_aware_rules(samples):
     assert column(samples, X.clean_text(F.col("t"))) == [expected_clean(t) for t in SAMPLES]
 
 
+def test_random_texts(spark):
+    rng = random.Random(5)
+    pieces = [" ", "  ", "\t", "\n", "\x0b", "\x1c", "\x85", "\xa0", "\u2003", "\u2028", "\u3000", "\u200b", "\u200d", "\u200c",
+              "@", "@a", "@é_9²", "http://", "https://x.y/z", "HTTP://q", "http:/", "a", "Z", "_", "9", "½", "é", "e\u0301", "日", "\U0001f600",
+              "!", "~", "\x7f", "\x00", "'", '"', "$1", "\\"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(0, 14))) for _ in range(4000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(4)
+    got = df.orderBy("i").select(
+        X.clean_text(F.col("t")), X.is_mostly_ascii(F.col("t")), X.prefix_key(F.col("t")), X.tidy_reply(F.col("t"))
+    ).collect()
+    for text, row in zip(texts, got):
+        assert row[0] == expected_clean(text), ascii(text)
+        assert row[1] == (bool(text) and sum(ord(ch) < 128 for ch in text) / len(text) > 0.8)
+        assert row[2] == text[:80].lower().strip(), ascii(text)
+        assert row[3] == text.strip().strip('"').strip("'"), ascii(text)
+
+
 def test_ascii_share_is_strict(spark):
     rows = [("abcdé", False), ("abcdeé", True), ("", False), (None, False), ("plain", True), ("\U0001f600", False)]
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "i int, t string")

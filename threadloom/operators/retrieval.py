@@ -223,9 +223,9 @@ def knn_topk(
 
 
 def vector_side(df: DataFrame, key: str, vector: str, normalize: bool = True) -> DataFrame:
-    """Bring a table into the shape the search takes."""
+    """Bring a table into the shape the search takes; a row without a vector cannot be found."""
     values = l2_normalize(F.col(vector)) if normalize else F.col(vector)
-    return df.select(F.col(key).cast("bigint").alias("id"), values.alias("vector"))
+    return df.where(F.col(vector).isNotNull()).select(F.col(key).cast("bigint").alias("id"), values.alias("vector"))
 
 
 def retrieval_corpus(pairs: DataFrame, vectors: DataFrame, key: str = "thread_id") -> DataFrame:

@@ -22,7 +22,7 @@ from threadloom.functions.text import thread_key
 from threadloom.operators import graph
 from threadloom.session import materialize, materialize_counted
 
-# Children of one message per edge group, nodes per edge partition, frontier rows that may be broadcast.
+# Children of one message per edge group, nodes per edge partition, short rows that may be broadcast.
 GROUP_EDGES = 1_000_000
 PARTITION_EDGES = 2_000_000
 BROADCAST_ROWS = 100_000
@@ -272,9 +272,12 @@ def build_threads(
     partitions = max(1, math.ceil(counts["rows"] / PARTITION_EDGES))
     roots = graph.thread_roots(slim, orphan_roots).where("ok").select(F.col("tweet_id").alias("root"), "is_brand")
     visits = visit_threads(walk_edges(slim), roots, partitions, max_levels, group_edges)
-    turns = number_turns(visits).join(
-        nodes.select(F.col("tweet_id").alias("tid"), "author_id", "text"), "tid"
-    )
+    placed, counts = materialize_counted(number_turns(visits))
+    if counts["rows"] <= BROADCAST_ROWS:
+        # Few turns: drop all other messages where they are read, before texts are shuffled.
+        wanted = placed.select(F.col("tid").alias("tweet_id")).distinct()
+        nodes = graph.message_nodes(tweets.join(F.broadcast(wanted), "tweet_id", "left_semi"), unique_ids)
+    turns = placed.join(nodes.select(F.col("tweet_id").alias("tid"), "author_id", "text"), "tid")
     return turns.select(
         thread_key(F.col("root")).alias("thread_id"),
         F.col("root").alias("root_id"),
