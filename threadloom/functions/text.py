@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
 from threadloom import constants as C
@@ -34,10 +36,7 @@ def strip_mentions(c: Column) -> Column:
 
 
 def _contains_any(c: Column, marks: tuple[str, ...]) -> Column:
-    found = F.contains(c, F.lit(marks[0]))
-    for mark in marks[1:]:
-        found = found | F.contains(c, F.lit(mark))
-    return found
+    return reduce(Column.__or__, [c.contains(mark) for mark in marks])
 
 
 def clean_text(c: Column) -> Column:

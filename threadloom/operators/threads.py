@@ -113,33 +113,47 @@ def find_tops(edges: DataFrame) -> DataFrame:
             return reduce(DataFrame.unionByName, finished)
 
 
-def tree_visits(below: DataFrame, roots: DataFrame) -> DataFrame:
-    """Visits of the trees under ``roots``; ``pos`` follows the sibling paths of a level."""
-    members = below.withColumnRenamed("anc", "root").join(roots.select("root"), "root", "left_semi")
-    visits = members.select("root", "tid", F.col("dist").alias("level"), "path", "ok", "is_brand")
+def qualified_roots(visits: DataFrame, min_turns: int) -> DataFrame:
+    """Roots whose visits include a brand message and enough kept ones."""
+    sizes = visits.groupBy("root").agg(F.count_if("ok").alias("n_kept"), F.max("is_brand").alias("has_brand"))
+    return sizes.where(F.col("has_brand") & (F.col("n_kept") >= min_turns)).select("root")
+
+
+def tree_visits(below: DataFrame, roots: DataFrame, min_turns: int) -> DataFrame:
+    """Visits of the qualified trees under ``roots``; ``pos`` follows the sibling paths of a level.
+    Other trees are dropped before the sort."""
+    members = below.select(F.col("anc").alias("root"), "tid", F.col("dist").alias("level"), "path", "ok", "is_brand")
     tops = roots.select(
         "root", F.col("root").alias("tid"), F.lit(0).alias("level"), F.array().cast("array<bigint>").alias("path"),
         F.lit(True).alias("ok"), "is_brand",
     )
-    ordered = visits.unionByName(tops).orderBy("root", "level", "path", "tid")
-    return materialize(ordered.withColumn("pos", F.monotonically_increasing_id()).select(*_OUT))
+    visits = members.unionByName(tops)
+    chosen = qualified_roots(visits, min_turns).join(roots.select("root"), "root", "left_semi")
+    ordered = visits.join(chosen, "root", "left_semi").orderBy("root", "level", "path", "tid")
+    return ordered.withColumn("pos", F.monotonically_increasing_id()).select(*_OUT)
 
 
 def visit_threads(
-    edges: DataFrame, roots: DataFrame, partitions: int = 1, max_levels: int = 10_000, group_edges: int = GROUP_EDGES
-) -> DataFrame:
-    """All visits: trees by doubling, and a level walk for the roots that reach an irregular message."""
+    edges: DataFrame, roots: DataFrame, partitions: int = 1, max_levels: int = 10_000, group_edges: int = GROUP_EDGES,
+    min_turns: int = 2,
+) -> tuple[DataFrame, int]:
+    """Stored visits of all qualified threads and the number of kept ones: trees by doubling, and a
+    level walk for the roots that reach an irregular message."""
     shape = edge_shape(edges, roots)
     if shape.parents <= 1 and not shape.entered_roots:
-        return tree_visits(find_tops(edges), roots)
+        visits, counts = materialize_counted(tree_visits(find_tops(edges), roots, min_turns), kept=F.col("ok"))
+        return visits, counts["kept"]
     regular, irregular = split_irregular(edges, roots)
     below = find_tops(materialize(regular))
     exits = irregular.select(F.col("src").alias("tid")).distinct()
     tops = exits.join(below.select("tid", "anc"), "tid", "left").select(F.coalesce("anc", "tid").alias("root")).distinct()
     tangled = materialize(roots.join(tops, "root", "left_semi"))
     clean = roots.join(tangled.select("root"), "root", "left_anti")
+    visits, counts = materialize_counted(tree_visits(below, clean, min_turns), kept=F.col("ok"))
     walked = walk(edges, tangled, shape, partitions, max_levels, group_edges)
-    return tree_visits(below, clean).unionByName(walked)
+    walked = walked.join(qualified_roots(walked, min_turns), "root", "left_semi")
+    walked, more = materialize_counted(walked, kept=F.col("ok"))
+    return visits.unionByName(walked), counts["kept"] + more["kept"]
 
 
 # --- level walk -----------------------------------------------------------------------------
@@ -224,30 +238,20 @@ def _first_visits(reached: DataFrame, seen: DataFrame) -> DataFrame:
     return single.unionByName(several)
 
 
-def number_turns(visits: DataFrame, min_turns: int = 2) -> DataFrame:
-    """Kept visits of threads with a brand message and enough turns, numbered from 0.
+def number_turns(visits: DataFrame) -> DataFrame:
+    """Kept visits numbered from 0 inside their thread.
 
     Rows are numbered inside chunks (thread, level, sort partition). The offsets of the chunks come
     from their counts, so a huge thread costs one small row per chunk, not one big group.
     """
     chunk = ["root", "level", "chunk"]
-    visits = visits.withColumn("chunk", F.shiftright("pos", 33))
-    counts = visits.groupBy(*chunk).agg(
-        F.count_if("ok").alias("n_kept"), F.max("is_brand").alias("has_brand")
-    )
-    thread = Window.partitionBy("root")
-    before = thread.orderBy("level", "chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        *chunk,
-        F.coalesce(F.sum("n_kept").over(before), F.lit(0)).alias("offset"),
-        F.sum("n_kept").over(thread).alias("n_turns"),
-        F.max("has_brand").over(thread).alias("involves_brand"),
-    )
-    offsets = offsets.where(F.col("involves_brand") & (F.col("n_turns") >= min_turns)).select(*chunk, "offset")
+    kept = visits.where("ok").withColumn("chunk", F.shiftright("pos", 33))
+    counts = kept.groupBy(*chunk).agg(F.count("*").alias("n"))
+    before = Window.partitionBy("root").orderBy("level", "chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*chunk, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     place = F.row_number().over(Window.partitionBy(*chunk).orderBy("pos", "tid"))
-    kept = visits.where("ok").withColumn("place", place)
     seq = (F.col("offset") + F.col("place") - 1).alias("seq")
-    return kept.join(offsets, chunk).select("root", "tid", seq, "is_brand")
+    return kept.withColumn("place", place).join(offsets, chunk).select("root", "tid", seq, "is_brand")
 
 
 def build_threads(
@@ -271,13 +275,12 @@ def build_threads(
     )
     partitions = max(1, math.ceil(counts["rows"] / PARTITION_EDGES))
     roots = graph.thread_roots(slim, orphan_roots).where("ok").select(F.col("tweet_id").alias("root"), "is_brand")
-    visits = visit_threads(walk_edges(slim), roots, partitions, max_levels, group_edges)
-    placed, counts = materialize_counted(number_turns(visits))
-    if counts["rows"] <= BROADCAST_ROWS:
+    visits, n_turns = visit_threads(walk_edges(slim), roots, partitions, max_levels, group_edges)
+    if n_turns <= BROADCAST_ROWS:
         # Few turns: drop all other messages where they are read, before texts are shuffled.
-        wanted = placed.select(F.col("tid").alias("tweet_id")).distinct()
+        wanted = visits.where("ok").select(F.col("tid").alias("tweet_id")).distinct()
         nodes = graph.message_nodes(tweets.join(F.broadcast(wanted), "tweet_id", "left_semi"), unique_ids)
-    turns = placed.join(nodes.select(F.col("tweet_id").alias("tid"), "author_id", "text"), "tid")
+    turns = number_turns(visits).join(nodes.select(F.col("tweet_id").alias("tid"), "author_id", "text"), "tid")
     return turns.select(
         thread_key(F.col("root")).alias("thread_id"),
         F.col("root").alias("root_id"),
