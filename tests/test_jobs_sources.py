@@ -117,3 +117,14 @@ def test_checkpoint_folder_comes_from_the_session(spark):
     assert checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(checkpoint_dir(spark))
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    from threadloom.session import checkpoint_dir
+
+    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(session)

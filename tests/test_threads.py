@@ -79,7 +79,7 @@ def random_messages(seed, size, tangled):
 
 
 @pytest.mark.parametrize("seed,size,tangled,group", [
-    (1, 300, False, 1_000_000), (2, 300, True, 1_000_000), (3, 250, True, 3), (4, 150, True, 1),
+    (1, 200, False, 1_000_000), (2, 200, True, 1_000_000), (3, 150, True, 3), (4, 100, True, 1),
 ])
 def test_random_graphs_match_a_queue_walk(spark, seed, size, tangled, group):
     rows = random_messages(seed, size, tangled)
@@ -137,7 +137,7 @@ def test_orphans_and_missing_flag_column(spark):
 
 
 def test_result_does_not_depend_on_partitioning(spark):
-    rows = random_messages(7, 200, True)
+    rows = random_messages(7, 90, True)
     one = rebuilt(threads.build_threads(frame(spark, rows).coalesce(1), "brand2"))
     many = rebuilt(threads.build_threads(frame(spark, rows[::-1]).repartition(7), "brand2", unique_ids=True))
     assert one == many
