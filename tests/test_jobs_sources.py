@@ -2,7 +2,6 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from threadloom import constants as C
 from threadloom.operators import predictions as P, retrieval
 from threadloom.plans import jobs
 from threadloom.schemas import TWEETS

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from threadloom import constants as C
 from threadloom.functions.stats import correlation_p_value

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from threadloom.operators import graph, pairs, sampling, threads
 from threadloom.plans.catalog.base import (
-    query, sql_clean, sql_missing, sql_ok, sql_prefix, sql_truthy, table, view, with_views,
+    query, sql_clean, sql_missing, sql_ok, sql_prefix, sql_truthy, view, with_views,
 )
 from threadloom.session import scratch_path
 from threadloom.sources.golden import read_golden_csv, read_golden_json, write_golden_csv, write_golden_json

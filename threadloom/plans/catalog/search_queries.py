@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from threadloom.functions.vectors import dot, l2_normalize, norm
 from threadloom.operators import pairs, retrieval, sampling
-from threadloom.plans.catalog.base import query, table, view, with_views
+from threadloom.plans.catalog.base import query, table, view
 from threadloom.plans.catalog.conversation_queries import PAIRS
 
 _UNIT = """unit AS (

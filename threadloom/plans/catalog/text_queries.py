@@ -119,7 +119,9 @@ def tweet_lookup_dedup(spark, sf_dir):
     return keep_last(view(spark, sf_dir, "reposts"), "tweet_id", "position").select("tweet_id", "text", "position")
 
 
-@query("tfidf_embed")
+@query("tfidf_embed", r"""
+    SELECT doc_id, CAST(256 AS INTEGER) AS dimensions,
+           CASE WHEN regexp_matches(text, '[\p{L}\p{N}]') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS length FROM documents""")
 def tfidf_embed(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = retrieval.text_vectors(documents, "doc_id")
