@@ -114,7 +114,7 @@ def grams(words: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np
     """
     ends = np.repeat(np.cumsum(counts), counts)
     first = np.flatnonzero(np.arange(len(words)) + k <= ends)
-    value = np.full(len(first), 0x51ED270B5A8D1C3F, np.uint64)
+    value = np.full(len(first), 0x51ED270B5A8D1C3F + k, np.uint64)
     for i in range(k):
         value = value * np.uint64(0x9FB21C651E98DF25) + words[first + i]
         value = value ^ (value >> np.uint64(29))

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from threadloom.llm.common import prepare
+from threadloom.llm.decontaminate import decontaminate
+from threadloom.llm.jaccard import similar_groups
 from threadloom.llm.packing import pack
 from threadloom.llm.secrets import labelled_samples, scan, spelled, train
 from threadloom.llm.sharding import assign_shards
 from threadloom.llm.token_files import read_tokens, write_tokens
 from threadloom.llm.url_filters import judge_urls
+from threadloom.llm.vectors import near_vectors
 from threadloom.session import scratch_path
 
 QUERIES: dict = {}
@@ -64,6 +67,25 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query("op4_embedding_near_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), least=0.93)
+
+
+@query("op5_decontamination")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    hit = decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return hit.select(
+        "doc_id", "hit.n_words", "hit.n_hit", F.size("hit.items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("hit.items", ","), 256).alias("items_sha256"), contaminated(F.col("hit")).alias("contaminated"))
+
+
+def contaminated(hit: Column) -> Column:
+    """Any hit word, and 5 % of the words or more."""
+    return (hit["n_hit"] > 0) & (20 * hit["n_hit"] >= hit["n_words"])
+
+
 @query("op6_token_files")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -72,6 +94,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query("op7_ngram_jaccard_join")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_groups(table(spark, sf_dir, "documents"), size=5, percent=80)
+
+
 # The rules of the contract.
 URL_RULES = (
     ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
