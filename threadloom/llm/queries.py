@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from threadloom.llm.common import prepare
+from threadloom.llm import language, quality
+from threadloom.llm.common import held_out, prepare
 from threadloom.llm.decontaminate import decontaminate
 from threadloom.llm.jaccard import similar_groups
 from threadloom.llm.packing import pack
@@ -99,6 +100,24 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(table(spark, sf_dir, "documents"), size=5, percent=80)
 
 
+@query("op8_quality_classifier")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(~held_out()).select("doc_id", "quality")
+    scored = quality.score_quality(docs, quality.fit(docs, labels))
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op9_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.filter(~held_out()).select("doc_id", "text", "lang"))
+    known = language.identify(docs.select("doc_id", "text"), model)
+    return known.select(
+        "doc_id", held_out().alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
+
+
 # The rules of the contract.
 URL_RULES = (
     ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
