@@ -2,8 +2,9 @@
 
 Two zstandard dictionaries are trained, one from texts labelled good and one from texts labelled bad.
 A text is compressed in parts with each of them; the difference of the two sizes over their sum says
-which dictionary knows the text better, and a monotone calibration on other labelled texts makes it
-a probability.
+which dictionary knows the text better. What a given difference means depends on how far the text
+can be compressed at all (repetitive text is small with either), so a logistic fit weighs the
+difference by that rate, and a monotone calibration on other labelled texts makes it a probability.
 """
 
 from __future__ import annotations
@@ -31,10 +32,11 @@ LEVEL = 3
 class CompressionModel:
     good: bytes
     bad: bytes
-    steps: np.ndarray  # differences at which the calibrated score rises
+    weights: np.ndarray  # of the logistic fit
+    steps: np.ndarray  # its values at which the calibrated score rises
     scores: np.ndarray
 
-    def differences(self, texts: list[bytes]) -> np.ndarray:
+    def features(self, texts: list[bytes]) -> np.ndarray:
         import zstandard
 
         sizes = []
@@ -48,12 +50,29 @@ class CompressionModel:
             sizes.append(np.array([
                 sum(len(tool.compress(t[a : a + PART_BYTES])) for a in range(0, max(1, len(t)), PART_BYTES)) for t in texts
             ], np.float64))
-        return (sizes[1] - sizes[0]) / (sizes[1] + sizes[0])
+        difference = (sizes[1] - sizes[0]) / (sizes[1] + sizes[0])
+        rate = (sizes[1] + sizes[0]) / (2 * np.array([len(t) + 16 for t in texts], np.float64))
+        x = np.stack([20 * difference, np.log(rate)], axis=1)
+        return np.concatenate([np.ones((len(x), 1)), x, x * x, x[:, :1] * x[:, 1:]], axis=1)
 
     def score(self, texts: list[bytes]) -> np.ndarray:
         if not texts:
             return np.empty(0)
-        return np.interp(self.differences(texts), self.steps, self.scores)
+        return np.interp(self.features(texts) @ self.weights, self.steps, self.scores)
+
+
+def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights by Newton's method on scaled columns, with a ridge; the floor under the curvature keeps
+    steps short where the classes are apart."""
+    scale = np.maximum(np.abs(x).mean(0), 1e-9)
+    z = x / scale
+    weights = np.zeros(x.shape[1])
+    for _ in range(100):
+        share = 1 / (1 + np.exp(-np.clip(z @ weights, -30, 30)))
+        slope = z.T @ (share - y) + 0.1 * weights
+        bend = (z * np.maximum(share * (1 - share), 0.02)[:, None]).T @ z + 0.1 * np.eye(len(weights))
+        weights = weights - np.linalg.solve(bend, slope)
+    return weights / scale
 
 
 def _calibrate(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -102,11 +121,13 @@ def _fit(bad: list[bytes], good: list[bytes]) -> CompressionModel:
         except (zstandard.ZstdError, ValueError):  # too few samples: their own text serves
             return b"".join(samples)[:DICTIONARY_BYTES]
 
-    model = CompressionModel(dictionary(good[0::2]), dictionary(bad[0::2]), np.zeros(1), np.full(1, 0.5))
-    x = model.differences(good[1::2] + bad[1::2]) if good[1::2] or bad[1::2] else np.empty(0)
-    y = np.array([1.0] * len(good[1::2]) + [0.0] * len(bad[1::2]))
-    if len(x):
-        model.steps, model.scores = _calibrate(x, y)
+    model = CompressionModel(dictionary(good[0::2]), dictionary(bad[0::2]), np.zeros(6), np.zeros(1), np.full(1, 0.5))
+    rest = good[1::2] + bad[1::2]
+    if rest:
+        x = model.features(rest)
+        y = np.array([1.0] * len(good[1::2]) + [0.0] * len(bad[1::2]))
+        model.weights = _logistic(x, y)
+        model.steps, model.scores = _calibrate(x @ model.weights, y)
     return model
 
 
