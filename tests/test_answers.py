@@ -67,6 +67,13 @@ def test_label_shapes(spark):
     assert got == ["how_to", "a", "other", "x", "deep", "other", "3", "true", "none", "none", "none"]
 
 
+def test_labels_nested_to_any_depth(spark):
+    def nested(depth):
+        return '{"intent": ' * depth + '"How_To"' + "}" * depth
+    df = answers(spark, [nested(d) for d in (1, 2, 4, 10, 40)] + ['{"intent": {"x": {"intent": "a"}}}']).withColumn("v", F.try_parse_json("response"))
+    assert [r[0] for r in parsed(P.normalize_labels(df, "v"), "label")] == ["how_to"] * 5 + ["other"]
+
+
 def test_golden_labels(spark):
     texts = ['note {"intent": "how_to", "escalate": "no"} end', "```json\n{\"intent\": \"other\"}\n```", "nothing", None, "[]"]
     got = parsed(P.parse_labels(answers(spark, texts)), "intent", "escalate", "escalation_reason", "auto_labeled")

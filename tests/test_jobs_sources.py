@@ -2,7 +2,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from threadloom.operators import predictions as P, retrieval
+from threadloom.operators import graph, predictions as P, retrieval
 from threadloom.plans import jobs
 from threadloom.schemas import TWEETS
 from threadloom.sources import golden as G, human, tables, threads as T, tweets as W
@@ -30,6 +30,27 @@ def test_tweet_csv_keeps_odd_text(spark, tmp_path):
     assert back[0]["response_tweet_id"] is None and back[0]["in_response_to_tweet_id"] == "1"
 
 
+def test_file_order_follows_names_not_sizes(spark, tmp_path):
+    def rows(name, n):
+        return [(f"{name}{i}", "a", "True", "", f"{name} {i} " + "x" * 50, "", "") for i in range(n)]
+    for sizes in ((3, 400), (400, 3)):
+        folder = tmp_path / f"d{sizes[0]}"
+        folder.mkdir()
+        for name, n in zip("ab", sizes):
+            W.write_tweets(spark.createDataFrame(rows(name, n), TWEETS).coalesce(1), str(tmp_path / "one"))
+            (part,) = (tmp_path / "one").glob("part-*.csv")
+            (folder / f"{name}.csv").write_bytes(part.read_bytes())
+        back = W.read_tweets(spark, f"{folder}/*.csv", file_order=True).orderBy("position").collect()
+        assert [r["tweet_id"] for r in back] == [r[0] for name, n in zip("ab", sizes) for r in rows(name, n)]
+
+
+def test_ids_without_numbers_need_positions(spark):
+    odd = spark.createDataFrame([("x1", "a", "True", "", "some text", "", "")], TWEETS)
+    with pytest.raises(Exception, match="needs a position column"):
+        graph.message_nodes(odd).collect()
+    assert graph.message_nodes(odd.withColumn("position", F.lit(1))).count() == 1
+
+
 def test_golden_csv_keeps_empty_text(spark, tmp_path):
     rows = [(str(i), text, "r", "", "", "", "extra") for i, text in enumerate(ODD)]
     df = spark.createDataFrame(rows, "thread_id string, customer_query string, brand_response_actual string, intent string, escalate string, escalation_reason string, more string")
@@ -66,8 +87,10 @@ def test_table_is_reused_only_for_the_same_key(spark, tmp_path):
 def test_all_steps_end_to_end(spark, tmp_path):
     tweets = dump(spark)
     turns = jobs.build_conversations(spark, tweets, str(tmp_path), "brand", n=8)
-    again = jobs.build_conversations(spark, tweets.limit(0), str(tmp_path), "brand", n=8)
-    assert turns.count() == again.count() == 24
+    again = jobs.build_conversations(spark, tweets, str(tmp_path), "brand", n=8)
+    assert turns.count() == again.count() == 24 and again.inputFiles() == turns.inputFiles()
+    # Another input is another table.
+    assert jobs.build_conversations(spark, tweets.limit(0), str(tmp_path), "brand", n=8).count() == 0
     T.write_threads(turns, str(tmp_path / "threads"))
     assert sorted(map(tuple, T.read_threads(spark, str(tmp_path / "threads")).collect())) == sorted(
         map(tuple, turns.select("thread_id", "root_id", "brand", "seq", "role", "author_id", "text", "tweet_id").collect()))
@@ -89,7 +112,7 @@ def test_all_steps_end_to_end(spark, tmp_path):
     vectors = retrieval.attach_vectors(questions, encoder, "root_id string, embedding array<double>")
     index = jobs.build_index(turns, vectors)
     assert index.count() == 8 and {len(r["full_thread"]) for r in index.collect()} == {3}
-    tables.write_vectors(index, str(tmp_path / "index"), "root_id", buckets=2)
+    tables.write_vectors(index, str(tmp_path / "index"), "root_id")
     assert spark.read.parquet(str(tmp_path / "index")).count() == 8
 
     answers = golden.select("example_id", F.inline(F.array(*[

@@ -90,3 +90,13 @@ def test_plans_limit_groups_before_the_shuffle(spark):
         text = plan(limited)
         assert "Partial" in text and "WindowGroupLimit" in text
     assert "TakeOrderedAndProject" in plan(sampling.sample_rows(df, "seq", 5))
+
+
+def test_both_ways_of_sampling_treat_null_keys_alike(spark, monkeypatch):
+    rows = spark.range(400).selectExpr("CASE WHEN id % 40 = 0 THEN NULL ELSE id % 150 END AS k")
+    small = sampling.sample_rows(rows, "k", 60).collect()
+    monkeypatch.setattr(sampling, "ONE_TASK_SAMPLE", 2)
+    large = sampling.sample_rows(rows, "k", 60).collect()
+    assert len(small) == len(large) == 60
+    assert sorted(map(str, small)) == sorted(map(str, large))
+    assert sum(r["k"] is None for r in small) == 10

@@ -123,3 +123,14 @@ def test_documents_are_not_shuffled_when_queries_are_few(spark):
     d = side(spark, vectors(30), parts=2)
     text = retrieval.knn_topk(d.limit(3), d)._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInArrow" in text and "Join" not in text
+
+
+@pytest.mark.parametrize("way", ["auto", "grid"])
+@pytest.mark.parametrize("bad", [[1.0], [0.6, None], [0.6, float("nan")], [1.0, 0.0, 0.0]])
+def test_vectors_of_another_width_or_with_gaps_stop_the_search(spark, way, bad):
+    schema = "id bigint, vector array<double>"
+    queries = spark.createDataFrame([(1, [1.0, 0.0])], schema)
+    documents = spark.createDataFrame([(1, bad), (2, [0.0, 1.0])], schema).coalesce(1)
+    for left, right in ((queries, documents), (documents, queries)):
+        with pytest.raises(Exception, match="missing numbers or of another width"):
+            retrieval.knn_topk(left, right, way=way).collect()

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from threadloom.streaming.resumable import run_pending, start_scoring
@@ -45,3 +46,12 @@ def test_stream_survives_a_crash_and_repeats_nothing(spark, tmp_path):
     start_scoring(spark, source, schema, score, sink, checkpoint, files_per_batch=1).awaitTermination()
     ids = sorted(r["example_id"] for r in spark.read.parquet(sink).collect())
     assert ids == list(range(18))
+
+
+def test_batch_keeps_one_row_per_key_and_refuses_null_keys(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "example_id long, text string")
+    sink = str(tmp_path / "sink")
+    for partitions in (1, 3):
+        assert run_pending(rows.repartition(partitions), lambda q: q, sink) == 2
+    with pytest.raises(Exception, match="without a key"):
+        run_pending(spark.createDataFrame([(None, "a")], rows.schema), lambda q: q, sink)

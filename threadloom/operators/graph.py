@@ -16,11 +16,13 @@ LITERAL_AUTHORS = 10_000
 
 
 def message_position(tweets: DataFrame) -> Column:
-    """File order: the ``position`` column when there is one, else the numeric message id."""
+    """File order: the ``position`` column when there is one, else the numeric message id. Other ids
+    have no order of their own, so they need a ``position``; without one the job fails."""
     if "position" in tweets.columns:
         return F.col("position").cast("bigint")
-    hashed = F.shiftrightunsigned(F.xxhash64("tweet_id"), 2)
-    return F.coalesce(F.col("tweet_id").try_cast("bigint"), hashed)
+    missing = F.raise_error(F.concat(F.lit("message id without a number needs a position column: "), F.col("tweet_id")))
+    number = F.col("tweet_id").try_cast("bigint")
+    return F.when(number.isNull() & F.col("tweet_id").isNotNull(), missing.cast("bigint")).otherwise(number)
 
 
 def keep_last(df: DataFrame, key: str, position: str) -> DataFrame:
@@ -32,7 +34,8 @@ def keep_last(df: DataFrame, key: str, position: str) -> DataFrame:
 
 def message_nodes(tweets: DataFrame, unique_ids: bool = False) -> DataFrame:
     """One row per message id with cleaned text. ``ok`` marks text a thread keeps; ``unique_ids``
-    skips the shuffle that removes repeated ids when the source rules them out."""
+    skips the shuffle that removes repeated ids when the source rules them out. Of repeated ids the
+    last by ``position`` stays; without that column their order is unknown, and one of them stays."""
     text = clean_text(F.col("text"))
     nodes = with_inbound_flag(tweets).select(
         "tweet_id",

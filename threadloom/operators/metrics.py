@@ -13,10 +13,25 @@ LABELS = tuple(sorted(C.INTENTS))
 
 
 def align(predictions: DataFrame, golden: DataFrame, key: str = "example_id") -> DataFrame:
-    """Predictions next to their golden rows; columns of both need different names."""
+    """Predictions next to their golden rows; columns of both need different names. Rows that only
+    one side has are left out; :func:`unaligned` counts them."""
     return predictions.join(golden, key)
 
 
+def unaligned(predictions: DataFrame, golden: DataFrame, key: str = "example_id", by: Sequence[str] = ()) -> DataFrame:
+    """What :func:`align` leaves out: ``n_predictions`` without a golden row, for each group of ``by``,
+    and ``n_golden`` examples of which the group has no prediction."""
+    groups = list(by)
+    has = predictions.select(*groups, key).withColumn("_p", F.lit(1))
+    asked = golden.select(key).where(F.col(key).isNotNull()).distinct()
+    total = asked.count()
+    met = has.join(asked.withColumn("_g", F.lit(1)), key, "left")
+    counts = met.groupBy(*groups).agg(
+        F.count_if(F.col("_g").isNull()).alias("n_predictions"),
+        F.count_distinct(F.when(F.col("_g").isNotNull(), F.col(key))).alias("_found"))
+    return counts.select(*groups, "n_predictions", (F.lit(total) - F.col("_found")).alias("n_golden"))
+
+
 def unknown_labels(df: DataFrame, label: str) -> DataFrame:
     """Labels outside the taxonomy with their counts."""
     counts = df.select(strip_lower(F.col(label)).alias("label")).groupBy("label").agg(F.count("*").alias("n"))

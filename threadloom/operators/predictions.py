@@ -73,11 +73,15 @@ def _or_default(name: str, default: str) -> Column:
 
 
 def normalize_labels(df: DataFrame, label: str, out: str = "label") -> DataFrame:
-    """Label text of a VARIANT column of any shape: text, number, list or object."""
-    step = df.withColumn("_l0", F.col(label))
-    for depth in range(3):
-        step = step.withColumn(f"_l{depth + 1}", R.unwrap(F.col(f"_l{depth}")))
-    return step.withColumn(out, R.scalar_label(F.col("_l3"))).drop("_l0", "_l1", "_l2", "_l3")
+    """Label text of a VARIANT column of any shape: text, number, list or object, nested to any depth.
+
+    Every level of an object has a brace of its own in the JSON text, so as many steps as there are
+    braces reach the bottom.
+    """
+    text = F.to_json(F.col(label))
+    braces = F.coalesce(F.length(text) - F.length(F.replace(text, F.lit("{"), F.lit(""))), F.lit(0))
+    bottom = F.aggregate(F.array_repeat(F.lit(0), braces), F.col(label), lambda value, _: R.unwrap(value))
+    return df.withColumn("_bottom", bottom).withColumn(out, R.scalar_label(F.col("_bottom"))).drop("_bottom")
 
 
 def parse_intents(df: DataFrame, response: str = "response") -> DataFrame:

@@ -39,9 +39,21 @@ LOWEST = np.finfo(np.float64).min
 _HIT = "query_id bigint, doc_id bigint, score double"
 
 
-def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return np.asarray(flat.flatten(), dtype=np.float64).reshape(len(flat), -1)
+def _matrix(rows: pa.Table | pa.RecordBatch, width: int | None = None) -> np.ndarray:
+    """The vectors as a matrix. A missing vector or number, or another width, stops the search: a
+    silently skipped or shifted row would be a wrong result."""
+    vectors = rows["vector"]
+    vectors = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
+    sizes = np.diff(np.asarray(vectors.offsets)) if len(vectors) else np.empty(0, np.int64)
+    width = width if width is not None or not len(sizes) else int(sizes[0])
+    flat = vectors.flatten()
+    numbers = np.asarray(flat.cast(pa.float64()).fill_null(np.nan), dtype=np.float64)
+    bad = np.asarray(vectors.is_null()) | (sizes != (width or 0))
+    if not bad.any() and np.isnan(numbers).any():
+        bad = np.isnan(numbers.reshape(len(vectors), -1)).any(axis=1)
+    if bad.any():
+        raise ValueError(f"vectors with missing numbers or of another width than {width}: ids {_ids(rows['id'])[bad][:10].tolist()}")
+    return numbers.reshape(len(vectors), -1)
 
 
 def _ids(column: pa.ChunkedArray) -> np.ndarray:
@@ -122,31 +134,32 @@ def _rank(hits: DataFrame, k: int) -> DataFrame:
     return ranked.select("query_id", "rank", "doc_id", "score")
 
 
-def _dimensions(side: DataFrame) -> int | None:
-    first = side.select(F.size("vector").alias("d")).head()
-    return None if first is None else first["d"]
+def _extent(side: DataFrame) -> tuple[int, int]:
+    """Rows and the width of the widest vector."""
+    found = side.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("width")).first()
+    return found["n"], max(1, found["width"] or 1)
 
 
-def _small_block(side: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
-    """The whole side when it is small, else None. Never fetches more than the bound plus one row."""
-    width = _dimensions(side)
-    if width is None:
-        return np.empty(0, np.int64), np.empty((0, 1))
-    bound = max(1, BROADCAST_VALUES // max(1, width))
-    table = side.limit(bound + 1).toArrow()
-    if table.num_rows > bound:
+def _small_block(side: DataFrame, extent: tuple[int, int]) -> tuple[np.ndarray, np.ndarray] | None:
+    """The whole side when all its values fit the bound, else None."""
+    rows, width = extent
+    if rows * width > BROADCAST_VALUES:
         return None
-    return _ids(table["id"]), _matrix(table["vector"])
+    if not rows:
+        return np.empty(0, np.int64), np.empty((0, 1))
+    table = side.toArrow()
+    return _ids(table["id"]), _matrix(table)
 
 
 def _queries_to_documents(block, documents: DataFrame, k: int, exclude_self: bool) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(block)
+    width = block[1].shape[1] if len(block[0]) else None
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top = _QueryBlocks(*shared.value, k, exclude_self)
         for batch in batches:
             if batch.num_rows:
-                top.add(_ids(batch["id"]), _matrix(batch["vector"]))
+                top.add(_ids(batch["id"]), _matrix(batch, width))
         yield from top.batches()
 
     return documents.mapInArrow(score, _HIT)
@@ -154,22 +167,24 @@ def _queries_to_documents(block, documents: DataFrame, k: int, exclude_self: boo
 
 def _documents_to_queries(block, queries: DataFrame, k: int, exclude_self: bool) -> DataFrame:
     shared = queries.sparkSession.sparkContext.broadcast(block)
+    width = block[1].shape[1] if len(block[0]) else None
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                top = _QueryBlocks(_ids(batch["id"]), _matrix(batch["vector"]), k, exclude_self)
-                top.add(*shared.value)
+                top = _QueryBlocks(_ids(batch["id"]), _matrix(batch, width), k, exclude_self)
+                if width is not None:
+                    top.add(*shared.value)
                 yield from top.batches()
 
     return queries.mapInArrow(score, _HIT)
 
 
-def _grid(queries: DataFrame, documents: DataFrame, k: int, exclude_self: bool,
+def _grid(queries: DataFrame, documents: DataFrame, k: int, exclude_self: bool, extents: tuple,
           cell_queries: int | None, cell_documents: int | None) -> DataFrame:
     """Every query row meets every document column in exactly one cell of bounded size."""
-    width = max(1, _dimensions(queries) or 1)
-    n_queries, n_documents = max(1, queries.count()), max(1, documents.count())
+    (n_queries, width), (n_documents, _) = extents
+    n_queries, n_documents = max(1, n_queries), max(1, n_documents)
     rows = math.ceil(n_queries / (cell_queries or max(1, CELL_QUERY_VALUES // width)))
     columns = math.ceil(n_documents / (cell_documents or max(1, CELL_DOCUMENT_VALUES // width)))
     # Few cells would leave cores idle. Row and column counts near the ratio of the sides copy least.
@@ -188,8 +203,8 @@ def _grid(queries: DataFrame, documents: DataFrame, k: int, exclude_self: bool,
     def cell(q: pa.Table, d: pa.Table) -> pa.Table:
         if not (q.num_rows and d.num_rows):
             return pa.Table.from_batches([_as_batch(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))])
-        top = _QueryBlocks(_ids(q["id"]), _matrix(q["vector"]), k, exclude_self)
-        top.add(_ids(d["id"]), _matrix(d["vector"]))
+        top = _QueryBlocks(_ids(q["id"]), _matrix(q, width), k, exclude_self)
+        top.add(_ids(d["id"]), _matrix(d, width))
         return pa.Table.from_batches(list(top.batches()))
 
     return left.groupBy("r", "c").cogroup(right.groupBy("r", "c")).applyInArrow(cell, _HIT)
@@ -209,21 +224,25 @@ def knn_topk(
 
     Both sides are ``(id BIGINT, vector ARRAY)`` with unit vectors and unique ids. ``exclude_self``
     skips the document whose id equals the query's. ``way`` is ``auto``, ``broadcast`` or ``grid``.
+    Vectors of different widths, or with missing numbers, are an error that names the ids.
     """
+    query_extent = _extent(queries)
     if way != "grid":
-        block = _small_block(queries)
+        block = _small_block(queries, query_extent)
         if block is not None:
             return _rank(_queries_to_documents(block, documents, k, exclude_self), k)
-        block = _small_block(documents)
+        block = _small_block(documents, _extent(documents))
         if block is not None:
             return _rank(_documents_to_queries(block, queries, k, exclude_self), k)
         if way == "broadcast":
             raise ValueError("neither side is small enough to broadcast")
-    return _rank(_grid(queries, documents, k, exclude_self, cell_queries, cell_documents), k)
+    extents = query_extent, _extent(documents)
+    return _rank(_grid(queries, documents, k, exclude_self, extents, cell_queries, cell_documents), k)
 
 
 def vector_side(df: DataFrame, key: str, vector: str, normalize: bool = True) -> DataFrame:
-    """Bring a table into the shape the search takes; a row without a vector cannot be found."""
+    """Bring a table into the shape the search takes. A row without a vector cannot be found and is
+    left out here; a vector with missing numbers stays and makes the search fail."""
     values = l2_normalize(F.col(vector)) if normalize else F.col(vector)
     return df.where(F.col(vector).isNotNull()).select(F.col(key).cast("bigint").alias("id"), values.alias("vector"))
 

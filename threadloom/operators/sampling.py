@@ -27,21 +27,30 @@ def prefix_dedup(df: DataFrame, text: str, *order: str) -> DataFrame:
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = C.SEED) -> DataFrame:
     """Uniform sample of ``n`` rows, all rows when there are fewer; same rows on any partitioning.
 
-    The sample is the first ``n`` rows in hash order. A large one is cut at a hash prefix instead of
-    being sorted into one task: all rows below the prefix, and the first rows of the prefix itself.
+    The sample is the first ``n`` rows in hash order; rows without a key come first. A large one is
+    cut at a hash prefix instead of being sorted into one task: all rows below the prefix, and the
+    first rows of the prefix itself, which is made longer until few rows have it.
     """
-    rank = sampling_key(F.col(key), seed)
+    rank = F.coalesce(sampling_key(F.col(key), seed), F.lit(""))
     if n <= ONE_TASK_SAMPLE:
         return df.orderBy(rank, key).limit(n)
-    prefix = F.substring(rank, 1, 4)
-    sizes = df.groupBy(prefix.alias("prefix")).agg(F.count("*").alias("n")).collect()  # at most 65,536 rows
-    taken = 0
-    for edge, size in sorted((r["prefix"], r["n"]) for r in sizes):
-        if taken + size > n:
-            rest = df.where(prefix == edge).orderBy(rank, key).limit(n - taken)
-            return df.where(prefix < edge).unionByName(rest)
-        taken += size
-    return df
+    taken, edge, inside = 0, "", df
+    for digits in range(4, 33, 4):
+        prefix = F.substring(rank, 1, digits)
+        sizes = inside.groupBy(prefix.alias("prefix")).agg(F.count("*").alias("n")).collect()  # at most 65,536 rows
+        for name, size in sorted((r["prefix"], r["n"]) for r in sizes):
+            if taken + size > n:
+                edge = name
+                break
+            taken += size
+        else:
+            return df
+        inside = df.where(prefix == edge)
+        if size <= ONE_TASK_SAMPLE:
+            break
+    # Only rows of one key can still be many; any of them will do.
+    rest = inside.orderBy(rank, key) if size <= ONE_TASK_SAMPLE else inside
+    return df.where(prefix < edge).unionByName(rest.limit(n - taken))
 
 
 def sample_threads(turns: DataFrame, n: int = C.THREAD_SAMPLE, seed: int = C.SEED, key: str = "thread_id") -> DataFrame:

@@ -228,6 +228,14 @@ def align_predictions(spark, sf_dir):
     )
 
 
+@query("unaligned_rows", f"""
+    {with_views('intents', 'escalations')}
+    SELECT (SELECT count(*) FROM intents WHERE example_id NOT IN (SELECT example_id FROM escalations)) AS n_predictions,
+           (SELECT count(DISTINCT example_id) FROM escalations WHERE example_id NOT IN (SELECT example_id FROM intents)) AS n_golden""")
+def unaligned_rows(spark, sf_dir):
+    return metrics.unaligned(view(spark, sf_dir, "intents"), view(spark, sf_dir, "escalations"))
+
+
 @query("resume_pending", f"""
     {with_views('escalations')}
     SELECT doc_id AS example_id, n_chars FROM documents WHERE doc_id NOT IN (SELECT example_id FROM escalations)""")
@@ -239,7 +247,7 @@ def resume_pending(spark, sf_dir):
 
 
 @query("resumable_scoring", f"""
-    SELECT conv_id, turn, {sql_cap(sql_tidy('text'))} AS reply FROM conversations WHERE role = 'assistant'""")
+    SELECT conv_id, turn, {sql_cap(sql_tidy('text'))} AS reply FROM conversations""")
 def resumable_scoring(spark, sf_dir):
     """The scoring stream over the conversation files, stopped and started again once."""
     from threadloom.plans.catalog.base import table
@@ -247,7 +255,7 @@ def resumable_scoring(spark, sf_dir):
     from threadloom.streaming.resumable import start_scoring
 
     def score(batch):
-        return batch.where("role = 'assistant'").select("conv_id", "turn", P.finish_reply(F.col("text")).alias("reply"))
+        return batch.select("conv_id", "turn", P.finish_reply(F.col("text")).alias("reply"))
 
     schema = table(spark, sf_dir, "conversations").schema
     sink, state = scratch_path(spark, "scores"), scratch_path(spark, "score-state")

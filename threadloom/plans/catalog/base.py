@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -135,9 +134,8 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-@lru_cache(maxsize=256)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. The (lazy) reader is kept, so that footers are read once per session."""
+    """A given table, listed anew each time."""
     configure(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from threadloom.functions.vectors import dot, l2_normalize, norm
-from threadloom.operators import pairs, retrieval, sampling
+from threadloom.operators import pairs, retrieval
 from threadloom.plans.catalog.base import query, table, view
 from threadloom.plans.catalog.conversation_queries import PAIRS
 
@@ -23,7 +23,6 @@ def _top(queries: str, documents: str, k: int, condition: str = "TRUE") -> str:
       QUALIFY rank <= {k})"""
 
 
-_SAMPLED = "asked AS (SELECT vec_id AS id, v FROM unit ORDER BY md5('42:' || CAST(vec_id AS VARCHAR)), vec_id LIMIT 200)"
 _ALL = "docs AS (SELECT vec_id AS id, v FROM unit)"
 _HITS = "SELECT query_id, rank, doc_id, round(score, 6) AS score FROM hits"
 
@@ -36,10 +35,6 @@ def _embeddings(spark, sf_dir):
     return retrieval.vector_side(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
 
 
-def _asked(documents):
-    return sampling.sample_rows(documents, "id", 200)
-
-
 @query("l2_normalize", f"WITH {_UNIT} SELECT vec_id, round(v[1], 6) AS first, round(list_inner_product(v, v), 6) AS squared FROM unit")
 def l2_normalize_query(spark, sf_dir):
     unit = table(spark, sf_dir, "embeddings").withColumn("v", l2_normalize(F.col("embedding")))
@@ -57,16 +52,16 @@ def cosine_pairs(spark, sf_dir):
     return both.select("vec_id", "next_id", F.round(cosine, 6).alias("cosine"))
 
 
-@query("knn_topk", f"WITH {_UNIT}, {_SAMPLED}, {_ALL}, {_top('asked', 'docs', 3)} {_HITS}")
+@query("knn_topk", f"WITH {_UNIT}, {_ALL}, {_top('docs', 'docs', 3)} {_HITS}")
 def knn_topk(spark, sf_dir):
     documents = _embeddings(spark, sf_dir)
-    return _rounded(retrieval.knn_topk(_asked(documents), documents))
+    return _rounded(retrieval.knn_topk(documents, documents))
 
 
-@query("knn_topk_other_threads", f"WITH {_UNIT}, {_SAMPLED}, {_ALL}, {_top('asked', 'docs', 3, 'q.id <> d.id')} {_HITS}")
+@query("knn_topk_other_threads", f"WITH {_UNIT}, {_ALL}, {_top('docs', 'docs', 3, 'q.id <> d.id')} {_HITS}")
 def knn_topk_other_threads(spark, sf_dir):
     documents = _embeddings(spark, sf_dir)
-    return _rounded(retrieval.knn_topk(_asked(documents), documents, exclude_self=True))
+    return _rounded(retrieval.knn_topk(documents, documents, exclude_self=True))
 
 
 @query("knn_topk_grid", f"WITH {_UNIT}, {_ALL}, {_top('docs', 'docs', 3)} {_HITS}")
@@ -76,8 +71,7 @@ def knn_topk_grid(spark, sf_dir):
 
 
 _CORPUS = f"""{PAIRS}, {_UNIT},
-    corpus AS (SELECT p.*, u.v, p.thread_id AS id FROM pairs p JOIN unit u ON u.vec_id = p.thread_id),
-    asked AS (SELECT * FROM corpus ORDER BY md5('42:' || CAST(thread_id AS VARCHAR)), thread_id LIMIT 200)"""
+    corpus AS (SELECT p.*, u.v, p.thread_id AS id FROM pairs p JOIN unit u ON u.vec_id = p.thread_id)"""
 
 
 def _corpus(spark, sf_dir):
@@ -89,7 +83,7 @@ def _corpus(spark, sf_dir):
 def _corpus_hits(spark, sf_dir):
     corpus = _corpus(spark, sf_dir)
     documents = retrieval.vector_side(corpus, "thread_id", "embedding", normalize=False)
-    hits = retrieval.knn_topk(_asked(documents), documents)
+    hits = retrieval.knn_topk(documents, documents)
     return retrieval.with_documents(hits, corpus)
 
 
@@ -101,7 +95,7 @@ def retrieval_corpus(spark, sf_dir):
     )
 
 
-_NESTED = f"""{_CORPUS}, {_top('asked', 'corpus', 3)},
+_NESTED = f"""{_CORPUS}, {_top('corpus', 'corpus', 3)},
     texts AS (SELECT h.query_id, h.rank, h.score, c.customer_query, c.brand_response
               FROM hits h JOIN corpus c ON c.thread_id = h.doc_id)"""
 
@@ -130,9 +124,9 @@ def retrieval_context(spark, sf_dir):
 
 
 @query("knn_leak_rate", f"""
-    {_CORPUS}, {_top('asked', 'corpus', 3)}
+    {_CORPUS}, {_top('corpus', 'corpus', 3)}
     SELECT count(*) AS n_queries, CAST(sum(leaked) AS BIGINT) AS n_leaked, round(avg(leaked), 4) AS leak_rate
     FROM (SELECT query_id, max(CASE WHEN query_id = doc_id THEN 1 ELSE 0 END) AS leaked FROM hits GROUP BY query_id) own""")
 def knn_leak_rate(spark, sf_dir):
     documents = retrieval.vector_side(_corpus(spark, sf_dir), "thread_id", "embedding", normalize=False)
-    return retrieval.leak_rate(retrieval.knn_topk(_asked(documents), documents))
+    return retrieval.leak_rate(retrieval.knn_topk(documents, documents))

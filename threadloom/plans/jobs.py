@@ -14,21 +14,23 @@ from threadloom.plans import evaluation
 from threadloom.session import configure
 from threadloom.sources.golden import write_golden_csv, write_golden_json
 from threadloom.sources.human import write_human_sheet
-from threadloom.sources.tables import read_or_build, table_path, write_metrics
+from threadloom.sources.tables import input_state, read_or_build, table_path, write_metrics
 
 
 def build_conversations(
     spark: SparkSession, tweets: DataFrame, base: str, brand: str,
     n: int = C.THREAD_SAMPLE, seed: int = C.SEED, **options,
 ) -> DataFrame:
-    """Data step: rebuild the brand's threads, sample, store. A table with the same key is reused."""
+    """Data step: rebuild the brand's threads, sample, store. A table made with the same arguments
+    from the same input files is reused; a changed input makes a new one."""
     configure(spark)
 
     def build() -> DataFrame:
         turns = threads.build_threads(tweets, brand, **options)
         return sampling.sample_threads(turns, n, seed, key="root_id")
 
-    return read_or_build(spark, table_path(base, "turns", brand=brand.lower(), n=n, seed=seed, **options), build)
+    key = {"brand": brand.lower(), "n": n, "seed": seed, "input": input_state(tweets), **options}
+    return read_or_build(spark, table_path(base, "turns", **key), build)
 
 
 def build_golden(turns: DataFrame, n: int = C.GOLDEN_SAMPLE, seed: int = C.SEED) -> DataFrame:

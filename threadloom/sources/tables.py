@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def table_path(base: str, name: str, **key: object) -> str:
@@ -15,6 +15,22 @@ def table_path(base: str, name: str, **key: object) -> str:
     return f"{base}/{name}-{digest}"
 
 
+def input_state(df: DataFrame) -> str:
+    """A digest of what a table holds: for one read from files their names, sizes and times of change
+    with the plan over them, else the count and the sum of hashes of its rows."""
+    files = sorted(df.inputFiles())
+    if not files:
+        rows = df.agg(F.count("*"), F.sum(F.xxhash64(*df.columns).cast("decimal(20,0)"))).first()
+        return hashlib.md5(f"{df.columns} {tuple(rows)}".encode()).hexdigest()[:12]
+    spark, digest = df.sparkSession, hashlib.md5()
+    for name in files:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+        digest.update(f"{name} {status.getLen()} {status.getModificationTime()}\n".encode())
+    digest.update(str(df._jdf.queryExecution().optimizedPlan().canonicalized()).encode())
+    return digest.hexdigest()[:12]
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """True when a finished write left its success mark; a broken write does not count."""
     mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
@@ -28,9 +44,9 @@ def read_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]
     return spark.read.parquet(path)
 
 
-def write_vectors(df: DataFrame, path: str, key: str = "thread_id", buckets: int = 64) -> None:
-    """Vector table, spread by a hash of its key so that files have even sizes."""
-    df.repartition(buckets, key).write.mode("overwrite").parquet(path)
+def write_vectors(df: DataFrame, path: str, key: str = "thread_id") -> None:
+    """Vector table in even files: the exchange is dealt by the advised partition size."""
+    df.hint("rebalance", key).write.mode("overwrite").parquet(path)
 
 
 def write_metrics(metrics: DataFrame, path: str, fmt: str = "parquet") -> None:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -14,10 +16,22 @@ from threadloom.sources.tables import is_complete
 Scorer = Callable[[DataFrame], DataFrame]
 
 
+def one_per_key(queries: DataFrame, key: str | list[str]) -> DataFrame:
+    """The rule of both ways: one row for each key, the first by the hash of its content, whatever
+    the partitioning; a row without a key stops the run, for its result could never be found again."""
+    keys = [key] if isinstance(key, str) else list(key)
+    bad = reduce(or_, [F.col(k).isNull() for k in keys])
+    checked = queries.withColumn("_bad", F.when(bad, F.raise_error(F.lit("a query without a key")).cast("int")).otherwise(0))
+    order = Window.partitionBy(*keys).orderBy(F.xxhash64(*queries.columns))
+    first = checked.where("_bad = 0").withColumn("_rn", F.row_number().over(order)).where("_rn = 1")
+    return first.select(*queries.columns)
+
+
 def run_pending(queries: DataFrame, score: Scorer, sink: str, key: str | list[str] = "example_id") -> int:
     """Score the queries the sink lacks and append them; returns how many rows the sink has now.
     A stored result is never computed again, and a new query is found by its key, not its place."""
     spark = queries.sparkSession
+    queries = one_per_key(queries, key)
     if is_complete(spark, sink):
         queries = pending(queries, spark.read.parquet(sink), key)
     score(queries).write.mode("append").parquet(sink)
@@ -34,7 +48,7 @@ def start_scoring(
     queries = reader.option("pathGlobFilter", file_pattern).parquet(source)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.dropDuplicates([key] if isinstance(key, str) else key)
+        fresh = one_per_key(batch, key)
         done = earlier_batches(spark, sink, batch_id)
         if done is not None:
             fresh = pending(fresh, done, key)
