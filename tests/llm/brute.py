@@ -3,6 +3,7 @@
 import hashlib
 import re
 import zlib
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -11,6 +12,7 @@ from tokenizers import Tokenizer
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
 
 
+@cache
 def tokenizer():
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     library.encode_special_tokens = True
