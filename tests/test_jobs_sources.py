@@ -102,7 +102,13 @@ def test_all_steps_end_to_end(spark, tmp_path):
     assert {(r["intent"], r["escalate"], r["auto_labeled"]) for r in golden.collect()} == {("how_to", "no", True)}
     jobs.save_golden(golden, turns, str(tmp_path / "g.csv"), str(tmp_path / "g.json"))
     assert G.read_golden_csv(spark, str(tmp_path / "g.csv")).count() == 6
-    assert {len(r["full_thread"]) for r in G.read_golden_json(spark, str(tmp_path / "g.json")).collect()} == {3}
+    saved = G.read_golden_json(spark, str(tmp_path / "g.json"))
+    assert saved.count() == 6 and {r["example_id"] for r in saved.collect()} == {r["example_id"] for r in golden.collect()}
+    assert {len(r["full_thread"]) for r in G.read_golden_threads(spark, str(tmp_path / "g.json")).collect()} == {3}
+    edited = G.with_example_ids(G.read_golden_csv(spark, str(tmp_path / "g.csv")), golden)
+    assert sorted(r["example_id"] for r in edited.collect()) == sorted(r["example_id"] for r in golden.collect())
+    with pytest.raises(Exception, match="without its example"):
+        G.with_example_ids(edited.drop("root_id", "example_id").withColumn("customer_query", F.lit("other")), golden).collect()
 
     def encoder(batches):
         for b in batches:
@@ -150,3 +156,12 @@ def test_a_cluster_without_a_shared_folder_is_refused():
     session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_dir(session)
+
+
+def test_long_threads_do_not_repeat_their_golden_row(spark, tmp_path):
+    golden = spark.createDataFrame([("1", "q", "r", "", "", "", "", "root", 7)], "thread_id string, customer_query string, brand_response_actual string, intent string, escalate string, escalation_reason string, notes string, root_id string, example_id long")
+    turns = spark.range(2500).select(F.lit("root").alias("root_id"), F.lit("1").alias("thread_id"), F.col("id").cast("int").alias("seq"), F.lit("customer").alias("role"), F.lit("a").alias("author_id"), F.lit("t").alias("text"), F.col("id").cast("string").alias("tweet_id"))
+    jobs.save_golden(golden, turns, str(tmp_path / "c"), str(tmp_path / "j"))
+    assert G.read_golden_json(spark, str(tmp_path / "j")).count() == 1
+    pages = G.read_golden_threads(spark, str(tmp_path / "j")).collect()
+    assert sorted(len(p["full_thread"]) for p in pages) == [500, 1000, 1000]

@@ -9,7 +9,7 @@ from threadloom.plans.catalog.base import (
     query, sql_clean, sql_missing, sql_ok, sql_prefix, sql_truthy, view, with_views,
 )
 from threadloom.session import scratch_path
-from threadloom.sources.golden import read_golden_csv, read_golden_json, write_golden_csv, write_golden_json
+from threadloom.sources.golden import read_golden_csv, read_golden_json, read_golden_threads, write_golden_csv, write_golden_json
 from threadloom.sources.threads import read_threads, write_threads
 from threadloom.sources.tweets import read_tweets, with_inbound_flag, write_tweets
 
@@ -225,6 +225,7 @@ def golden_json_roundtrip(spark, sf_dir):
     found = pairs.first_pairs(turns).withColumn("thread_id", F.col("thread_id").cast("string"))
     whole = pairs.thread_pages(turns.withColumn("thread_id", F.col("thread_id").cast("string")))
     path = scratch_path(spark, "golden-json")
-    write_golden_json(found.join(whole.withColumnRenamed("turns", "full_thread"), "thread_id"), path)
-    rows = read_golden_json(spark, path)
-    return rows.groupBy("thread_id", "customer_query").agg(F.sum(F.size("full_thread")).alias("n_turns"))
+    write_golden_json(found, whole, path, key="thread_id")
+    rows = read_golden_json(spark, path).select("thread_id", "customer_query")
+    pages = read_golden_threads(spark, path, key="thread_id")
+    return rows.join(pages, "thread_id").groupBy("thread_id", "customer_query").agg(F.sum(F.size("full_thread")).alias("n_turns"))

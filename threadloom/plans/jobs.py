@@ -49,11 +49,10 @@ def label_golden(golden: DataFrame, responses: DataFrame) -> DataFrame:
 
 
 def save_golden(golden: DataFrame, turns: DataFrame, csv_path: str, json_path: str) -> None:
-    """Flat CSV and JSON with the whole thread, in pages for long threads."""
+    """Flat CSV, and JSON with one row per example and the whole threads in pages."""
     write_golden_csv(golden, csv_path)
     chosen = turns.join(golden.select("root_id"), "root_id", "left_semi")
-    whole = pairs.thread_pages(chosen, ("root_id",)).withColumnRenamed("turns", "full_thread")
-    write_golden_json(golden.join(whole, "root_id"), json_path)
+    write_golden_json(golden, pairs.thread_pages(chosen, ("root_id",)), json_path)
 
 
 def build_index(turns: DataFrame, vectors: DataFrame) -> DataFrame:
