@@ -47,7 +47,15 @@ def unpack_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out.view("<u4").reshape(-1)
 
 
-def _tokenise(path: str, end_id: int):
+def _width(path: str, end_id: int) -> type:
+    """The narrowest of two number types that holds every id of the vocabulary."""
+    from tokenizers import Tokenizer
+
+    largest = max(end_id, *Tokenizer.from_file(path).get_vocab().values())
+    return np.uint16 if largest < 1 << 16 else np.uint32
+
+
+def _tokenise(path: str, end_id: int, width: type):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
@@ -55,36 +63,39 @@ def _tokenise(path: str, end_id: int):
                 yield pa.record_batch({
                     "doc_id": batch.column(0).slice(first, end - first),
                     "row": pa.array(np.arange(row, row + end - first)),
-                    "ids": K.binary_column(ids, counts),
+                    "ids": K.binary_column(ids.astype(width), counts),
                 })
                 row += end - first
 
     return run
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, np.int64)
-    for batch in batches:
-        raw, _ = _numbers(batch.column(0))
-        seen = np.bincount(raw) if len(raw) else np.zeros(0, np.int64)
-        if len(seen) > len(total):
-            seen, total = total, seen
-        total = total.copy()
-        total[: len(seen)] += seen
-    ids = np.flatnonzero(total)
-    yield pa.record_batch({"id": pa.array(ids), "n": pa.array(total[ids])})
+def _count(width: type):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            values, _ = _numbers(batch.column(0), width)
+            seen = np.bincount(values) if len(values) else np.zeros(0, np.int64)
+            if len(seen) > len(total):
+                seen, total = total, seen
+            total = total.copy()
+            total[: len(seen)] += seen
+        ids = np.flatnonzero(total)
+        yield pa.record_batch({"id": pa.array(ids), "n": pa.array(total[ids])})
+
+    return run
 
 
-def _numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The 32-bit numbers of a binary column end to end, and the number of each row."""
+def _numbers(column: pa.Array, width: type) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of a binary column end to end, and how many each row has."""
     column = column.cast(pa.large_binary())
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
     raw = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None else np.empty(0, np.uint8)
-    return np.frombuffer(raw.tobytes(), "<u4"), np.diff(at) // 4
+    return np.frombuffer(raw.tobytes(), width), np.diff(at) // np.dtype(width).itemsize
 
 
-def _blocks(rank_of: np.ndarray, id_type: pa.DataType):
+def _blocks(rank_of: np.ndarray, id_type: pa.DataType, width: type):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, block, start, keys, ids, counts = TaskContext.get().partitionId(), 0, 0, [], [], []
 
@@ -105,7 +116,7 @@ def _blocks(rank_of: np.ndarray, id_type: pa.DataType):
             return out
 
         for batch in batches:
-            values, sizes = _numbers(batch.column(1))
+            values, sizes = _numbers(batch.column(1), width)
             ends = np.cumsum(sizes)
             first = 0
             while first < len(sizes):
@@ -146,15 +157,16 @@ def write_tokens(
         T.StructField("doc_ids", T.ArrayType(kind)), T.StructField("counts", T.ArrayType(T.LongType())),
         T.StructField("control", T.BinaryType()), T.StructField("data", T.BinaryType()),
     ])
+    width = _width(tokenizer, end_id)
     with temporary(spark) as keep:
-        staged = keep(source.mapInArrow(_tokenise(tokenizer, end_id), staged_schema), "tokens")
+        staged = keep(source.mapInArrow(_tokenise(tokenizer, end_id, width), staged_schema), "tokens")
         # At most one row for each id of the vocabulary reaches the driver.
-        ranked = staged.select("ids").mapInArrow(_count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+        ranked = staged.select("ids").mapInArrow(_count(width), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
         ids = np.array([r["id"] for r in sorted(ranked.collect(), key=lambda r: (-r["n"], r["id"]))], np.int64)
         rank_of = np.zeros(int(ids.max()) + 1 if len(ids) else 1, np.uint32)
         rank_of[ids] = np.arange(len(ids))
         ordered = staged.repartitionByRange("doc_id", "row").sortWithinPartitions("doc_id", "row").select("doc_id", "ids")
-        ordered.mapInArrow(_blocks(rank_of, to_arrow_type(kind)), block_schema).write.option(
+        ordered.mapInArrow(_blocks(rank_of, to_arrow_type(kind), width), block_schema).write.option(
             "compression", "none").parquet(f"{path}/blocks")
         spark.createDataFrame([(i, int(x)) for i, x in enumerate(ids)], "rank long, id long").coalesce(1).write.parquet(
             f"{path}/ranks")
