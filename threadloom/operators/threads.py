@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from threadloom.functions.text import thread_key
 from threadloom.operators import graph
+from threadloom.operators.sampling import BROADCAST_SAMPLE, sample_rows
 from threadloom.session import materialize, materialize_counted
 
 # Children of one message per edge group, nodes per edge partition, short rows that may be broadcast.
@@ -263,8 +264,10 @@ def build_threads(
     unique_ids: bool = False,
     max_levels: int = 10_000,
     group_edges: int = GROUP_EDGES,
+    sample: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """Turns of all threads that involve ``brand``.
+    """Turns of all threads that involve ``brand``, or of a sample (size, seed) of them. Threads are
+    sampled by their root ids, before their turns are numbered and any text is moved.
 
     ``thread_id`` is a short hash and may collide on very large data; group by ``root_id`` there.
     """
@@ -276,10 +279,16 @@ def build_threads(
     partitions = max(1, math.ceil(counts["rows"] / PARTITION_EDGES))
     roots = graph.thread_roots(slim, orphan_roots).where("ok").select(F.col("tweet_id").alias("root"), "is_brand")
     visits, n_turns = visit_threads(walk_edges(slim), roots, partitions, max_levels, group_edges)
-    if n_turns <= BROADCAST_ROWS:
-        # Few turns: drop all other messages where they are read, before texts are shuffled.
-        wanted = visits.where("ok").select(F.col("tid").alias("tweet_id")).distinct()
-        nodes = graph.message_nodes(tweets.join(F.broadcast(wanted), "tweet_id", "left_semi"), unique_ids)
+    if sample is not None:
+        chosen = sample_rows(visits.where("ok").select("root").distinct(), "root", *sample)
+        chosen = F.broadcast(chosen) if sample[0] <= BROADCAST_SAMPLE else chosen
+        visits, kept = materialize_counted(visits.join(chosen, "root", "left_semi"), turns=F.col("ok"))
+        n_turns = kept["turns"]
+    # Other messages go before texts are cleaned: where they are read if the wanted ones are few, else
+    # in a join by message id, whose partitioning the removal of repeated ids uses again.
+    wanted = visits.where("ok").select(F.col("tid").alias("tweet_id")).distinct()
+    wanted = F.broadcast(wanted) if n_turns <= BROADCAST_ROWS else wanted
+    nodes = graph.message_nodes(tweets.join(wanted, "tweet_id", "left_semi"), unique_ids)
     turns = number_turns(visits).join(nodes.select(F.col("tweet_id").alias("tid"), "author_id", "text"), "tid")
     return turns.select(
         thread_key(F.col("root")).alias("thread_id"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from threadloom.operators import graph, pairs, sampling, threads
+from threadloom.plans import jobs
 from threadloom.plans.catalog.base import (
     query, sql_clean, sql_missing, sql_ok, sql_prefix, sql_truthy, view, with_views,
 )
@@ -109,6 +110,16 @@ def build_threads(spark, sf_dir):
     return threads.build_threads(view(spark, sf_dir, "tweets"), BRAND)
 
 
+@query("conversation_sample", f"""
+    {_walk_sql(BRAND)},
+    picked AS (SELECT root_id FROM (SELECT DISTINCT root_id FROM thread_turns) ids ORDER BY md5('42:' || root_id), root_id LIMIT 20)
+    SELECT * FROM thread_turns WHERE root_id IN (SELECT root_id FROM picked)""")
+def conversation_sample(spark, sf_dir):
+    """The data step as users run it: threads of a brand, sampled and stored."""
+    base = scratch_path(spark, "conversations")
+    return jobs.build_conversations(spark, view(spark, sf_dir, "tweets"), base, BRAND, n=20)
+
+
 _SUMMARY = """
     SELECT count(*) AS n_threads, CAST(sum(c) AS BIGINT) AS customer_messages, CAST(sum(b) AS BIGINT) AS brand_messages,
            round(avg(n), 4) AS avg_turns, median(n) AS median_turns, max(n) AS max_turns, min(n) AS min_turns

@@ -26,8 +26,7 @@ def build_conversations(
     configure(spark)
 
     def build() -> DataFrame:
-        turns = threads.build_threads(tweets, brand, **options)
-        return sampling.sample_threads(turns, n, seed, key="root_id")
+        return threads.build_threads(tweets, brand, sample=(n, seed), **options)
 
     key = {"brand": brand.lower(), "n": n, "seed": seed, "input": input_state(tweets), **options}
     return read_or_build(spark, table_path(base, "turns", **key), build)
