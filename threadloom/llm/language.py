@@ -56,8 +56,11 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     keys have the smallest hash. Words and n-grams are counted by Spark over whole texts."""
     known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
     order = Window.partitionBy(lang).orderBy(F.xxhash64(F.col(key), F.lit(9)), F.col(key))
-    ranked = known.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.row_number().over(order).alias("r"))
-    sample = ranked.filter(F.col("r") <= FIT_ROWS)
+    # Keys are ranked without their texts; the chosen ones, FIT_ROWS per language, go to the texts.
+    ranked = known.select(F.col(key).alias("_key"), F.col(lang).alias("_lang"), F.row_number().over(order).alias("_rank"))
+    chosen = ranked.filter(F.col("_rank") <= FIT_ROWS).select("_key", "_lang").distinct()
+    sample = known.select(F.col(key).alias("_key"), F.col(lang).alias("_lang"), F.col(text).alias("text")).join(
+        F.broadcast(chosen), ["_key", "_lang"]).select(F.col("_lang").alias("lang"), "text")
     words = sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(_WORD_PATTERN), F.lit(0))).alias("name"))
     counted = words.groupBy("lang", "name").agg(F.count("*").alias("n")).persist()
     listed = counted.filter(F.col("n") >= LEAST_COUNT).collect()
