@@ -22,14 +22,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+import zstandard
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from threadloom.llm import kernels as K
 from threadloom.llm.common import materialize, prepare, temporary
 from threadloom.llm.components import components
 
-# Counters for the order of shingles by frequency; any counters give right results.
-COUNTER_BITS = 18
+# Counters for the order of shingles by frequency, as many as the text asks for within these bounds.
+# Any counters give right results; a counter is one byte and stops at 255, so the bound is that of a
+# broadcast of 64 MB. A shingle whose counter says 1 is in no other document and needs no list.
+LEAST_COUNTER_BITS, MOST_COUNTER_BITS = 18, 26
+FULL = 255
+# Pivots that a class is compared with in the first step; the second step is for all the others.
+PIVOTS = 2
 # Classes in one side of a block.
 BLOCK = 256
 # Bits of the filter for classes whose sets are needed; false hits only cost their rows.
@@ -72,40 +78,46 @@ def _classes(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return K.mix(total[ends] - total[ends - counts]).view(np.int64)
 
 
-def _describe(size: int):
-    """One row per document, and the shingle counters of the task in chunks."""
-    chunk = 1 << 14
+def _describe(size: int, bits: int):
+    """One row per document, and the shingle counters of the task that are not 0, in chunks."""
+    chunk = 1 << LEAST_COUNTER_BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = np.zeros(1 << COUNTER_BITS, np.int64)
+        counters, kind = np.zeros(1 << bits, np.uint8), None
         for batch in batches:
+            kind = batch.column(0).type
             for first, end, raw, at in K.slices(batch.column(1)):
                 values, counts = shingle_sets(raw, at, size)
-                counters += np.bincount((values >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), minlength=len(counters))
+                place, seen = np.unique(values >> np.uint64(64 - bits), return_counts=True)
+                place = place.astype(np.int64)
+                counters[place] = np.minimum(counters[place] + seen, FULL)
                 n = end - first
                 yield pa.record_batch({
                     "doc_id": batch.column(0).slice(first, n), "n": pa.array(counts), "cls": pa.array(_classes(values, counts)),
                     "chunk": pa.nulls(n, pa.int32()), "counters": pa.nulls(n, pa.binary()),
                 })
-        if counters.any():
-            parts = counters.reshape(-1, chunk)
-            yield pa.record_batch({
-                "doc_id": pa.nulls(len(parts), batch.column(0).type), "n": pa.nulls(len(parts), pa.int64()),
-                "cls": pa.nulls(len(parts), pa.int64()), "chunk": pa.array(np.arange(len(parts), dtype=np.int32)),
-                "counters": pa.array([p.tobytes() for p in parts], pa.binary()),
-            })
+        for number in range(len(counters) // chunk if kind is not None else 0):
+            part = counters[number * chunk : (number + 1) * chunk]
+            if part.any():
+                none = pa.nulls(1, pa.int64())
+                # Most counters of a task are 0: compressed, they are a few hundredths.
+                yield pa.record_batch({
+                    "doc_id": pa.nulls(1, kind), "n": none, "cls": none, "chunk": pa.array([number], pa.int32()),
+                    "counters": pa.array([zstandard.compress(part.tobytes(), 3)], pa.binary()),
+                })
 
     return run
 
 
 def _add_counters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the chunks in a task; their number is fixed."""
+    """Sums of the chunks that a task holds, each of fixed size."""
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
-        for chunk, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            sums[chunk] = sums.get(chunk, 0) + np.frombuffer(data, np.int64)
-    yield pa.record_batch({
-        "chunk": pa.array(list(sums), pa.int32()), "counters": pa.array([x.tobytes() for x in sums.values()], pa.binary())})
+        for number, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            part = np.frombuffer(zstandard.decompress(data), np.uint8).astype(np.uint16)
+            sums[number] = np.minimum(sums.get(number, 0) + part, FULL).astype(np.uint8)
+    for number, total in sums.items():
+        yield pa.record_batch({"chunk": pa.array([number], pa.int32()), "counters": pa.array([total.tobytes()], pa.binary())})
 
 
 def least_overlap(n: np.ndarray, percent: int) -> np.ndarray:
@@ -113,7 +125,7 @@ def least_overlap(n: np.ndarray, percent: int) -> np.ndarray:
     return -(-n * percent // 100)
 
 
-def _postings(size: int, percent: int, shared):
+def _postings(size: int, percent: int, bits: int, shared):
     """(shingle, class, size) for the rarest shingles of each class, once per class and task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[tuple[int, int]] = set()
@@ -129,10 +141,11 @@ def _postings(size: int, percent: int, shared):
                 if len(known) > 500_000:
                     known.clear()
                 rows = np.repeat(np.arange(len(counts)), counts)
-                often = shared.value[(values >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
+                often = shared.value[(values >> np.uint64(64 - bits)).astype(np.int64)]
                 order = np.lexsort((values, often, rows))
                 rank = np.arange(len(values)) - (np.cumsum(counts) - counts)[rows]
                 keep = fresh[rows] & (rank < (counts - least_overlap(counts, percent) + 1)[rows])
+                keep &= often[order] > 1  # others hold it too, or may
                 chosen = rows[keep]
                 yield pa.record_batch({
                     "shingle": pa.array(values[order][keep].view(np.int64)), "cls": pa.array(names[chosen]),
@@ -143,36 +156,20 @@ def _postings(size: int, percent: int, shared):
 
 
 def _needed_sets(size: int, shared):
-    """(class, size, set) of the classes in the filter, once per class and task."""
+    """(class, size, set) of the documents in the filter; the first column is the hash of their key."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
-        known: set[tuple[int, int]] = set()
         for batch in batches:
-            for _, _, raw, at in K.slices(batch.column(0)):
+            place = (batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+            wanted = batch.filter(pa.array((bits[place >> 3] >> (place & 7) & 1).astype(bool)))
+            for _, _, raw, at in K.slices(wanted.column(1)):
                 values, counts = shingle_sets(raw, at, size)
-                names = _classes(values, counts)
-                place = _filter_place(names)
-                wanted = (bits[place >> 3] >> (place & 7) & 1).astype(bool) & (counts > 0)
-                for i in np.flatnonzero(wanted):
-                    pair = int(names[i]), int(counts[i])
-                    wanted[i] = pair not in known
-                    known.add(pair)
-                if len(known) > 500_000:
-                    known.clear()
-                rows = np.flatnonzero(wanted)
-                begin = np.cumsum(counts) - counts
                 yield pa.record_batch({
-                    "cls": pa.array(names[rows]), "n": pa.array(counts[rows]),
-                    "grams": K.binary_column(values[K.spread(begin[rows], counts[rows])], counts[rows]),
-                })
+                    "cls": pa.array(_classes(values, counts)), "n": pa.array(counts), "grams": K.binary_column(values, counts)})
 
     return run
 
 
-def _filter_place(names: np.ndarray) -> np.ndarray:
-    return (names.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-
-
 def t_occurrence(queries: list[np.ndarray], index: list[np.ndarray], percent: int) -> Iterator[np.ndarray]:
     """For each query the places in ``index`` whose similarity reaches ``percent`` (DivideSkip).
 
@@ -213,25 +210,61 @@ def t_occurrence(queries: list[np.ndarray], index: list[np.ndarray], percent: in
 _EDGES = "cls_a long, n_a long, cls_b long, n_b long"
 
 
-def _link_block(percent: int):
-    """Compare the left rows of a block with all its rows; rows of one component need no look."""
-    def run(table: pa.Table) -> pa.Table:
-        names, n = table["cls"].to_numpy(), table["n"].to_numpy()
-        keys, first = np.unique(np.stack([names, n]), axis=1, return_index=True)
-        left = np.zeros(len(first), bool)
-        where = np.unique(np.stack([names, n]), axis=1, return_inverse=True)[1].reshape(-1)
-        left[where[table["query"].to_numpy(zero_copy_only=False)]] = True
-        grams = table["grams"].combine_chunks()
-        sets = [np.frombuffer(grams[i].as_py(), np.uint64) for i in first.tolist()]
-        label = np.unique(table["component"].to_numpy(zero_copy_only=False).astype(str)[first], return_inverse=True)[1]
-        queries = np.flatnonzero(left)
-        edges: list[tuple[int, int]] = []
-        for q, linked in zip(queries.tolist(), t_occurrence([sets[i] for i in queries], sets, percent)):
-            while len(apart := linked[label[linked] != label[q]]):
-                edges.append((q, int(apart[0])))
-                label[label == label[apart[0]]] = label[q]
-        a, b = np.array(edges, np.int64).reshape(-1, 2).T
-        return pa.table({"cls_a": keys[0][a], "n_a": keys[1][a], "cls_b": keys[0][b], "n_b": keys[1][b]})
+def _link_block(table: pa.Table, percent: int) -> list[tuple[int, int, int, int]]:
+    """Compare the query rows of a block with all its rows; rows of one component need no look."""
+    names, n = table["cls"].to_numpy(), table["n"].to_numpy()
+    # A class may come from several tasks; one row of it is enough, a query row if there is one.
+    key = K.mix(names.view(np.uint64) + n.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    _, first, where = np.unique(key, return_index=True, return_inverse=True)
+    if len(first) < 2:
+        return []
+    asked = np.zeros(len(first), bool)
+    asked[where[table["query"].to_numpy(zero_copy_only=False)]] = True
+    queries = np.flatnonzero(asked)
+    grams = table["grams"].combine_chunks().cast(pa.large_binary())
+    _, offsets, data = grams.buffers()
+    at = np.frombuffer(offsets, np.int64)[grams.offset : grams.offset + len(grams) + 1]
+    sets = [np.frombuffer(data, np.uint64, (at[i + 1] - at[i]) // 8, at[i]) for i in first.tolist()]
+    parts = table["component"].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    label = parts[first].astype(np.int64)
+    edges = []
+    for q, linked in zip(queries.tolist(), t_occurrence([sets[i] for i in queries], sets, percent)):
+        while len(apart := linked[label[linked] != label[q]]):
+            a, b = first[q], first[apart[0]]
+            edges.append((int(names[a]), int(n[a]), int(names[b]), int(n[b])))
+            label[label == label[apart[0]]] = label[q]
+    return edges
+
+
+def _link_blocks(percent: int):
+    """All blocks of a task, one after the other: rows come sorted by block."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        current, edges = None, []
+
+        def out() -> pa.RecordBatch:
+            columns = np.array(edges, np.int64).reshape(-1, 4).T
+            edges.clear()
+            return pa.record_batch(dict(zip(("cls_a", "n_a", "cls_b", "n_b"), map(pa.array, columns))))
+
+        for batch in batches:
+            keys = np.stack([batch.column(x).to_numpy() for x in ("list", "i", "j")])
+            change = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
+            table = pa.Table.from_batches([batch])
+            for a, z in zip([0, *change.tolist()], [*change.tolist(), batch.num_rows]):
+                if a == z:
+                    continue
+                block = tuple(keys[:, a].tolist())
+                if held and block != current:
+                    edges += _link_block(pa.concat_tables(held), percent)
+                    held.clear()
+                held.append(table.slice(a, z - a))
+                current = block
+            if len(edges) > 1000:
+                yield out()
+        if held:
+            edges += _link_block(pa.concat_tables(held), percent)
+        yield out()
 
     return run
 
@@ -257,25 +290,28 @@ def similar_groups(
     ])
     texts = source.filter("doc_id is not null").select("text")
     with temporary(spark) as keep:
-        described = keep(source.mapInArrow(_describe(size), described_schema), "described")
+        length = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        bits = min(MOST_COUNTER_BITS, max(LEAST_COUNTER_BITS, (length // 8).bit_length()))
+        described = keep(source.mapInArrow(_describe(size, bits), described_schema), "described")
         rows = described.filter("chunk is null").select("doc_id", "n", "cls")
-        chunks = "chunk int, counters binary"
-        summed = described.filter("chunk is not null").select("chunk", "counters").mapInArrow(_add_counters, chunks)
-        summed = summed.repartition(16, "chunk").mapInArrow(_add_counters, chunks)
-        counters = np.zeros(1 << COUNTER_BITS, np.int64)
-        for r in summed.collect():  # fixed size: the counters
-            part = np.frombuffer(r["counters"], np.int64)
-            counters[r["chunk"] * len(part) : (r["chunk"] + 1) * len(part)] = part
-        postings = keep(
-            texts.mapInArrow(_postings(size, percent, spark.sparkContext.broadcast(counters)), "shingle long, cls long, n long"), "postings")
-        lists = postings.groupBy("shingle").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).filter("low <> high")
-        members = materialize(postings.join(lists, "shingle").distinct())
+        chunks = described.filter("chunk is not null").select("chunk", "counters")
+        # Dealt by chunk: each task sums whole chunks, and all together are the counters.
+        summed = chunks.repartition("chunk").mapInArrow(_add_counters, "chunk int, counters binary")
+        counters = np.zeros(1 << bits, np.uint8)
+        for r in summed.toLocalIterator():  # fixed size: the counters
+            counters[r["chunk"] << LEAST_COUNTER_BITS : (r["chunk"] + 1) << LEAST_COUNTER_BITS] = np.frombuffer(r["counters"], np.uint8)
+        shared = spark.sparkContext.broadcast(counters)
+        postings = keep(texts.mapInArrow(_postings(size, percent, bits, shared), "shingle long, cls long, n long"), "postings")
+        lists = postings.groupBy("shingle").agg(
+            F.min("cls").alias("low"), F.max("cls").alias("high"), F.min_by("n", "cls").alias("n_low"), F.max_by("n", "cls").alias("n_high"),
+        ).filter("low <> high")
+        members = keep(postings.join(lists, "shingle"), "members")
         classes = rows.filter("n > 0 and doc_id is not null").groupBy("cls", "n").agg(F.min("doc_id").alias("node"))
         classes = materialize(classes)
-        sets = materialize(_sets_of(texts, members, size).dropDuplicates(["cls", "n"]))
-        first = materialize(_compare(_star_blocks(members), sets, percent))
+        sets = keep(_sets_of(source, members, classes, size), "sets")
+        first = materialize(_compare(_star_blocks(members, percent), sets, percent))
         groups = components(_as_nodes(first, classes))
-        second = materialize(_compare(_open_blocks(members, classes, groups), sets, percent))
+        second = materialize(_compare(_open_blocks(members, classes, groups, percent, keep), sets, percent))
         if second.take(1):
             groups = components(_as_nodes(first.unionByName(second), classes))
         labelled = classes.join(groups, "node", "left").select("cls", "n", F.coalesce("component", "node").alias("component"))
@@ -285,23 +321,33 @@ def similar_groups(
         return materialize(result)
 
 
-def _sets_of(texts: DataFrame, members: DataFrame, size: int) -> DataFrame:
-    """The shingle sets of the classes in ``members``, found by one more reading of the texts."""
-    place = F.shiftrightunsigned("cls", 64 - FILTER_BITS).cast("int")
+def _sets_of(source: DataFrame, members: DataFrame, classes: DataFrame, size: int) -> DataFrame:
+    """The shingle sets of the classes in ``members``, by one more reading of their first documents."""
+    wanted = members.select("cls", "n").distinct().join(classes, ["cls", "n"]).select(F.xxhash64("node").alias("h"))
+    place = F.shiftrightunsigned("h", 64 - FILTER_BITS).cast("int")
+    words = wanted.select((place / 64).cast("int").alias("word"), (place % 64).alias("bit")).distinct()
+    words = words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
     bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-    word = members.select((place / 64).cast("int").alias("word"), (place % 64).alias("bit")).distinct()
-    word = word.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
     view = bits.view("<i8")
-    for r in word.toLocalIterator():  # fixed size: the filter
+    for r in words.toLocalIterator():  # fixed size: the filter
         view[r["word"]] = r["bits"]
-    shared = texts.sparkSession.sparkContext.broadcast(bits)
-    return texts.mapInArrow(_needed_sets(size, shared), "cls long, n long, grams binary")
-
-
-def _star_blocks(members: DataFrame) -> DataFrame:
-    """Blocks of a pivot with the classes that meet it in some list."""
-    met = members.select("cls", "n", F.explode(F.array("low", "high")).alias("pivot")).distinct()
-    sizes = met.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).filter("pivot is not null")
+    shared = source.sparkSession.sparkContext.broadcast(bits)
+    named = source.filter("doc_id is not null").select(F.xxhash64("doc_id").alias("h"), "text")
+    return named.mapInArrow(_needed_sets(size, shared), "cls long, n long, grams binary").filter("n > 0")
+
+
+def _star_blocks(members: DataFrame, percent: int) -> DataFrame:
+    """Blocks of a pivot with the classes that meet it in the most lists."""
+    ends = F.array(
+        F.struct(F.col("low").alias("pivot"), F.col("n_low").alias("m")), F.struct(F.col("high").alias("pivot"), F.col("n_high").alias("m")))
+    met = members.select("cls", "n", F.explode(ends).alias("end")).select("cls", "n", "end.pivot", "end.m")
+    met = met.filter((F.col("cls") != F.col("pivot")) & (100 * F.least("n", "m") >= percent * F.greatest("n", "m")))
+    met = met.groupBy("cls", "n", "pivot", "m").agg(F.count("*").alias("lists"))
+    best = Window.partitionBy("cls", "n").orderBy(F.desc("lists"), "pivot")
+    met = met.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= PIVOTS)
+    met = materialize(met.select("cls", "n", "pivot", "m"))
+    sizes = met.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    met = met.select("cls", "n", "pivot").unionByName(met.select(F.col("pivot").alias("cls"), F.col("m").alias("n"), "pivot")).distinct()
     placed = met.join(sizes, "pivot")
     is_pivot = F.col("cls") == F.col("pivot")
     own = F.pmod(F.xxhash64("cls", "n"), F.col("blocks")).cast("int")
@@ -312,14 +358,18 @@ def _star_blocks(members: DataFrame) -> DataFrame:
         F.lit(True).alias("query"), F.xxhash64("cls", "n").cast("string").alias("component"))
 
 
-def _open_blocks(members: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
+def _open_blocks(members: DataFrame, classes: DataFrame, groups: DataFrame, percent: int, keep) -> DataFrame:
     """Blocks of the lists whose members are in several components."""
     labelled = classes.join(groups, "node", "left").select("cls", "n", F.coalesce("component", "node").cast("string").alias("component"))
-    placed = materialize(members.select("shingle", "cls", "n").join(labelled, ["cls", "n"]).withColumn("mark", F.xxhash64("component")))
+    placed = members.select("shingle", "cls", "n").join(labelled, ["cls", "n"])
+    placed = keep(placed.withColumn("mark", F.xxhash64("component")), "placed")
     lists = placed.groupBy("shingle").agg(
         F.count("*").alias("m"), F.sum(F.xxhash64("cls", "n").cast("decimal(20,0)")).alias("members"),
         F.min("mark").alias("low"), F.max("mark").alias("high"), F.min_by("mark", "cls").alias("pivot"),
+        F.min("n").alias("least"), F.max("n").alias("most"),
     ).filter("low <> high")
+    # Two members whose sizes are too far apart cannot link.
+    lists = lists.filter((F.col("m") > 2) | (100 * F.col("least") >= percent * F.col("most")))
     # Lists of the same members are looked at once.
     lists = lists.groupBy("m", "members").agg(F.min_by(F.struct("shingle", "pivot"), "shingle").alias("chosen"))
     lists = lists.select(F.col("chosen.shingle").alias("shingle"), F.col("chosen.pivot").alias("pivot"), "m")
@@ -340,7 +390,8 @@ def _open_blocks(members: DataFrame, classes: DataFrame, groups: DataFrame) -> D
 
 def _compare(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     filled = blocks.join(sets, ["cls", "n"])
-    return filled.groupBy("list", "i", "j").applyInArrow(_link_block(percent), _EDGES).distinct()
+    dealt = filled.repartition("list", "i", "j").sortWithinPartitions("list", "i", "j")
+    return dealt.mapInArrow(_link_blocks(percent), _EDGES).distinct()
 
 
 def _as_nodes(edges: DataFrame, classes: DataFrame) -> DataFrame:
