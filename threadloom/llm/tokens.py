@@ -3,11 +3,13 @@
 The vocabulary is byte-level BPE, whose pre-tokens are encoded one by one and never touch each
 other. Each task therefore cuts the texts into pre-tokens with array operations, asks the library
 only for pre-tokens it has not met, and keeps their ids in a bounded table. Texts with characters
-outside the ranges that the cutter knows are encoded whole by the library, with the same result.
+outside the ranges that the cutter knows, and texts that spell an added token (which the library
+splits off first), are encoded whole by the library.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,8 +48,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        # The spelling of a special token inside a text is ordinary text.
-        self.library.encode_special_tokens = True
+        spelled = [re.escape(x.content.encode()) for x in self.library.get_added_tokens_decoder().values()]
+        # Looks ahead only, so that a match across two texts hides none inside a text.
+        self.added = re.compile(b"(?=" + b"|".join(spelled) + b")") if spelled else None
         self.kinds = _classes()
         self.line = self.library.encode("\n", add_special_tokens=False).ids[0]
         self._reset()
@@ -66,6 +69,9 @@ class Encoder:
         odd = np.zeros(n, bool)
         if lead.any():
             odd[K.rows_of(np.flatnonzero(lead), at)] = True
+        if self.added:
+            marks = np.array([m.start() for m in self.added.finditer(raw.tobytes())], np.int64)
+            odd[K.rows_of(marks, at)] = True
         if not odd.any():
             return self._encode_plain(raw, at)
         plain = np.flatnonzero(~odd)
