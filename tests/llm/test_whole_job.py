@@ -1,10 +1,13 @@
 """Cases that were once left out: each test failed before the operator did the whole job."""
 
+import collections
+import random
+
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from threadloom.llm import packing, token_files
+from threadloom.llm import language, packing, token_files
 from threadloom.session import scratch_path
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -22,3 +25,28 @@ def test_added_tokens_have_the_ids_of_the_library(spark):
     token_files.write_tokens(docs, PATH, path, end_id=0)
     read = token_files.read_tokens(spark, path).collect()
     assert {r["doc_id"]: np.frombuffer(bytes(r["ids"]), "<u4").tolist() for r in read} == {i: x + [0] for i, x in want.items()}
+
+
+def test_languages_without_spaces_are_learned(spark):
+    picked = random.Random(5)
+    def make(first, n):
+        return "".join(chr(first + picked.randrange(300)) for _ in range(n))
+    rows = [(i, make(0x4E00, 130 + i), "zh") for i in range(20)] + [(100 + i, make(0xAC00, 30), "ko") for i in range(20)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(table.filter("doc_id % 4 <> 0"))
+    assert model.languages == ["ko", "zh"]
+    got = language.identify(table.filter("doc_id % 4 = 0"), model).collect()
+    assert all(r["language"]["lang"] == r["lang"] for r in got)
+
+
+def test_ngrams_of_long_words_count_once_each(spark, monkeypatch):
+    monkeypatch.setattr(language, "LEAST_COUNT", 1)
+    seen = {}
+    monkeypatch.setattr(language, "_table", lambda rows, languages: seen.update({len(seen): rows}) or (None, None))
+    picked = random.Random(6)
+    for n in (1, 4, 99, 100, 101, 104, 105, 200, 204, 333):
+        seen.clear()
+        word = "".join(picked.choices("abcd", k=n))
+        language.fit(spark.createDataFrame([(1, word, "aa")], "doc_id long, text string, lang string"))
+        want = collections.Counter(word[i : i + k] for k in range(1, 6) for i in range(n - k + 1))
+        assert {r["name"]: r["n"] for r in seen[1]} == want

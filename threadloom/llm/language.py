@@ -20,6 +20,8 @@ FIT_ROWS = 1500
 # Words and n-grams seen less often are left to shorter ones.
 LEAST_COUNT = 2
 LONGEST = 5
+# Longer words (text without spaces is one word) are cut for counting n-grams, to keep rows short.
+PART = 100
 
 # Letters of lower-cased text as far as bytes tell; the rest of Unicode counts as part of words.
 WORD = np.zeros(256, bool)
@@ -64,10 +66,12 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     words = sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(_WORD_PATTERN), F.lit(0))).alias("name"))
     counted = words.groupBy("lang", "name").agg(F.count("*").alias("n")).persist()
     listed = counted.filter(F.col("n") >= LEAST_COUNT).collect()
-    spans = F.flatten(F.transform(F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.length("name"))), lambda k: F.transform(
-        F.sequence(F.lit(1), F.length("name") - k + 1), lambda i: F.substr(F.col("name"), i, k))))
-    # Very long words are rare and say little; their n-grams are those of other words.
-    grams = counted.filter(F.length("name") <= 100).select("lang", "n", F.explode(spans).alias("name"))
+    # A part has the n-grams that begin in its first PART characters; what follows lets them end.
+    parts = counted.select("lang", "n", F.explode(F.transform(F.sequence(F.lit(1), F.length("name"), F.lit(PART)), lambda i: F.substr(
+        F.col("name"), i, F.lit(PART + LONGEST - 1)))).alias("part"))
+    spans = F.flatten(F.transform(F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.length("part"))), lambda k: F.transform(
+        F.sequence(F.lit(1), F.least(F.lit(PART), F.length("part") - k + 1)), lambda i: F.substr(F.col("part"), i, k))))
+    grams = parts.select("lang", "n", F.explode(spans).alias("name"))
     pieces = grams.groupBy("lang", "name").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_COUNT).collect()
     counted.unpersist()
     languages = sorted({r["lang"] for r in pieces} | {r["lang"] for r in listed})
