@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from threadloom.llm import language, packing, token_files
+from threadloom.llm import language, packing, quality, token_files
 from threadloom.session import scratch_path
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -50,3 +50,17 @@ def test_ngrams_of_long_words_count_once_each(spark, monkeypatch):
         language.fit(spark.createDataFrame([(1, word, "aa")], "doc_id long, text string, lang string"))
         want = collections.Counter(word[i : i + k] for k in range(1, 6) for i in range(n - k + 1))
         assert {r["name"]: r["n"] for r in seen[1]} == want
+
+
+def test_one_long_text_does_not_empty_the_quality_sample(spark, monkeypatch):
+    monkeypatch.setattr(quality, "FIT_BYTES", 24_000)
+    monkeypatch.setattr(quality, "ROW_CHARS", 500, raising=False)
+    picked = random.Random(7)
+    def prose(n, tail):
+        return " ".join("".join(random.Random(picked.randrange(200)).choices("abcdefgh", k=6)) + tail for _ in range(n))
+    # Every text of label 0 alone passes the bound.
+    rows = [(i, prose(40, ""), 1) for i in range(40)] + [(100 + i, prose(4000, "!!"), 0) for i in range(40)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    model = quality.fit(table.filter("doc_id % 4 <> 0").select("doc_id", "text"), table.select("doc_id", "quality"))
+    got = quality.score_quality(table.filter("doc_id % 4 = 0"), model).collect()
+    assert all((r["score"] >= 0.5) == (r["quality"] == 1) for r in got)
