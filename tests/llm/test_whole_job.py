@@ -64,3 +64,24 @@ def test_one_long_text_does_not_empty_the_quality_sample(spark, monkeypatch):
     model = quality.fit(table.filter("doc_id % 4 <> 0").select("doc_id", "text"), table.select("doc_id", "quality"))
     got = quality.score_quality(table.filter("doc_id % 4 = 0"), model).collect()
     assert all((r["score"] >= 0.5) == (r["quality"] == 1) for r in got)
+
+
+def test_samples_take_one_row_of_a_key(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(language, "_table", lambda rows, languages: seen.update({len(seen): rows}) or (None, None))
+    repeated = [(1, "b b b", "aa")] * 50 + [(1, "a a a", "aa"), (2, "c c c", "aa")]
+    language.fit(spark.createDataFrame(repeated, "doc_id long, text string, lang string"))
+    assert {r["name"]: r["n"] for r in seen[0]} == {"a": 3, "c": 3}
+    monkeypatch.setattr(quality, "_fit", lambda bad, good: (bad, good))
+    docs = spark.createDataFrame([(1, "b")] * 50 + [(1, "a"), (2, "c")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, quality int")
+    assert quality.fit(docs, labels) == ([b"a"], [b"c"])
+
+
+def test_language_samples_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(language, "FIT_BYTES", 100, raising=False)
+    monkeypatch.setattr(language, "ROW_CHARS", 40, raising=False)
+    seen = {}
+    monkeypatch.setattr(language, "_table", lambda rows, languages: seen.update({len(seen): rows}) or (None, None))
+    language.fit(spark.createDataFrame([(i, "a " * 5000, "aa") for i in range(9)], "doc_id long, text string, lang string"))
+    assert {r["name"]: r["n"] for r in seen[0]} == {"a": 40}

@@ -13,10 +13,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from threadloom.llm import kernels as K
-from threadloom.llm.common import prepare
+from threadloom.llm.common import materialize, prepare
 
 # Labelled documents of each language that the model is fitted on at most.
 FIT_ROWS = 1500
+# Their bytes at most, in each language; a text adds its first ROW_CHARS characters (1 MB at most).
+FIT_BYTES = 12_000_000
+ROW_CHARS = 250_000
 # Words and n-grams seen less often are left to shorter ones.
 LEAST_COUNT = 2
 LONGEST = 5
@@ -55,14 +58,19 @@ def _table(rows, languages: list[str]) -> tuple[K.HashTable, np.ndarray]:
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> LanguageModel:
     """Fit on a bounded sample of the labelled rows: of each language the FIT_ROWS documents whose
-    keys have the smallest hash. Words and n-grams are counted by Spark over whole texts."""
-    known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    order = Window.partitionBy(lang).orderBy(F.xxhash64(F.col(key), F.lit(9)), F.col(key))
+    keys have the smallest hash, up to FIT_BYTES of text, of which each adds its first ROW_CHARS
+    characters. Rows with the same key and language are one document, with the smallest of their texts."""
+    known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
+        F.col(key).alias("_key"), F.col(lang).alias("_lang"), F.left(text, F.lit(ROW_CHARS)).alias("text"))
+    order = Window.partitionBy("_lang").orderBy(F.xxhash64("_key", F.lit(9)), "_key")
     # Keys are ranked without their texts; the chosen ones, FIT_ROWS per language, go to the texts.
-    ranked = known.select(F.col(key).alias("_key"), F.col(lang).alias("_lang"), F.row_number().over(order).alias("_rank"))
-    chosen = ranked.filter(F.col("_rank") <= FIT_ROWS).select("_key", "_lang").distinct()
-    sample = known.select(F.col(key).alias("_key"), F.col(lang).alias("_lang"), F.col(text).alias("text")).join(
-        F.broadcast(chosen), ["_key", "_lang"]).select(F.col("_lang").alias("lang"), "text")
+    ranked = known.select("_key", "_lang").distinct().withColumn("_rank", F.row_number().over(order))
+    chosen = ranked.filter(F.col("_rank") <= FIT_ROWS).select("_key", "_lang")
+    rows = materialize(known.join(F.broadcast(chosen), ["_key", "_lang"]).groupBy("_key", "_lang").agg(F.min("text").alias("text")))
+    sizes = rows.select("_key", "_lang", F.sum(F.octet_length("text")).over(
+        order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_bytes"))
+    sample = rows.join(F.broadcast(sizes.filter(F.col("_bytes") <= FIT_BYTES).drop("_bytes")), ["_key", "_lang"]).select(
+        F.col("_lang").alias("lang"), "text")
     words = sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(_WORD_PATTERN), F.lit(0))).alias("name"))
     counted = words.groupBy("lang", "name").agg(F.count("*").alias("n")).persist()
     listed = counted.filter(F.col("n") >= LEAST_COUNT).collect()

@@ -94,13 +94,15 @@ def _calibrate(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> CompressionModel:
     """Fit on a bounded sample of the labelled rows: for each label the FIT_ROWS whose keys have the
-    smallest hash, up to FIT_BYTES of text, of which each row adds its first ROW_CHARS characters. Rows of several labels, or of none, are not learned from.
+    smallest hash, up to FIT_BYTES of text, of which each row adds its first ROW_CHARS characters. Rows of
+    one key are one row, with the smallest of their texts. Keys of several labels, or of none, are not learned from.
     Without rows of both labels every score is the share of label 1, or one half."""
     known = labels.filter(f"{label} in (0, 1)").groupBy(key).agg(F.min(label).alias("_low"), F.max(label).alias("_high")).filter("_low = _high")
     parts = []
     for value in (0, 1):
         rows = known.filter(F.col("_low") == value).orderBy(F.xxhash64(F.col(key), F.lit(3)), key).limit(FIT_ROWS)
-        found = docs.select(key, F.left(text, F.lit(ROW_CHARS)).alias(text)).join(F.broadcast(rows.select(key)), key).filter(F.length(text) > 0)
+        found = docs.select(key, F.left(text, F.lit(ROW_CHARS)).alias(text)).join(F.broadcast(rows.select(key)), key)
+        found = found.filter(F.length(text) > 0).groupBy(key).agg(F.min(text).alias(text))
         # Each row adds its bytes; the sample ends where the bound is met, in the order of the hash.
         order = F.xxhash64(F.col(key), F.lit(3))
         few = found.select(order.alias("o"), F.octet_length(text).alias("b")).toArrow().to_pandas().sort_values("o")
