@@ -26,9 +26,12 @@ BROADCAST_KEYS = 1_000_000
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID. Documents without a letter (null and empty ones too) go, and those of which no
-    language is likelier than all others together. Repeated rows and rows without a key stay."""
+    language is likelier than all others together. Repeated rows and rows without a key stay. Where no
+    language can be learned (no row with text has one), all documents with a letter stay."""
     prepare(spark)
     model = language.fit(docs.filter(~held_out()).select("doc_id", "text", "lang"))
+    if not model.languages:
+        return docs.filter(language.has_letters(F.col("text")))
     known = language.identify(docs.drop("_language"), model, out="_language")
     kept = (F.col("_language.lang") != "und") & (F.col("_language.score") >= LEAST_LANGUAGE_SCORE)
     return known.filter(kept).select(*docs.columns)

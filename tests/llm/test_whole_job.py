@@ -7,6 +7,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+import corpus_pipeline as P
 from threadloom.llm import language, packing, quality, token_files
 from threadloom.session import scratch_path
 
@@ -85,3 +86,8 @@ def test_language_samples_are_bounded_by_bytes(spark, monkeypatch):
     monkeypatch.setattr(language, "_table", lambda rows, languages: seen.update({len(seen): rows}) or (None, None))
     language.fit(spark.createDataFrame([(i, "a " * 5000, "aa") for i in range(9)], "doc_id long, text string, lang string"))
     assert {r["name"]: r["n"] for r in seen[0]} == {"a": 40}
+
+
+def test_documents_stay_where_no_language_is_learned(spark):
+    docs = spark.createDataFrame([(1, "some words", None), (2, "12 !", None), (3, None, None), (None, "\u65e5", None)], "doc_id long, text string, lang string")
+    assert {r["text"] for r in P.keep_known_languages(spark, docs, "").collect()} == {"some words", "\u65e5"}

@@ -136,6 +136,10 @@ def score_texts(model: LanguageModel, raw: np.ndarray, at: np.ndarray) -> tuple[
     return best, 1.0 / np.exp(total - total.max(1, keepdims=True)).sum(1)
 
 
+def has_letters(text: Column) -> Column:
+    return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+
+
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text", out: str = "language") -> DataFrame:
     """Add ``out``: a struct of lang (``und`` if the text is null or has no letter) and score, from 0 to 1.
 
@@ -143,7 +147,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", out: str
     learned language every text is ``und`` with score 0.
     """
     prepare(docs.sparkSession)
-    letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
+    letters = has_letters(F.col(text))
     nothing = F.struct(F.lit("und").alias("lang"), F.lit(0.0).alias("score"))
     if not model.languages:
         return docs.withColumn(out, nothing)
