@@ -91,3 +91,11 @@ def test_language_samples_are_bounded_by_bytes(spark, monkeypatch):
 def test_documents_stay_where_no_language_is_learned(spark):
     docs = spark.createDataFrame([(1, "some words", None), (2, "12 !", None), (3, None, None), (None, "\u65e5", None)], "doc_id long, text string, lang string")
     assert {r["text"] for r in P.keep_known_languages(spark, docs, "").collect()} == {"some words", "\u65e5"}
+
+
+def test_rounds_go_on_while_they_join_bins(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_ITEMS", 40)
+    # Bins of 39 join nothing, those of 30 only each other; a round joins less than 5 % of all.
+    sizes = [39] * 1000 + [30] * 100
+    moved = packing.merge_bins(spark.createDataFrame(list(enumerate(sizes)), "bin long, fill long"), 64).collect()
+    assert len(moved) >= 90

@@ -3,7 +3,8 @@
 Hierarchical residual packing: every task packs the pieces it has tokenised by best fit, in blocks
 of bounded size. Bins that are nearly full are final. The others become items of one size: they are
 dealt into groups of bounded size, each group is packed by best fit again, nearly full results leave,
-and the rest goes up the tree into fewer groups, until one group is left or a round no longer helps.
+and the rest goes up the tree into fewer groups, until one group is left or a round neither closes
+nor joins any bin.
 Token ids are written once, beside their bin; the tree moves (bin, fill) rows only.
 """
 
@@ -151,7 +152,7 @@ def merge_bins(items: DataFrame, capacity: int) -> DataFrame:
             dealt.groupBy("group").applyInArrow(_merge(capacity), _ITEMS)
         )
         left, rest = packed.filter("open"), packed.filter("open").count()
-        if groups == 1 or rest > 0.95 * n:
+        if groups == 1 or rest == n:
             done.append(packed)
             break
         done.append(packed.filter("not open"))
