@@ -15,7 +15,6 @@ ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:
 @cache
 def tokenizer():
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    library.encode_special_tokens = True
     return library
 
 
