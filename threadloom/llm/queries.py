@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from threadloom.llm import language, quality
-from threadloom.llm.common import held_out, prepare
+from threadloom.llm.common import held_out, materialize, prepare, temporary
 from threadloom.llm.decontaminate import decontaminate
 from threadloom.llm.jaccard import similar_groups
 from threadloom.llm.packing import pack
@@ -15,11 +15,13 @@ from threadloom.llm.sharding import assign_shards
 from threadloom.llm.token_files import read_tokens, write_tokens
 from threadloom.llm.url_filters import judge_urls
 from threadloom.llm.vectors import near_vectors
+from threadloom.llm.word_bpe import decode_words, encode_words
 from threadloom.session import scratch_path
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 TOKENIZER = "byte_bpe_50k.json"
+WORD_TOKENIZER = "word_bpe_49k.json"
 
 
 def query(name: str, oracle: str | None = None):
@@ -151,3 +153,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select(
         "page_id", "host", "path", "rule", "verdict")
+
+
+@query("op12_word_bpe")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(WORD_TOKENIZER)
+    with temporary(spark) as keep:
+        decoded = decode_words(encode_words(table(spark, sf_dir, "documents"), path, keep), path)
+        return materialize(decoded.select(
+            "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")))
