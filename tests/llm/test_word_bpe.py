@@ -65,7 +65,7 @@ def test_encode_and_decode(spark, monkeypatch):
     # Small blocks and groups, so that words meet over many of both.
     monkeypatch.setattr(word_bpe, "BLOCK_BYTES", 500)
     monkeypatch.setattr(word_bpe, "GROUP_WORDS", 100)
-    monkeypatch.setattr(K.slices, "__defaults__", (200,))
+    monkeypatch.setattr(word_bpe, "SLICE_BYTES", 200)
     monkeypatch.setattr(word_bpe, "DECODE_IDS", 50)
     rows, docs = table(spark)
     with temporary(spark) as keep:

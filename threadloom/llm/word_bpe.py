@@ -27,7 +27,9 @@ from threadloom.llm import kernels as K
 from threadloom.llm.common import prepare, temporary
 
 # Bytes of text in a block; a longer text is a block of its own.
-BLOCK_BYTES = 32_000_000
+BLOCK_BYTES = 16_000_000
+# Bytes of text that are cut at once, unless a text is longer.
+SLICE_BYTES = 500_000
 # Block words that one group of the distinct-word table holds, on average.
 GROUP_WORDS = 250_000
 # Ids of a batch while decoding; a longer text is decoded alone.
@@ -36,6 +38,7 @@ DECODE_IDS = 1_000_000
 _SPACE, _LETTER, _NUMBER, _OTHER = 1, 2, 3, 4
 # Starts a word that stands for an added token; no UTF-8 text holds this byte.
 _ADDED = b"\xff"
+_BREAK = 10
 # The pattern that the fast cutter follows (a fixed value); others are cut by the library.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _FAST_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
@@ -198,15 +201,64 @@ def splitter(path: str) -> Splitter:
     return _SPLITTERS[path]
 
 
+# Numbers below _ONE take one byte, those below _TWO two bytes.
+_ONE = 192
+_TWO = _ONE + 63 * 256
+
+
 def pack_numbers(values: np.ndarray) -> bytes:
-    """Small numbers in byte planes, compressed."""
-    planes = values.astype("<u4").view(np.uint8).reshape(-1, 4)
-    return zstandard.compress(np.ascontiguousarray(planes.T).tobytes(), 1)
+    """Numbers, most of them small, in one, two or four bytes, each byte in a stream of its own, compressed."""
+    values = values.astype(np.uint32)
+    two = (values >= _ONE) & (values < _TWO)
+    far = values >= _TWO
+    rest = values[two] - _ONE
+    first = values.astype(np.uint8)
+    first[two] = _ONE + (rest >> 8)
+    first[far] = 255
+    last = np.ascontiguousarray((values[far] - _TWO).astype("<u4").view(np.uint8).reshape(-1, 4).T[:3])
+    sizes = np.array([len(first), len(rest), len(last[0])], "<u4")
+    return zstandard.compress(sizes.tobytes() + first.tobytes() + (rest & 255).astype(np.uint8).tobytes() + last.tobytes(), 3)
 
 
 def unpack_numbers(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+    raw = np.frombuffer(zstandard.decompress(data), np.uint8)
+    n, n_two, n_far = raw[:12].view("<u4").tolist()
+    first, rest, last = raw[12 : 12 + n], raw[12 + n : 12 + n + n_two], raw[12 + n + n_two :].reshape(3, n_far).astype(np.uint32)
+    values = first.astype(np.uint32)
+    values[(first >= _ONE) & (first < 255)] = _ONE + (first[(first >= _ONE) & (first < 255)].astype(np.uint32) - _ONE << 8) + rest
+    values[first == 255] = _TWO + (last[0] | last[1] << 8 | last[2] << 16)
+    return values
+
+
+def _pack_ids(ids: np.ndarray) -> bytes:
+    width = 2 if not len(ids) or ids.max() < 1 << 16 else 4
+    return bytes([width]) + zstandard.compress(ids.astype(f"<u{width}").tobytes(), 3)
+
+
+def _unpack_ids(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(data[1:]), f"<u{data[0]}")
+
+
+def spell(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> bytes:
+    """The words at these places, joined by a line break, which no word holds."""
+    lengths = ends - starts + 1
+    out = raw[np.minimum(K.spread(starts, lengths), len(raw) - 1)]
+    out[np.cumsum(lengths) - 1] = _BREAK
+    return out[:-1].tobytes()
+
+
+def _end_to_end(words: list[tuple[bytes, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes, starts and ends of the words of several lists."""
+    raw = np.frombuffer(b"\n".join(x for x, _ in words), np.uint8)
+    lengths = np.concatenate([np.empty(0, np.int64), *(x for _, x in words)])
+    ends = np.cumsum(lengths + 1) - 1
+    return raw, ends - lengths, ends
+
+
+def _by_spelling(listed: bytes) -> list[int]:
+    """The order of listed words by their bytes."""
+    words = listed.split(b"\n") if listed else []
+    return sorted(range(len(words)), key=words.__getitem__)
 
 
 def _cut(path: str, kind: pa.DataType):
@@ -219,13 +271,19 @@ def _cut(path: str, kind: pa.DataType):
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal block, table, held
-            often = np.bincount(np.concatenate([c[2] for c in chunks]), minlength=len(words))
+            often = np.zeros(table.size, np.int64)
+            for _, _, numbers in chunks:
+                often += np.bincount(numbers, minlength=table.size)
+            data, starts, ends = _end_to_end(words)
             order = np.argsort(-often, kind="stable")
-            rank = np.empty(len(words), np.uint32)
-            rank[order] = np.arange(len(words))
-            listed = zstandard.compress(b"\n".join(words[i] for i in order.tolist()), 3)
+            # Numbers of one or two bytes go by frequency; the others by spelling, which compresses best.
+            rare = order[_TWO:]
+            order[_TWO:] = rare[_by_spelling(spell(data, starts[rare], ends[rare]))]
+            rank = np.empty(table.size, np.uint32)
+            rank[order] = np.arange(table.size)
+            listed = zstandard.compress(spell(data, starts[order], ends[order]), 9)
             none = pa.nulls(1, pa.list_(kind)), pa.nulls(1, pa.list_(pa.int64())), pa.nulls(1, pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([-1]), *none, pa.array([listed], pa.binary()), pa.array([len(words)])], _CUT)
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([-1]), *none, pa.array([listed], pa.binary()), pa.array([table.size])], _CUT)
             for place, (keys, counts, numbers) in enumerate(chunks):
                 names = pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys.cast(kind))
                 yield pa.RecordBatch.from_arrays([
@@ -236,7 +294,7 @@ def _cut(path: str, kind: pa.DataType):
             chunks.clear()
 
         for batch in batches:
-            for first, end, raw, at in K.slices(batch.column(1)):
+            for first, end, raw, at in K.slices(batch.column(1), SLICE_BYTES):
                 if held and held + len(raw) > BLOCK_BYTES:
                     yield from flush()
                 held += max(len(raw), 1)
@@ -247,8 +305,7 @@ def _cut(path: str, kind: pa.DataType):
                 if len(missing):
                     fresh, where = np.unique(hashes[missing], return_index=True)
                     where = missing[where]
-                    data = raw.tobytes()
-                    words += [data[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist())]
+                    words.append((spell(raw, starts[where], ends[where]), ends[where] - starts[where]))
                     table.insert(fresh)
                     numbers[missing] = table.find(hashes[missing])
                 chunks.append((batch.column(0).slice(first, end - first), counts, numbers))
@@ -269,17 +326,17 @@ def _deal(path: str, groups: int):
                 data = zstandard.decompress(data)
                 if not data:
                     continue
-                words = data.split(b"\n")
-                lengths = np.array([len(w) for w in words], np.int64)
-                ends = np.cumsum(lengths + 1) - 1
-                group = (K.span_hashes(np.frombuffer(data, np.uint8), ends - lengths, ends) % np.uint64(groups)).astype(np.int64)
+                raw = np.frombuffer(data, np.uint8)
+                ends = np.concatenate([np.flatnonzero(raw == _BREAK), [len(raw)]])
+                starts = np.concatenate([[0], ends[:-1] + 1])
+                group = (K.span_hashes(raw, starts, ends) % np.uint64(groups)).astype(np.int64)
                 order = np.argsort(group, kind="stable")
                 cuts = np.flatnonzero(np.diff(group[order])) + 1
                 parts = np.split(order, cuts)
                 yield pa.record_batch({
                     "group": pa.array(group[[p[0] for p in parts]]), "block": pa.array([block] * len(parts)),
                     "places": pa.array([pack_numbers(np.diff(p, prepend=0)) for p in parts], pa.binary()),
-                    "words": pa.array([zstandard.compress(b"\n".join(words[i] for i in p.tolist()), 3) for p in parts], pa.binary()),
+                    "words": pa.array([zstandard.compress(spell(raw, starts[p], ends[p]), 9) for p in parts], pa.binary()),
                 })
 
     return run
@@ -297,7 +354,7 @@ def _encode_group(path: str):
         begin = np.cumsum(lengths) - lengths
         return pa.table({
             "block": table["block"], "places": table["places"],
-            "ids": pa.array([pack_numbers(flat[K.spread(begin[x], lengths[x])]) for x in asked], pa.binary()),
+            "ids": pa.array([_pack_ids(flat[K.spread(begin[x], lengths[x])]) for x in asked], pa.binary()),
             "lengths": pa.array([pack_numbers(lengths[x]) for x in asked], pa.binary()),
         })
 
@@ -307,9 +364,9 @@ def _encode_group(path: str):
 def _put_back(kind: pa.DataType):
     """The ids of the texts of a block, from its numbers and the ids of its words."""
     def run(chunks: pa.Table, parts: pa.Table) -> pa.Table:
-        places = [np.cumsum(unpack_numbers(x).view(np.int32).astype(np.int64)) for x in parts["places"].to_pylist()]
+        places = [np.cumsum(unpack_numbers(x).astype(np.int64)) for x in parts["places"].to_pylist()]
         sizes = [unpack_numbers(x).astype(np.int64) for x in parts["lengths"].to_pylist()]
-        flat = [unpack_numbers(x) for x in parts["ids"].to_pylist()]
+        flat = [_unpack_ids(x) for x in parts["ids"].to_pylist()]
         none = np.empty(0, np.int64)
         place, size, flat = np.concatenate([none, *places]), np.concatenate([none, *sizes]), np.concatenate([none, *flat]).astype(np.uint32)
         length, begin = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
