@@ -10,6 +10,7 @@ from threadloom.llm.common import held_out, materialize, prepare, temporary
 from threadloom.llm.decontaminate import decontaminate
 from threadloom.llm.jaccard import similar_groups
 from threadloom.llm.packing import pack
+from threadloom.llm.periodic import find_runs, strongest
 from threadloom.llm.secrets import labelled_samples, scan, spelled, train
 from threadloom.llm.sharding import assign_shards
 from threadloom.llm.token_files import read_tokens, write_tokens
@@ -162,3 +163,31 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
         decoded = decode_words(encode_words(table(spark, sf_dir, "documents"), path, keep), path)
         return materialize(decoded.select(
             "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")))
+
+
+def periodic_text(key: str, text: str) -> Column:
+    """The text, in a tenth of the documents with a periodic end: let h be the crc32 of the key's
+    decimals and g = h div 10. If h % 10 is 0, the n words from a = g % n on are original word
+    a + (i - a) % p, with p = 1 + (n - a) div (3 + g % 8), and one space joins all words."""
+    return F.expr(f"""
+        CASE WHEN crc32(cast(cast({key} AS string) AS binary)) % 10 = 0 AND size(own_words) > 0 THEN array_join(
+            transform(own_words, (w, i) -> CASE WHEN i < turn THEN w
+                ELSE own_words[cast(turn + (i - turn) % (1 + (size(own_words) - turn) div (3 + grain % 8)) AS int)] END), ' ')
+        ELSE {text} END""")
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # Only the texts that are changed are cut into words here.
+    own_words = F.expr(r"""CASE WHEN crc32(cast(cast(doc_id AS string) AS binary)) % 10 = 0
+        THEN filter(split(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', -1), w -> w <> '') END""")
+    docs = docs.withColumns({"own_words": own_words, "grain": F.expr("crc32(cast(cast(doc_id AS string) AS binary)) div 10")})
+    docs = docs.withColumn("turn", F.expr("CASE WHEN size(own_words) > 0 THEN grain % size(own_words) END"))
+    found = find_runs(docs.select("doc_id", periodic_text("doc_id", "text").alias("text")), into="periodic")
+    runs, best = F.col("periodic.runs"), F.col("best")
+    spelled = F.array_join(F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("best", strongest(runs)).select(
+        "doc_id", F.size(runs).cast("bigint").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(spelled, 256).alias("runs_sha256"), F.sha2("periodic.collapsed", 256).alias("collapsed_sha256"))
