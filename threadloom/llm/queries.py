@@ -9,6 +9,7 @@ from threadloom.llm import language, quality
 from threadloom.llm.common import held_out, materialize, prepare, temporary
 from threadloom.llm.decontaminate import decontaminate
 from threadloom.llm.jaccard import similar_groups
+from threadloom.llm.lexical import build_index, search
 from threadloom.llm.packing import pack
 from threadloom.llm.periodic import find_runs, strongest
 from threadloom.llm.secrets import labelled_samples, scan, spelled, train
@@ -156,6 +157,43 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict")
 
 
+OP11_SQL = r"""
+WITH words AS (
+  SELECT doc_id, n, term, count(*) AS tf
+  FROM (SELECT row_number() OVER () AS n, doc_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents)
+  GROUP BY ALL),
+lengths AS (SELECT n, CAST(sum(tf) AS BIGINT) AS own FROM words GROUP BY n),
+totals AS (SELECT count(*) AS docs, CAST(sum(own) AS BIGINT) AS terms FROM lengths),
+norms AS (SELECT n, 75 + (25 * own * docs) // terms AS m FROM lengths, totals),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM words, totals GROUP BY term, docs),
+asked AS (
+  SELECT i, item_id, term, count(*) AS repeats
+  FROM (SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark)
+  GROUP BY ALL),
+scores AS (
+  SELECT i, item_id, n, doc_id, CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN words USING (term) JOIN norms USING (n)
+  GROUP BY i, item_id, n, doc_id),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query("op11_lexical_search", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with temporary(spark) as keep:
+        index = build_index(table(spark, sf_dir, "documents"), keep)
+        return materialize(search(index, table(spark, sf_dir, "benchmark"), keep, k=20))
+
+
 @query("op12_word_bpe")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(WORD_TOKENIZER)
