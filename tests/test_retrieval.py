@@ -34,7 +34,7 @@ def rows(df):
 
 
 @pytest.mark.parametrize("options", [
-    {}, {"way": "grid", "cell_queries": 7, "cell_documents": 11}, {"way": "grid"},
+    {}, {"way": "turns", "turn_rows": 7}, {"way": "turns"},
 ])
 @pytest.mark.parametrize("exclude", [False, True])
 def test_all_ways_equal_brute_force(spark, options, exclude):
@@ -52,10 +52,9 @@ def test_large_query_side_takes_the_small_documents_along(spark, monkeypatch):
     assert rows(retrieval.knn_topk(side(spark, q), side(spark, q), 2)) == brute(q, q, 2)
 
 
-def test_many_blocks_and_equal_vectors_keep_the_smallest_ids(spark, monkeypatch):
-    monkeypatch.setattr(retrieval, "CELL_PAIRS", 50)
+def test_equal_vectors_keep_the_smallest_ids(spark):
     d = np.tile(vectors(1), (40, 1))
-    for way in ("auto", "grid"):
+    for way in ("auto", "turns"):
         got = retrieval.knn_topk(side(spark, d[:2]), side(spark, d), 5, way=way)
         assert {(r["query_id"], r["doc_id"]) for r in got.collect()} == {(q, i) for q in (0, 1) for i in range(5)}
 
@@ -84,7 +83,7 @@ def test_fewer_documents_than_k_and_no_documents(spark):
     empty = side(spark, d).where("id < 0")
     assert retrieval.knn_topk(side(spark, d), empty, 5).count() == 0
     assert retrieval.knn_topk(empty, side(spark, d), 5).count() == 0
-    assert retrieval.knn_topk(side(spark, d), empty, 5, way="grid").count() == 0
+    assert retrieval.knn_topk(side(spark, d), empty, 5, way="turns").count() == 0
 
 
 def test_normalize_leaves_zero_alone(spark):
@@ -125,7 +124,7 @@ def test_documents_are_not_shuffled_when_queries_are_few(spark):
     assert "MapInArrow" in text and "Join" not in text
 
 
-@pytest.mark.parametrize("way", ["auto", "grid"])
+@pytest.mark.parametrize("way", ["auto", "turns"])
 @pytest.mark.parametrize("bad", [[1.0], [0.6, None], [0.6, float("nan")], [1.0, 0.0, 0.0]])
 def test_vectors_of_another_width_or_with_gaps_stop_the_search(spark, way, bad):
     schema = "id bigint, vector array<double>"

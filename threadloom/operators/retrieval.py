@@ -1,14 +1,14 @@
 """Exact nearest neighbours by inner product, and what is built on them.
 
-Three ways lead to the same rows. A query block of checked size goes to every partition of the
-document table; documents are then never shuffled. The other way round when only the documents are
-few. When both sides are large, rows meet in a grid of cells of bounded size. Tasks score blocks with
-a matrix product and send on only their best ``k`` per query, never all pairs.
+A query block of checked size goes to every partition of the document table; documents are then
+never shuffled. The other way round when only the documents are few. When both sides are large, the
+queries go in blocks of that size, one after the other (``threadloom.operators.rotation``), and
+documents still stay where they are. Tasks score blocks with a matrix product and send on only their
+best ``k`` per query, never all pairs. ``threadloom.operators.pivots`` leaves out most products.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,10 +22,6 @@ from threadloom.session import materialize, materialize_counted
 
 # Values (rows x dimensions) a side may have to be sent to every executor: 32 MiB of doubles.
 BROADCAST_VALUES = 4_194_304
-# Values per grid cell side (128 MiB of documents), and pairs that are worth a cell of their own.
-CELL_QUERY_VALUES = 2_097_152
-CELL_DOCUMENT_VALUES = 16_777_216
-CELL_PAIRS = 10_000_000
 # A task scores blocks of this shape.
 BLOCK_QUERIES = 1_024
 BLOCK_DOCUMENTS = 4_096
@@ -92,14 +88,15 @@ class _TopHits:
             row, col = np.nonzero(scores >= np.maximum(kth - SCORE_UNIT, LOWEST)[:, None])
         if not len(row):
             return
-        found = np.round(scores[row, col], SCORE_DIGITS)
-        self.rows, self.docs, self.scores = _best(
-            np.r_[self.rows, row], np.r_[self.docs, docs[col]], np.r_[self.scores, found], self.k
-        )
+        self.merge(row, docs[col], np.round(scores[row, col], SCORE_DIGITS))
+
+    def merge(self, row: np.ndarray, docs: np.ndarray, scores: np.ndarray) -> None:
+        """Take in hits of the query at each row."""
+        self.rows, self.docs, self.scores = _best(np.r_[self.rows, row], np.r_[self.docs, docs], np.r_[self.scores, scores], self.k)
         counts = np.bincount(self.rows, minlength=len(self.ids))
         last = np.cumsum(counts) - 1
         full = counts == self.k
-        self.floor[full] = self.scores[last[full]]
+        self.floor[full] = np.maximum(self.floor[full], self.scores[last[full]])
 
     def hits(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return self.ids[self.rows], self.docs, self.scores
@@ -180,34 +177,18 @@ def _documents_to_queries(block, queries: DataFrame, k: int, exclude_self: bool)
     return queries.mapInArrow(score, _HIT)
 
 
-def _grid(queries: DataFrame, documents: DataFrame, k: int, exclude_self: bool, extents: tuple,
-          cell_queries: int | None, cell_documents: int | None) -> DataFrame:
-    """Every query row meets every document column in exactly one cell of bounded size."""
-    (n_queries, width), (n_documents, _) = extents
-    n_queries, n_documents = max(1, n_queries), max(1, n_documents)
-    rows = math.ceil(n_queries / (cell_queries or max(1, CELL_QUERY_VALUES // width)))
-    columns = math.ceil(n_documents / (cell_documents or max(1, CELL_DOCUMENT_VALUES // width)))
-    # Few cells would leave cores idle. Row and column counts near the ratio of the sides copy least.
-    cores = queries.sparkSession.sparkContext.defaultParallelism
-    wanted = min(4 * cores, math.ceil(n_queries * n_documents / CELL_PAIRS))
-    if rows * columns < wanted:
-        rows = min(n_queries, max(rows, round(math.sqrt(wanted * n_queries / n_documents))))
-        columns = min(n_documents, max(columns, math.ceil(wanted / rows)))
-
-    def lane(n: int):
-        return F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+def _in_turns(queries: DataFrame, documents: DataFrame, k: int, exclude_self: bool, extent: tuple[int, int], turn_rows: int | None) -> DataFrame:
+    """One block of queries after the other meets all documents; the ranked hits of all turns."""
+    from threadloom.operators.rotation import Rotation
 
-    left = queries.withColumn("r", lane(rows)).withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(columns - 1))))
-    right = documents.withColumn("c", lane(columns)).withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(rows - 1))))
-
-    def cell(q: pa.Table, d: pa.Table) -> pa.Table:
-        if not (q.num_rows and d.num_rows):
-            return pa.Table.from_batches([_as_batch(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))])
-        top = _QueryBlocks(_ids(q["id"]), _matrix(q, width), k, exclude_self)
-        top.add(_ids(d["id"]), _matrix(d, width))
-        return pa.Table.from_batches(list(top.batches()))
-
-    return left.groupBy("r", "c").cogroup(right.groupBy("r", "c")).applyInArrow(cell, _HIT)
+    rows, width = extent
+    rotation = Rotation(queries, turn_rows or max(1, BROADCAST_VALUES // width), rows)
+    if rotation.turns > 1:
+        documents = materialize(documents)  # else each turn would compute them anew
+    for block in rotation:
+        hits = _queries_to_documents((_ids(block["id"]), _matrix(block)), documents, k, exclude_self)
+        rotation.keep(_rank(hits, k))
+    return rotation.result("query_id bigint, rank int, doc_id bigint, score double")
 
 
 def knn_topk(
@@ -217,18 +198,18 @@ def knn_topk(
     *,
     exclude_self: bool = False,
     way: str = "auto",
-    cell_queries: int | None = None,
-    cell_documents: int | None = None,
+    turn_rows: int | None = None,
 ) -> DataFrame:
     """Top ``k`` documents of every query: ``(query_id, rank, doc_id, score)``.
 
     Both sides are ``(id BIGINT, vector ARRAY)`` with unit vectors and unique ids. ``exclude_self``
-    skips the document whose id equals the query's. ``way`` is ``auto``, ``broadcast`` or ``grid``.
+    skips the document whose id equals the query's. ``way`` is ``auto``, ``broadcast`` or ``turns``;
+    ``turn_rows`` are the queries of a turn (what may be broadcast, if not given).
     Vectors of different widths, or with missing numbers, are an error that names the ids.
     """
-    query_extent = _extent(queries)
-    if way != "grid":
-        block = _small_block(queries, query_extent)
+    extent = _extent(queries)
+    if way != "turns":
+        block = _small_block(queries, extent)
         if block is not None:
             return _rank(_queries_to_documents(block, documents, k, exclude_self), k)
         block = _small_block(documents, _extent(documents))
@@ -236,8 +217,7 @@ def knn_topk(
             return _rank(_documents_to_queries(block, queries, k, exclude_self), k)
         if way == "broadcast":
             raise ValueError("neither side is small enough to broadcast")
-    extents = query_extent, _extent(documents)
-    return _rank(_grid(queries, documents, k, exclude_self, extents, cell_queries, cell_documents), k)
+    return _in_turns(queries, documents, k, exclude_self, extent, turn_rows)
 
 
 def vector_side(df: DataFrame, key: str, vector: str, normalize: bool = True) -> DataFrame:

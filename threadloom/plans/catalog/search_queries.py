@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from threadloom.functions.vectors import dot, l2_normalize, norm
-from threadloom.operators import pairs, retrieval
+from threadloom.operators import pairs, pivots, retrieval
 from threadloom.plans.catalog.base import query, table, view
 from threadloom.plans.catalog.conversation_queries import PAIRS
 
@@ -66,8 +66,15 @@ def knn_topk_other_threads(spark, sf_dir):
 
 @query("knn_topk_grid", f"WITH {_UNIT}, {_ALL}, {_top('docs', 'docs', 3)} {_HITS}")
 def knn_topk_grid(spark, sf_dir):
+    """Two sides that both count as large: the queries go in turns."""
     documents = _embeddings(spark, sf_dir)
-    return _rounded(retrieval.knn_topk(documents, documents, way="grid"))
+    return _rounded(retrieval.knn_topk(documents, documents, way="turns", turn_rows=1_000))
+
+
+@query("knn_pruned", f"WITH {_UNIT}, {_ALL}, {_top('docs', 'docs', 3)} {_HITS}")
+def knn_pruned(spark, sf_dir):
+    documents = _embeddings(spark, sf_dir)
+    return _rounded(pivots.knn_pruned(documents, pivots.build_pivot_index(documents)))
 
 
 _CORPUS = f"""{PAIRS}, {_UNIT},
