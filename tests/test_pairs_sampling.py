@@ -1,5 +1,7 @@
 import hashlib
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from threadloom.operators import pairs, sampling
@@ -100,3 +102,14 @@ def test_both_ways_of_sampling_treat_null_keys_alike(spark, monkeypatch):
     assert len(small) == len(large) == 60
     assert sorted(map(str, small)) == sorted(map(str, large))
     assert sum(r["k"] is None for r in small) == 10
+
+
+@pytest.mark.parametrize("limit", [3, 100_000])
+def test_rows_of_one_key_are_sampled_by_their_content(spark, monkeypatch, limit):
+    monkeypatch.setattr(sampling, "ONE_TASK_SAMPLE", limit)
+    rows = spark.createDataFrame([(i % 3 if i % 7 else None, f"t{i % 40}", {"a": i}) for i in range(120)], "k int, text string, extra map<string,int>")
+    found = []
+    for parts in (1, 4, 16):
+        some = sampling.sample_rows(rows.repartition(parts), "k", 50).select("k", "text").collect()
+        found.append(sorted((str(r["k"]), r["text"]) for r in some))
+    assert found[0] == found[1] == found[2] and len(found[0]) == 50

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from threadloom import constants as C
@@ -27,15 +29,17 @@ def prefix_dedup(df: DataFrame, text: str, *order: str) -> DataFrame:
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = C.SEED) -> DataFrame:
     """Uniform sample of ``n`` rows, all rows when there are fewer; same rows on any partitioning.
 
-    The sample is the first ``n`` rows in hash order; rows without a key come first. A large one is
-    cut at a hash prefix instead of being sorted into one task: all rows below the prefix, and the
-    first rows of the prefix itself, which is made longer until few rows have it.
+    The sample is the first ``n`` rows in the order of a hash of the key, then of a hash of the whole row;
+    rows without a key come first. Rows that are still tied are equal. A large sample is cut at a hash
+    prefix instead of being sorted into one task: all rows below the prefix, and the first rows of
+    the prefix itself, which is made longer until few rows have it.
     """
-    rank = F.coalesce(sampling_key(F.col(key), seed), F.lit(""))
+    content = F.lpad(F.lower(F.hex(F.xxhash64(*_hashable(df)))), 16, "0")
+    rank = F.concat(F.coalesce(sampling_key(F.col(key), seed), F.lit("0" * 32)), content)
     if n <= ONE_TASK_SAMPLE:
-        return df.orderBy(rank, key).limit(n)
+        return df.orderBy(rank).limit(n)
     taken, edge, inside = 0, "", df
-    for digits in range(4, 33, 4):
+    for digits in range(4, 49, 4):
         prefix = F.substring(rank, 1, digits)
         sizes = inside.groupBy(prefix.alias("prefix")).agg(F.count("*").alias("n")).collect()  # at most 65,536 rows
         for name, size in sorted((r["prefix"], r["n"]) for r in sizes):
@@ -48,11 +52,16 @@ def sample_rows(df: DataFrame, key: str, n: int, seed: int = C.SEED) -> DataFram
         inside = df.where(prefix == edge)
         if size <= ONE_TASK_SAMPLE:
             break
-    # Only rows of one key can still be many; any of them will do.
-    rest = inside.orderBy(rank, key) if size <= ONE_TASK_SAMPLE else inside
+    # More rows than that are left only where whole rows are equal.
+    rest = inside.orderBy(rank) if size <= ONE_TASK_SAMPLE else inside
     return df.where(prefix < edge).unionByName(rest.limit(n - taken))
 
 
+def _hashable(df: DataFrame) -> list:
+    """The columns that can be hashed: all but maps and variants."""
+    return [df[f"`{f.name}`"] for f in df.schema.fields if not ({"map", "variant"} & set(re.findall(r"[a-z]+", f.dataType.simpleString())))]
+
+
 def sample_threads(turns: DataFrame, n: int = C.THREAD_SAMPLE, seed: int = C.SEED, key: str = "thread_id") -> DataFrame:
     """All turns of ``n`` sampled threads."""
     chosen = sample_rows(turns.select(key).distinct(), key, n, seed)
