@@ -1,7 +1,10 @@
+import math
+
 import pytest
+from pyspark.sql import functions as F
 
 from threadloom import constants as C
-from threadloom.functions.stats import correlation_p_value
+from threadloom.functions.stats import correlation_p
 from threadloom.operators import failures, metrics, predictions as P, raters
 from threadloom.plans import evaluation
 
@@ -92,14 +95,19 @@ def test_agreement_with_ties_constants_and_few_pairs(spark):
     assert few["pearson_r"] is None and few["error"] == "Not enough samples (4)"
 
 
-def test_p_values_against_known_tables():
+def test_p_values_against_known_tables(spark):
     # Two-sided t tail: r chosen so that t equals the tabulated 5 % point for n - 2 degrees of freedom.
-    for df, t in [(3, 3.182446), (10, 2.228139), (48, 2.010635), (1000, 1.962339)]:
-        r = t / (t * t + df) ** 0.5
-        assert correlation_p_value(r, df + 2) == pytest.approx(0.05, abs=1e-6)
-    assert correlation_p_value(0.0, 10) == pytest.approx(1.0)
-    assert correlation_p_value(1.0, 10) == 0.0 and correlation_p_value(0.5, 2) is None
-    assert 0 <= correlation_p_value(0.01, 1e9) < 1e-12
+    cases = [(t / (t * t + df) ** 0.5, df + 2.0, 0.05, 1e-6) for df, t in [(3, 3.182446), (10, 2.228139), (48, 2.010635), (1000, 1.962339)]]
+    # One degree of freedom is the Cauchy distribution, two have a closed form; very many are normal.
+    cases += [(t / (t * t + 1) ** 0.5, 3.0, 1 - 2 / math.pi * math.atan(t), 1e-10) for t in (0.001, 0.5, 1.7, 40.0)]
+    cases += [(t / (t * t + 2) ** 0.5, 4.0, 1 - t / (t * t + 2) ** 0.5, 1e-10) for t in (0.01, 1.0, 9.0)]
+    cases += [(t / (t * t + 1e8) ** 0.5, 1e8 + 2, math.erfc(t / 2 ** 0.5), 1e-6) for t in (0.1, 1.0, 1.73, 1.75, 3.0, 6.0)]
+    cases += [(0.0, 10.0, 1.0, 0), (1e-200, 10.0, 1.0, 1e-12), (1.0, 10.0, 0.0, 0), (-1.0, 10.0, 0.0, 0), (0.01, 1e9, 0.0, 1e-12), (-0.6, 8.0, 0.11584, 1e-9)]
+    cases += [(0.5, 2.0, None, 0), (None, 9.0, None, 0), (float("nan"), 9.0, None, 0), (0.5, None, None, 0)]
+    rows = spark.createDataFrame([(i, r, n) for i, (r, n, *_) in enumerate(cases)], "i int, r double, n double")
+    got = {x["i"]: x["p"] for x in rows.select("i", correlation_p(F.col("r"), F.col("n")).alias("p")).collect()}
+    for i, (r, n, want, room) in enumerate(cases):
+        assert got[i] == (want if want is None else pytest.approx(want, abs=room, rel=1e-5)), (r, n)
 
 
 def test_judge_aggregate_uses_population_deviation(spark):

@@ -97,6 +97,6 @@ def human_agreement(judge: DataFrame, human: DataFrame, p_values: bool = True) -
     if p_values:
         n = F.col("n_samples").cast("double")
         result = result.withColumns({
-            "pearson_p": correlation_p("pearson_r", n), "spearman_p": correlation_p("spearman_r", n)
+            "pearson_p": correlation_p(F.col("pearson_r"), n), "spearman_p": correlation_p(F.col("spearman_r"), n)
         })
     return result

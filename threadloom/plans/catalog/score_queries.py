@@ -195,18 +195,54 @@ def human_sheet_scores(spark, sf_dir):
 _RANK = "rank() OVER (PARTITION BY dimension ORDER BY {0}) + (count(*) OVER (PARTITION BY dimension, {0}) - 1) / 2.0"
 
 
-@query("human_agreement", f"""{with_views('judge_raw', 'human_scores')}, {_clamped('judge_raw')},
-    pairs AS (""" + " UNION ALL ".join(
-        f"SELECT '{d}' AS dimension, CAST(j.{d} AS DOUBLE) AS x, CAST(h.human_{d} AS DOUBLE) AS y FROM judge j JOIN human_scores h ON h.example_id = j.example_id"
-        for d in C.DIMENSIONS) + f"""),
-    ranked AS (SELECT *, {_RANK.format('x')} AS rx, {_RANK.format('y')} AS ry FROM pairs)
-    SELECT dimension, round(corr(x, y), 4) AS pearson_r, round(corr(rx, ry), 4) AS spearman_r, count(*) AS n_samples,
-           CAST(NULL AS VARCHAR) AS error FROM ranked GROUP BY dimension""")
+def _agreement_sql(main: str = "judge") -> str:
+    """Correlations, and their p-values by the same fraction, one step of a recursion after the other."""
+    from threadloom.functions.stats import FRACTION_STEPS
+
+    pairs = " UNION ALL ".join(
+        f"SELECT '{d}' AS dimension, CAST(j.{d} AS DOUBLE) AS x, CAST(h.human_{d} AS DOUBLE) AS y FROM {main} j JOIN human_scores h ON h.example_id = j.example_id"
+        for d in C.DIMENSIONS)
+    tiny = "CASE WHEN abs({0}) < 1e-300 THEN 1e-300 ELSE {0} END"
+    return f"""score_pairs AS ({pairs}),
+    score_ranks AS (SELECT *, {_RANK.format('x')} AS rx, {_RANK.format('y')} AS ry FROM score_pairs),
+    agreed AS (SELECT dimension, corr(x, y) AS pearson_r, corr(rx, ry) AS spearman_r, count(*) AS n_samples FROM score_ranks GROUP BY dimension),
+    tails AS (
+      SELECT *, (n - 2) / 2.0::DOUBLE AS a, 1 - r * r AS x
+      FROM (SELECT dimension, 'pearson' AS kind, pearson_r AS r, CAST(n_samples AS DOUBLE) AS n FROM agreed
+            UNION ALL SELECT dimension, 'spearman', spearman_r, CAST(n_samples AS DOUBLE) FROM agreed) both_kinds
+      WHERE n >= 3 AND abs(r) < 1 AND 1 - r * r < 1),
+    sides AS (
+      SELECT dimension, kind, direct, front, CASE WHEN direct THEN a ELSE 0.5 END AS p, CASE WHEN direct THEN 0.5 ELSE a END AS q,
+             CASE WHEN direct THEN x ELSE 1 - x END AS y
+      FROM (SELECT *, x < (a + 1) / (a + 2.5) AS direct, exp(lgamma(a + 0.5) - lgamma(a) - ln(sqrt(pi())) + a * ln(x) + 0.5 * ln(1 - x)) AS front FROM tails) t),
+    fraction AS (
+      SELECT dimension, kind, p, q, y, 1 AS j, 1.0::DOUBLE AS c, 1 / ({tiny.format('(1 - (p + q) * y / (p + 1))')}) AS d, 1 / ({tiny.format('(1 - (p + q) * y / (p + 1))')}) AS f
+      FROM sides
+      UNION ALL
+      SELECT dimension, kind, p, q, y, j, c, d, f * c * d
+      FROM (SELECT dimension, kind, p, q, y, j, f, {tiny.format('(1 + step / c)')} AS c, 1 / ({tiny.format('(1 + step * d)')}) AS d
+            FROM (SELECT dimension, kind, p, q, y, j + 1 AS j, c, d, f,
+                         CASE WHEN (j + 1) % 2 = 0 THEN ((j + 1) // 2) * (q - (j + 1) // 2) * y / ((p + 2 * ((j + 1) // 2) - 1) * (p + 2 * ((j + 1) // 2)))
+                              ELSE -(p + (j + 1) // 2) * (p + q + (j + 1) // 2) * y / ((p + 2 * ((j + 1) // 2)) * (p + 2 * ((j + 1) // 2) + 1)) END AS step
+                  FROM fraction WHERE j < {FRACTION_STEPS}) next_step) moved),
+    p_values AS (
+      SELECT f.dimension, f.kind, CASE WHEN s.direct THEN s.front * f.f / s.p ELSE 1 - s.front * f.f / s.p END AS p_value
+      FROM fraction f JOIN sides s ON s.dimension = f.dimension AND s.kind = f.kind WHERE f.j = {FRACTION_STEPS}),
+    agreement AS (
+      SELECT a.*, {', '.join(f"CASE WHEN abs(a.{k}_r) >= 1 THEN 0.0 WHEN 1 - a.{k}_r * a.{k}_r >= 1 THEN 1.0 ELSE {k[0]}.p_value END AS {k}_p" for k in ('pearson', 'spearman'))}
+      FROM agreed a LEFT JOIN p_values p ON p.dimension = a.dimension AND p.kind = 'pearson'
+      LEFT JOIN p_values s ON s.dimension = a.dimension AND s.kind = 'spearman')"""
+
+
+@query("human_agreement", f"""{with_views('judge_raw', 'human_scores', recursive=True)}, {_clamped('judge_raw')}, {_agreement_sql()}
+    SELECT dimension, round(pearson_r, 4) AS pearson_r, round(spearman_r, 4) AS spearman_r, n_samples, CAST(NULL AS VARCHAR) AS error FROM agreement""")
 def human_agreement(spark, sf_dir):
     return metrics.rounded(raters.human_agreement(_judge(spark, sf_dir), view(spark, sf_dir, "human_scores"), p_values=False))
 
 
-@query("human_agreement_p")
+@query("human_agreement_p", f"""{with_views('judge_raw', 'human_scores', recursive=True)}, {_clamped('judge_raw')}, {_agreement_sql()}
+    SELECT dimension, round(pearson_r, 4) AS pearson_r, round(spearman_r, 4) AS spearman_r, n_samples, CAST(NULL AS VARCHAR) AS error,
+           round(pearson_p, 4) AS pearson_p, round(spearman_p, 4) AS spearman_p FROM agreement""")
 def human_agreement_p(spark, sf_dir):
     return metrics.rounded(raters.human_agreement(_judge(spark, sf_dir), view(spark, sf_dir, "human_scores")))
 
@@ -249,7 +285,7 @@ def failure_report_rows(spark, sf_dir):
     return metrics.rounded(failures.failure_report(worst))
 
 
-def _long_sql() -> str:
+def _long_sql(human: bool = False) -> str:
     def part(source: str, family: str, names, label: str = "''") -> str:
         return " UNION ALL ".join(
             f"SELECT system, '{family}' AS family, '{m}' AS metric, {label} AS class, CAST({m} AS DOUBLE) AS value FROM {source}" for m in names
@@ -268,12 +304,17 @@ def _long_sql() -> str:
                                              "true_escalation_rate", "predicted_escalation_rate")),
         part("quality", "reply_quality", ("mean", "std", "n_judged"), "dimension"),
     ]
-    return f"""{with_views('predictions', 'golden', 'judged')},
+    agreed = ""
+    if human:
+        names = ("pearson_r", "pearson_p", "spearman_r", "spearman_p", "n_samples")
+        parts.append(part("(SELECT 'pipeline' AS system, * FROM agreement)", "human_agreement", names, "dimension"))
+        agreed = f"main_judge AS (SELECT * FROM judge WHERE system = 'pipeline'), {_agreement_sql('main_judge')},"
+    return f"""{with_views('predictions', 'golden', 'judged', 'human_scores', recursive=True)},
     aligned AS (SELECT p.system, p.intent, p.escalate, g.intent AS gold_intent, g.escalate AS gold_escalate
                 FROM predictions p JOIN golden g ON g.example_id = p.example_id),
     {_counts_sql('aligned', 'gold_intent', 'intent', 'system')}, {_DERIVED},
     {_binary_sql('aligned', 'gold_escalate', 'escalate', 'system')}, {_clamped('judged')},
-    quality AS ({quality}), long AS ({' UNION ALL '.join(parts)})"""
+    quality AS ({quality}), {agreed} long AS ({' UNION ALL '.join(parts)})"""
 
 
 _LONG = _long_sql()
@@ -290,7 +331,7 @@ def evaluation_long(spark, sf_dir):
     return metrics.rounded(_evaluated(spark, sf_dir))
 
 
-@query("evaluation_with_agreement")
+@query("evaluation_with_agreement", f"{_long_sql(human=True)} SELECT system, family, metric, class, round(value, 4) AS value FROM long")
 def evaluation_with_agreement(spark, sf_dir):
     return metrics.rounded(_evaluated(spark, sf_dir, view(spark, sf_dir, "human_scores")))
 
