@@ -55,3 +55,56 @@ def test_batch_keeps_one_row_per_key_and_refuses_null_keys(spark, tmp_path):
         assert run_pending(rows.repartition(partitions), lambda q: q, sink) == 2
     with pytest.raises(Exception, match="without a key"):
         run_pending(spark.createDataFrame([(None, "a")], rows.schema), lambda q: q, sink)
+
+
+def test_batches_ask_the_state_and_never_the_sink(spark, tmp_path):
+    source, sink, checkpoint = (str(tmp_path / n) for n in ("in", "out", "state"))
+    schema = queries(spark, []).schema
+    for batch in range(20):  # half of each file was in the one before
+        queries(spark, range(batch * 5, batch * 5 + 10)).coalesce(1).write.mode("append").parquet(source)
+
+    def run(stop_at=None):
+        seen = []
+
+        def count(df):
+            rows = sorted(r["example_id"] for r in df.collect())
+            seen.append(rows)
+            if len(seen) == stop_at:
+                raise RuntimeError("lost")
+            return score(df)
+
+        query = start_scoring(spark, source, schema, count, sink, checkpoint, files_per_batch=1)
+        try:
+            query.awaitTermination()
+        except Exception:
+            assert stop_at
+        return seen, [p["stateOperators"][0] for p in query.recentProgress if p["stateOperators"]]
+
+    first, _ = run(stop_at=8)
+    # What was written is taken away: a stream that read its sink would score those keys again.
+    written = {r["example_id"] for r in spark.read.parquet(sink).collect()}
+    moved = tmp_path / "moved"
+    (tmp_path / "out").rename(moved)
+    second, states = run()
+    assert first[-1] == second[0]  # the broken batch again, alike
+    later = {r["example_id"] for r in spark.read.parquet(sink).collect()}
+    assert written | later == set(range(105)) and not written & later
+    assert all(s["numRowsUpdated"] <= 10 for s in states) and states[-1]["numRowsTotal"] == 105
+
+
+def test_a_stream_keeps_the_row_that_a_batch_job_keeps(spark, tmp_path):
+    rows = spark.createDataFrame([(i % 7, f"text {i}", True) for i in range(60)], "example_id long, text string, flag boolean")
+    run_pending(rows, lambda q: q, str(tmp_path / "batch"))
+    want = sorted(map(str, spark.read.parquet(str(tmp_path / "batch")).collect()))
+    for parts in (1, 5):
+        base = tmp_path / f"run{parts}"
+        rows.repartition(parts).write.parquet(str(base / "in"))
+        start_scoring(spark, str(base / "in"), rows.schema, lambda q: q, str(base / "out"), str(base / "state")).awaitTermination()
+        assert sorted(map(str, spark.read.parquet(str(base / "out")).drop("batch").collect())) == want
+
+
+def test_a_stream_refuses_null_keys(spark, tmp_path):
+    rows = spark.createDataFrame([(None, "a"), (1, "b")], SCHEMA)
+    rows.write.parquet(str(tmp_path / "in"))
+    with pytest.raises(Exception, match="without a key"):
+        start_scoring(spark, str(tmp_path / "in"), rows.schema, score, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()

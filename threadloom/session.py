@@ -18,6 +18,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
     # JSON objects with a repeated key parse, the last value wins.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Keyed state of streams on disk; a batch writes what it changes.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

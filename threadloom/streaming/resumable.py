@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from threadloom.operators.predictions import pending
+from threadloom.session import configure, materialize
 from threadloom.sources.tables import is_complete
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -42,29 +43,44 @@ def start_scoring(
     spark: SparkSession, source: str, schema: StructType, score: Scorer, sink: str, checkpoint: str,
     key: str | list[str] = "example_id", files_per_batch: int = 1_000, file_pattern: str = "*",
 ) -> StreamingQuery:
-    """Score new query files until none is left. Every micro-batch owns one folder of the sink and
-    replaces it when it is run again, so a restart neither loses nor repeats a key."""
+    """Score new query files until none is left.
+
+    The keys of earlier micro-batches are in the stream's state store, so a batch costs what its own rows
+    cost and the sink is never read. Every micro-batch owns one folder of the sink and replaces it when it
+    is run again, on the state of the batch before: a restart neither loses nor repeats a key.
+    """
+    configure(spark)
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     queries = reader.option("pathGlobFilter", file_pattern).parquet(source)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        fresh = one_per_key(batch, key)
-        done = earlier_batches(spark, sink, batch_id)
-        if done is not None:
-            fresh = pending(fresh, done, key)
+        # Stored first: whatever the scorer does with the rows, the state is asked once.
+        fresh = materialize(rows_of_new_keys(batch, key))
         score(fresh).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
 
     return (
-        queries.writeStream.foreachBatch(write)
+        with_new_keys(queries, key).writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def earlier_batches(spark: SparkSession, sink: str, batch_id: int) -> DataFrame | None:
-    """Rows of the micro-batches before this one."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(sink)
-    if batch_id == 0 or not root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root):
-        return None
-    return spark.read.parquet(sink).where(F.col("batch") < batch_id)
+def with_new_keys(queries: DataFrame, key: str | list[str]) -> DataFrame:
+    """The rows of a stream, and beside them a row ``_new`` for each key that no micro-batch had before.
+    The state holds the keys alone, not what the rows say."""
+    keys = [key] if isinstance(key, str) else list(key)
+    bad = reduce(or_, [F.col(k).isNull() for k in keys])
+    checked = queries.withColumn("_new", F.when(bad, F.raise_error(F.lit("a query without a key")).cast("boolean")).otherwise(False))
+    seen_first = queries.select(*keys).dropDuplicates(keys).withColumn("_new", F.lit(True))
+    return checked.unionByName(seen_first, allowMissingColumns=True)
+
+
+def rows_of_new_keys(batch: DataFrame, key: str | list[str]) -> DataFrame:
+    """One row for each new key of a micro-batch, chosen as ``one_per_key`` does."""
+    keys = [key] if isinstance(key, str) else list(key)
+    names = [c for c in batch.columns if c != "_new"]
+    own = Window.partitionBy(*keys)
+    place = F.row_number().over(own.orderBy("_new", F.xxhash64(*names)))
+    marked = batch.withColumns({"_known": F.max("_new").over(own), "_rn": place})
+    return marked.where("_known AND _rn = 1").select(*names)
