@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, functions as F
 
+from threadloom.functions.vectors import let
+
 # Steps of the continued fraction; sizes up to 10**8 need fewer.
 FRACTION_STEPS = 800
 # The ratio of gamma functions is taken this far up, where its series is exact to 13 digits.
@@ -13,13 +13,8 @@ GAMMA_SHIFT = 32
 _TINY = 1e-300
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _off_zero(value: Column) -> Column:
-    return _let(value, lambda v: F.when(F.abs(v) < _TINY, _TINY).otherwise(v))
+    return let(value, lambda v: F.when(F.abs(v) < _TINY, _TINY).otherwise(v))
 
 
 def beta_fraction(p: Column, q: Column, y: Column) -> Column:
@@ -33,9 +28,9 @@ def beta_fraction(p: Column, q: Column, y: Column) -> Column:
     def step(state: Column, j: Column) -> Column:
         def go(a: Column) -> Column:
             d, c = 1 / _off_zero(1 + a * state["d"]), _off_zero(1 + a / state["c"])
-            return _let(F.struct(c.alias("c"), d.alias("d")), lambda s: F.struct(s["c"], s["d"], (state["f"] * s["c"] * s["d"]).alias("f")))
+            return let(F.struct(c.alias("c"), d.alias("d")), lambda s: F.struct(s["c"], s["d"], (state["f"] * s["c"] * s["d"]).alias("f")))
 
-        return _let(numerator(j), go)
+        return let(numerator(j), go)
 
     first = 1 / _off_zero(1 - (p + q) * y / (p + 1))
     start = F.struct(F.lit(1.0).alias("c"), first.alias("d"), first.alias("f"))
@@ -64,7 +59,7 @@ def correlation_p(r: Column, n: Column) -> Column:
         half = F.lit(0.5)
         near = F.when(direct, F.struct(a.alias("p"), half.alias("q"), x.alias("y"))).otherwise(
             F.struct(half.alias("p"), a.alias("q"), (1 - x).alias("y")))
-        part = _let(near, lambda t: front * beta_fraction(t["p"], t["q"], t["y"]) / t["p"])
+        part = let(near, lambda t: front * beta_fraction(t["p"], t["q"], t["y"]) / t["p"])
         return F.when(direct, part).otherwise(1 - part)
 
     r, n = r.cast("double"), n.cast("double")
@@ -72,5 +67,5 @@ def correlation_p(r: Column, n: Column) -> Column:
     return (
         F.when(r.isNull() | F.isnan(r) | n.isNull() | (n < 3), F.lit(None).cast("double"))
         .when(F.abs(r) >= 1, 0.0).when(r * r < 1e-300, 1.0).when(1 - r * r >= 1, 1.0)
-        .otherwise(_let(inside, tail))
+        .otherwise(let(inside, tail))
     )

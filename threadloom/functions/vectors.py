@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once per row, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def dot(a: Column, b: Column) -> Column:
     """Inner product in double precision."""
     products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
@@ -17,5 +24,4 @@ def norm(a: Column) -> Column:
 
 def l2_normalize(a: Column) -> Column:
     """Unit vector as doubles; a zero vector stays as it is."""
-    with_length = F.transform(F.array(norm(a)), lambda n: F.when(n > 0, n).otherwise(1.0))
-    return F.get(F.transform(with_length, lambda n: F.transform(a, lambda x: x.cast("double") / n)), F.lit(0))
+    return let(norm(a), lambda n: let(F.when(n > 0, n).otherwise(1.0), lambda n: F.transform(a, lambda x: x.cast("double") / n)))

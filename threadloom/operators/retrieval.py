@@ -9,11 +9,12 @@ best ``k`` per query, never all pairs. ``threadloom.operators.pivots`` leaves ou
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from threadloom import constants as C
 from threadloom.functions.text import decimals
@@ -272,20 +273,43 @@ def leak_rate(hits: DataFrame) -> DataFrame:
                    F.round(F.avg("leaked"), 4).alias("leak_rate"))
 
 
+def word_counts(df: DataFrame, key: str, text: str, dimensions: int) -> DataFrame:
+    """``(key, counts)``: bucket and number of a text's words, a row per row. Words are lower-case runs of
+    letters and digits; a word's bucket is the first 32 bits of its md5, modulo ``dimensions``. Words
+    are counted per row and bucket inside the map tasks, so a row and at most its buckets move."""
+    words = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
+    numbered = df.select(F.col(key).alias("key"), F.monotonically_increasing_id().alias("row"), words.alias("words"))
+    rows = numbered.select("key", "row", F.explode("words").alias("word"))
+    bucket = F.conv(F.substring(F.md5("word"), 1, 8), 16, 10).cast("bigint") % dimensions
+    counted = rows.groupBy("row", "key", F.when(F.col("word") != "", bucket.cast("int")).alias("bucket")).agg(F.count("*").alias("n"))
+    entry = F.when(F.col("bucket").isNotNull(), F.struct("bucket", "n"))
+    return counted.groupBy("row", "key").agg(F.collect_list(entry).alias("counts")).select(F.col("key").alias(key), "counts")
+
+
 def text_vectors(df: DataFrame, key: str, text: str = "text", dimensions: int = 256) -> DataFrame:
-    """``(key, embedding)``: TF-IDF of hashed words, unit length. The built-in stand-in for a
-    sentence encoder. The word counts are stored between the two passes, so texts are read once."""
-    from pyspark.ml.feature import IDF, HashingTF, Normalizer
-    from pyspark.ml.functions import vector_to_array
-
-    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    counted = HashingTF(inputCol="words", outputCol="counts", numFeatures=dimensions).transform(
-        df.select(key, words.alias("words"))
-    )
-    counts = materialize(counted.select(key, "counts"))
-    weighted = IDF(inputCol="counts", outputCol="weights").fit(counts).transform(counts)
-    unit = Normalizer(inputCol="weights", outputCol="unit").transform(weighted)
-    return unit.select(key, vector_to_array("unit").alias("embedding"))
+    """``(key, embedding)``: hashed word counts times ln((rows + 1) / (rows with the bucket + 1)), unit length;
+    a text without words is zero. The built-in stand-in for a sentence encoder. The counts are stored
+    between the two passes, so texts are read once, and one number per dimension reaches the driver."""
+    counts, seen = materialize_counted(word_counts(df, key, text, dimensions))
+    by_bucket = counts.select(F.explode("counts.bucket").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"))
+    held = {r["bucket"]: r["n"] for r in by_bucket.collect()}  # at most a row per dimension
+    scale = np.array([math.log((seen["rows"] + 1) / (held.get(i, 0) + 1)) for i in range(dimensions)])
+
+    def dense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch["counts"]
+            entries = lists.flatten()
+            row = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
+            bucket, n = (np.asarray(entries.field(x)) for x in ("bucket", "n"))
+            vectors = np.zeros((len(lists), dimensions))
+            vectors[row, bucket] = n * scale[bucket]
+            length = np.sqrt((vectors ** 2).sum(axis=1, keepdims=True))
+            vectors /= np.where(length > 0, length, 1)
+            offsets = pa.array(np.arange(len(lists) + 1) * dimensions, pa.int32())
+            yield pa.RecordBatch.from_arrays([batch[key], pa.ListArray.from_arrays(offsets, pa.array(vectors.ravel()))], [key, "embedding"])
+
+    kind = counts.schema[key].dataType
+    return counts.mapInArrow(dense, T.StructType([T.StructField(key, kind), T.StructField("embedding", T.ArrayType(T.DoubleType()))]))
 
 
 def attach_vectors(df: DataFrame, encoder, schema: str) -> DataFrame:

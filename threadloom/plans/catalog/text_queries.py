@@ -120,10 +120,23 @@ def tweet_lookup_dedup(spark, sf_dir):
 
 
 @query("tfidf_embed", r"""
-    SELECT doc_id, CAST(256 AS INTEGER) AS dimensions,
-           CASE WHEN regexp_matches(text, '[\p{L}\p{N}]') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS length FROM documents""")
+    WITH rows AS (SELECT row_number() OVER () AS n, doc_id, text FROM documents),
+    words AS (SELECT n, unnest(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+')) AS word FROM rows),
+    counts AS (SELECT n, CAST(concat('0x', substring(md5(word), 1, 8)) AS BIGINT) % 256 AS bucket, count(*) AS tf FROM words WHERE word <> '' GROUP BY 1, 2),
+    held AS (SELECT bucket, ln(((SELECT count(*) FROM rows) + 1) / (count(*) + 1)) AS scale FROM counts GROUP BY bucket),
+    weights AS (SELECT n, bucket, tf * scale AS w FROM counts JOIN held USING (bucket)),
+    lengths AS (SELECT n, sqrt(sum(w * w)) AS length FROM weights GROUP BY n),
+    places AS (SELECT n, doc_id, unnest(range(256)) AS bucket FROM rows),
+    vectors AS (
+      SELECT p.n, p.doc_id, p.bucket, coalesce(w.w / CASE WHEN l.length > 0 THEN l.length ELSE 1 END, 0) AS value
+      FROM places p LEFT JOIN weights w ON w.n = p.n AND w.bucket = p.bucket LEFT JOIN lengths l ON l.n = p.n)
+    SELECT doc_id, CAST(count(*) AS INTEGER) AS dimensions, round(sqrt(sum(value * value)), 6) AS length,
+           string_agg(CAST(CAST(round(value * 1000000) AS BIGINT) AS VARCHAR), ',' ORDER BY bucket) AS millionths
+    FROM vectors GROUP BY n, doc_id""")
 def tfidf_embed(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = retrieval.text_vectors(documents, "doc_id")
     length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x * x))
-    return encoded.select("doc_id", F.size("embedding").alias("dimensions"), F.round(length, 6).alias("length"))
+    millionths = F.transform("embedding", lambda x: F.round(x * 1000000).cast("bigint").cast("string"))
+    return encoded.select(
+        "doc_id", F.size("embedding").alias("dimensions"), F.round(length, 6).alias("length"), F.array_join(millionths, ",").alias("millionths"))
