@@ -314,3 +314,45 @@ def test_language(spark, empty):
     assert all(odd[i]["lang"] == "und" and odd[i]["score"] == 0 for i in (0, 1, 2)) and odd[3]["lang"] != "und"
     assert language.identify(empty, model).collect() == []
     assert language.identify(table, language.fit(table.limit(0))).first()["language"]["lang"] == "und"
+
+
+def test_sketches_never_miss_a_link():
+    import pyarrow as pa
+
+    from threadloom.llm import kernels as K
+
+    picked = np.random.default_rng(8)
+    sets = []
+    for n in (1, 2, 5, 9, 40, 95, 100, 110, 120, 400, 3000):
+        base = picked.integers(0, 2**63, n, dtype=np.int64).astype(np.uint64)
+        sets.append(base)
+        for share in (0.02, 0.1, 0.2, 0.5):
+            edit = base.copy()
+            edit[: int(n * share)] = picked.integers(0, 2**63, int(n * share), dtype=np.int64).astype(np.uint64)
+            sets += [edit, np.concatenate([edit, picked.integers(0, 2**63, int(n * share / 2), dtype=np.int64).astype(np.uint64)])]
+    sets += [picked.integers(0, 2**63, n, dtype=np.int64).astype(np.uint64) for n in (700, 710, 720)]  # alone
+    # Hashes that all fall in one bucket.
+    sets += [np.arange(1000, dtype=np.uint64), np.arange(100, 1080, dtype=np.uint64)]
+    sets = [np.unique(K.mix(x) if x.max() > 10**6 else x) for x in sets]
+    counts = np.array([len(x) for x in sets])
+    sketches, sizes, beyond = jaccard._sketches(np.concatenate(sets), counts)
+    links, lone = [], set(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            shared = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * shared >= 80 * (counts[a] + counts[b] - shared):
+                links.append((b, a))
+    table = pa.table({
+        "cls": range(len(sets)), "n": counts, "beyond": beyond, "query": [True] * len(sets), "component": [str(i) for i in range(len(sets))],
+        "sketch": K.binary_column(sketches, sizes)})
+    near = [(a, b) for a, _, b, _ in jaccard._candidates(table, 80)]
+    family = B.components(range(len(sets)), near)
+    assert links and all(family[a] == family[b] for a, b in links)
+    lone -= {x for pair in near for x in pair}
+    assert len(lone) >= 3 and len(near) < len(sets)
+    assert not jaccard._candidates(table.set_column(4, "component", [["one"] * len(sets)]), 80)
+    # A link between two components is found beside a near pair of the same two.
+    some = pa.table({
+        "cls": range(4), "n": counts[:4], "beyond": beyond[:4], "query": [True] * 4, "component": ["x", "x", "y", "y"],
+        "sketch": K.binary_column(np.tile(sketches[: sizes[0]], 4), np.repeat(sizes[0], 4))})
+    assert {x for a, _, b, _ in jaccard._candidates(some, 80) for x in (a, b)} == {0, 1, 2, 3}

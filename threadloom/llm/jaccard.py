@@ -7,7 +7,10 @@ the n - T + 1 rarest one at least. Equal sets are one class from the start. Thre
    member are taken as pivots, and every class is compared with its pivots and with the others of
    its pivot: rows grow with the lists, not with their squares, and copies come together here.
 2. Lists whose members are not all connected by then are compared in full, in blocks: all members
-   outside the pivot's component against all members. This makes the result exact.
+   outside the pivot's component against all members. This makes the result exact. Here the classes
+   come with small counts of their shingles by hash instead of their sets: the sum of the smaller counts
+   is never below the overlap. Classes for which it reaches the threshold form families, in whatever
+   lists they met, and only members of a family bring their sets and are compared, once.
 3. Links become components.
 
 Within a block the T-occurrence search is DivideSkip: the longest inverted lists are set aside, the
@@ -18,7 +21,7 @@ the long ones by binary search. A block sends on a spanning forest of its links.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -155,8 +158,25 @@ def _postings(size: int, percent: int, bits: int, shared):
     return run
 
 
+def sketch_bits(n: np.ndarray) -> np.ndarray:
+    """Bits of the buckets that the shingles of a set of n are counted in: about three to a bucket."""
+    return np.clip(np.frexp(np.maximum(n, 1) // 3)[1], 5, 16)
+
+
+def _sketches(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shingles per bucket as bytes, the sketches of all rows end to end, their sizes, and what a byte could not count."""
+    bits = sketch_bits(counts)
+    sizes = 1 << bits
+    begin = np.cumsum(sizes) - sizes
+    rows = np.repeat(np.arange(len(counts)), counts)
+    place = begin[rows] + (values >> (64 - bits[rows]).astype(np.uint64)).astype(np.int64)
+    full = np.bincount(place, minlength=int(sizes.sum()))
+    beyond = np.add.reduceat(np.maximum(full - FULL, 0), begin) if len(begin) else begin
+    return np.minimum(full, FULL).astype(np.uint8), sizes, beyond
+
+
 def _needed_sets(size: int, shared):
-    """(class, size, set) of the documents in the filter; the first column is the hash of their key."""
+    """(class, size, set, sketch) of the documents in the filter; the first column is the hash of their key."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for batch in batches:
@@ -164,13 +184,15 @@ def _needed_sets(size: int, shared):
             wanted = batch.filter(pa.array((bits[place >> 3] >> (place & 7) & 1).astype(bool)))
             for _, _, raw, at in K.slices(wanted.column(1)):
                 values, counts = shingle_sets(raw, at, size)
+                sketches, sizes, beyond = _sketches(values, counts)
                 yield pa.record_batch({
-                    "cls": pa.array(_classes(values, counts)), "n": pa.array(counts), "grams": K.binary_column(values, counts)})
+                    "cls": pa.array(_classes(values, counts)), "n": pa.array(counts), "grams": K.binary_column(values, counts),
+                    "sketch": K.binary_column(sketches, sizes), "beyond": pa.array(beyond)})
 
     return run
 
 
-def t_occurrence(queries: list[np.ndarray], index: list[np.ndarray], percent: int) -> Iterator[np.ndarray]:
+def t_occurrence(queries: Iterable[np.ndarray], index: list[np.ndarray], percent: int) -> Iterator[np.ndarray]:
     """For each query the places in ``index`` whose similarity reaches ``percent`` (DivideSkip).
 
     Sets are sorted arrays of distinct hashes.
@@ -227,8 +249,16 @@ def _link_block(table: pa.Table, percent: int) -> list[tuple[int, int, int, int]
     sets = [np.frombuffer(data, np.uint64, (at[i + 1] - at[i]) // 8, at[i]) for i in first.tolist()]
     parts = table["component"].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
     label = parts[first].astype(np.int64)
-    edges = []
-    for q, linked in zip(queries.tolist(), t_occurrence([sets[i] for i in queries], sets, percent)):
+    edges, asked_now = [], []
+
+    def still_apart() -> Iterator[np.ndarray]:
+        for q in queries.tolist():
+            if (label != label[q]).any():  # as the links found so far leave it
+                asked_now.append(q)
+                yield sets[q]
+
+    for linked in t_occurrence(still_apart(), sets, percent):
+        q = asked_now[-1]
         while len(apart := linked[label[linked] != label[q]]):
             a, b = first[q], first[apart[0]]
             edges.append((int(names[a]), int(n[a]), int(names[b]), int(n[b])))
@@ -236,34 +266,76 @@ def _link_block(table: pa.Table, percent: int) -> list[tuple[int, int, int, int]
     return edges
 
 
-def _link_blocks(percent: int):
-    """All blocks of a task, one after the other: rows come sorted by block."""
+def _candidates(table: pa.Table, percent: int) -> list[tuple[int, int, int, int]]:
+    """A spanning forest of the pairs of a block that may link, by sizes and sketches, though not yet in one component."""
+    names, n, beyond = (table[x].to_numpy() for x in ("cls", "n", "beyond"))
+    asked = table["query"].to_numpy(zero_copy_only=False)
+    label = table["component"].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    bits = sketch_bits(n)
+    data = table["sketch"].combine_chunks().cast(pa.large_binary())
+    _, offsets, raw = data.buffers()
+    at = np.frombuffer(offsets, np.int64)[data.offset : data.offset + len(data) + 1]
+    raw = np.frombuffer(raw, np.uint8)
+    edges, family = [], np.arange(len(n))
+    for level in np.unique(bits).tolist():
+        # Sketches of this size, and those of the next size with neighbouring buckets added up: a pair
+        # meets at the smaller of its two sizes.
+        same, above = np.flatnonzero(bits == level), np.flatnonzero(bits == level + 1)
+        parts = [raw[K.spread(at[same], at[same + 1] - at[same])].reshape(len(same), -1).astype(np.uint16)]
+        if len(above):
+            wide = raw[K.spread(at[above], at[above + 1] - at[above])].reshape(len(above), -1, 2)
+            parts.append(wide.sum(axis=2, dtype=np.uint16))
+        members, counts = np.concatenate([same, above]), np.concatenate(parts)
+        for i, q in enumerate(same.tolist()):
+            near = (label[members] != label[q]) & (family[members] != family[q]) & (asked[members] | asked[q])
+            near &= 100 * np.minimum(n[members], n[q]) >= percent * np.maximum(n[members], n[q])
+            some = np.flatnonzero(near)
+            if not len(some):
+                continue
+            most = np.minimum(counts[some], counts[i]).sum(axis=1, dtype=np.int64) + np.minimum(beyond[members[some]], beyond[q])
+            good = members[some[100 * most >= percent * (n[members[some]] + n[q] - most)]]
+            while len(apart := good[family[good] != family[q]]):
+                other = apart[0]
+                edges.append((int(names[q]), int(n[q]), int(names[other]), int(n[other])))
+                family[family == family[other]] = family[q]
+    return edges
+
+
+def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The blocks of a task, one after the other: rows come sorted by block."""
+    held: list[pa.Table] = []
+    current = None
+    for batch in batches:
+        keys = np.stack([batch.column(x).to_numpy() for x in ("list", "i", "j")])
+        change = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
+        table = pa.Table.from_batches([batch])
+        for a, z in zip([0, *change.tolist()], [*change.tolist(), batch.num_rows]):
+            if a == z:
+                continue
+            block = tuple(keys[:, a].tolist())
+            if held and block != current:
+                yield pa.concat_tables(held)
+                held.clear()
+            held.append(table.slice(a, z - a))
+            current = block
+    if held:
+        yield pa.concat_tables(held)
+
+
+def _pairs_of_blocks(pairs, percent: int):
+    """The pairs that ``pairs`` finds in each block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
-        current, edges = None, []
+        edges: list[tuple[int, int, int, int]] = []
 
         def out() -> pa.RecordBatch:
             columns = np.array(edges, np.int64).reshape(-1, 4).T
             edges.clear()
             return pa.record_batch(dict(zip(("cls_a", "n_a", "cls_b", "n_b"), map(pa.array, columns))))
 
-        for batch in batches:
-            keys = np.stack([batch.column(x).to_numpy() for x in ("list", "i", "j")])
-            change = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
-            table = pa.Table.from_batches([batch])
-            for a, z in zip([0, *change.tolist()], [*change.tolist(), batch.num_rows]):
-                if a == z:
-                    continue
-                block = tuple(keys[:, a].tolist())
-                if held and block != current:
-                    edges += _link_block(pa.concat_tables(held), percent)
-                    held.clear()
-                held.append(table.slice(a, z - a))
-                current = block
+        for block in _by_block(batches):
+            edges += pairs(block, percent)
             if len(edges) > 1000:
                 yield out()
-        if held:
-            edges += _link_block(pa.concat_tables(held), percent)
         yield out()
 
     return run
@@ -311,7 +383,9 @@ def similar_groups(
         sets = keep(_sets_of(source, members, classes, size), "sets")
         first = materialize(_compare(_star_blocks(members, percent), sets, percent))
         groups = components(_as_nodes(first, classes))
-        second = materialize(_compare(_open_blocks(members, classes, groups, percent, keep), sets, percent))
+        opened = _open_blocks(members, classes, groups, percent, keep)
+        near = materialize(_compare(opened, sets, percent, _candidates, ("sketch", "beyond")))
+        second = materialize(_compare(_family_blocks(near, classes, groups), sets, percent))
         if second.take(1):
             groups = components(_as_nodes(first.unionByName(second), classes))
         labelled = classes.join(groups, "node", "left").select("cls", "n", F.coalesce("component", "node").alias("component"))
@@ -333,7 +407,7 @@ def _sets_of(source: DataFrame, members: DataFrame, classes: DataFrame, size: in
         view[r["word"]] = r["bits"]
     shared = source.sparkSession.sparkContext.broadcast(bits)
     named = source.filter("doc_id is not null").select(F.xxhash64("doc_id").alias("h"), "text")
-    return named.mapInArrow(_needed_sets(size, shared), "cls long, n long, grams binary").filter("n > 0")
+    return named.mapInArrow(_needed_sets(size, shared), "cls long, n long, grams binary, sketch binary, beyond long").filter("n > 0")
 
 
 def _star_blocks(members: DataFrame, percent: int) -> DataFrame:
@@ -388,10 +462,22 @@ def _open_blocks(members: DataFrame, classes: DataFrame, groups: DataFrame, perc
         F.col("shingle").alias("list"), "place.i", "place.j", "cls", "n", "place.query", "component")
 
 
-def _compare(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    filled = blocks.join(sets, ["cls", "n"])
+def _family_blocks(near: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
+    """Blocks of the classes that candidate pairs connect: every two of a family meet."""
+    families = components(_as_nodes(near, classes)).select("node", F.col("component").alias("family"))
+    labelled = families.join(classes, "node").join(groups, "node", "left")
+    labelled = labelled.select("family", "cls", "n", F.coalesce("component", "node").cast("string").alias("component"))
+    lanes = labelled.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("lanes"))
+    lane = F.pmod(F.xxhash64("cls", "n"), F.col("lanes")).cast("int")
+    met = F.transform(F.sequence(F.lit(0), F.col("lanes") - 1), lambda x: F.struct(F.least(lane, x).alias("i"), F.greatest(lane, x).alias("j")))
+    placed = labelled.join(lanes, "family").select(F.xxhash64("family").alias("list"), F.explode(met).alias("at"), "cls", "n", "component")
+    return placed.select("list", "at.i", "at.j", "cls", "n", F.lit(True).alias("query"), "component")
+
+
+def _compare(blocks: DataFrame, sets: DataFrame, percent: int, pairs=_link_block, columns: tuple[str, ...] = ("grams",)) -> DataFrame:
+    filled = blocks.join(sets.select("cls", "n", *columns), ["cls", "n"])
     dealt = filled.repartition("list", "i", "j").sortWithinPartitions("list", "i", "j")
-    return dealt.mapInArrow(_link_blocks(percent), _EDGES).distinct()
+    return dealt.mapInArrow(_pairs_of_blocks(pairs, percent), _EDGES).distinct()
 
 
 def _as_nodes(edges: DataFrame, classes: DataFrame) -> DataFrame:
