@@ -105,7 +105,7 @@ def test_empty_documents(spark, tables, tmp_path):
 
 def test_registered():
     assert set(QUERIES) <= set(driver.queries()) and "pipeline" in driver.queries()
-    assert len(QUERIES) == 10 and set(ORACLES) <= set(QUERIES)
+    assert len(QUERIES) == 13 and set(ORACLES) <= set(QUERIES)
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
