@@ -7,12 +7,14 @@ the n - T + 1 rarest one at least. Equal sets are one class from the start. Thre
    member are taken as pivots, and every class is compared with its pivots and with the others of
    its pivot: rows grow with the lists, not with their squares, and copies come together here.
 2. Lists whose members are not all connected by then are compared in full, in blocks: all members
-   outside the pivot's component against all members. This makes the result exact. Here the classes
-   come with small counts of their shingles by hash instead of their sets: the sum of the smaller counts
-   is never below the overlap. Classes for which it reaches the threshold form families, in whatever
-   lists they met, and only members of a family bring their sets and are compared, once.
+   outside the pivot's component against all members. This makes the result exact. Classes for which
+   a link is possible form families, in whatever lists they met, and each family is compared once.
 3. Links become components.
 
+Both comparisons look at sketches first, small counts of the shingles by hash: the sum of the smaller
+counts is never below the overlap. Only classes that have a partner for which it reaches the threshold
+bring their sets; before sets are shuffled, a filter of fixed size drops the others where they lie.
+
 Within a block the T-occurrence search is DivideSkip: the longest inverted lists are set aside, the
 short ones are merged by counting, and what reaches T minus the number of long lists is looked up in
 the long ones by binary search. A block sends on a spanning forest of its links.
@@ -180,8 +182,7 @@ def _needed_sets(size: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for batch in batches:
-            place = (batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-            wanted = batch.filter(pa.array((bits[place >> 3] >> (place & 7) & 1).astype(bool)))
+            wanted = batch.filter(_in_filter(batch.column(0), bits))
             for _, _, raw, at in K.slices(wanted.column(1)):
                 values, counts = shingle_sets(raw, at, size)
                 sketches, sizes, beyond = _sketches(values, counts)
@@ -381,11 +382,14 @@ def similar_groups(
         classes = rows.filter("n > 0 and doc_id is not null").groupBy("cls", "n").agg(F.min("doc_id").alias("node"))
         classes = materialize(classes)
         sets = keep(_sets_of(source, members, classes, size), "sets")
-        first = materialize(_compare(_star_blocks(members, percent), sets, percent))
+        stars = materialize(_star_blocks(members, percent))
+        likely = materialize(_compare(stars, sets, percent, _candidates, ("sketch", "beyond")))
+        first = materialize(_compare(stars.join(_ends(likely), ["cls", "n"], "left_semi"), sets, percent))
         groups = components(_as_nodes(first, classes))
         opened = _open_blocks(members, classes, groups, percent, keep)
         near = materialize(_compare(opened, sets, percent, _candidates, ("sketch", "beyond")))
-        second = materialize(_compare(_family_blocks(near, classes, groups), sets, percent))
+        families = materialize(_family_blocks(near, classes, groups))
+        second = materialize(_compare(families, sets, percent))
         if second.take(1):
             groups = components(_as_nodes(first.unionByName(second), classes))
         labelled = classes.join(groups, "node", "left").select("cls", "n", F.coalesce("component", "node").alias("component"))
@@ -395,17 +399,42 @@ def similar_groups(
         return materialize(result)
 
 
-def _sets_of(source: DataFrame, members: DataFrame, classes: DataFrame, size: int) -> DataFrame:
-    """The shingle sets of the classes in ``members``, by one more reading of their first documents."""
-    wanted = members.select("cls", "n").distinct().join(classes, ["cls", "n"]).select(F.xxhash64("node").alias("h"))
+def _hash_filter(hashes: DataFrame):
+    """A broadcast bit table of the hashes ``h``; its size is fixed, whatever their number."""
     place = F.shiftrightunsigned("h", 64 - FILTER_BITS).cast("int")
-    words = wanted.select((place / 64).cast("int").alias("word"), (place % 64).alias("bit")).distinct()
+    words = hashes.select((place / 64).cast("int").alias("word"), (place % 64).alias("bit")).distinct()
     words = words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
     bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
     view = bits.view("<i8")
     for r in words.toLocalIterator():  # fixed size: the filter
         view[r["word"]] = r["bits"]
-    shared = source.sparkSession.sparkContext.broadcast(bits)
+    return hashes.sparkSession.sparkContext.broadcast(bits)
+
+
+def _in_filter(hashes: pa.Array, bits: np.ndarray) -> pa.Array:
+    place = (hashes.to_numpy().view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+    return pa.array((bits[place >> 3] >> (place & 7) & 1).astype(bool))
+
+
+def _passing(shared):
+    """The rows whose first column is in the filter, without that column."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(_in_filter(batch.column(0), shared.value)).drop_columns(batch.schema.names[0])
+
+    return run
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    """The classes of pairs."""
+    sides = [pairs.select(F.col(f"cls_{x}").alias("cls"), F.col(f"n_{x}").alias("n")) for x in ("a", "b")]
+    return sides[0].unionByName(sides[1]).distinct()
+
+
+def _sets_of(source: DataFrame, members: DataFrame, classes: DataFrame, size: int) -> DataFrame:
+    """The shingle sets of the classes in ``members``, by one more reading of their first documents."""
+    wanted = members.select("cls", "n").distinct().join(classes, ["cls", "n"]).select(F.xxhash64("node").alias("h"))
+    shared = _hash_filter(wanted)
     named = source.filter("doc_id is not null").select(F.xxhash64("doc_id").alias("h"), "text")
     return named.mapInArrow(_needed_sets(size, shared), "cls long, n long, grams binary, sketch binary, beyond long").filter("n > 0")
 
@@ -475,7 +504,11 @@ def _family_blocks(near: DataFrame, classes: DataFrame, groups: DataFrame) -> Da
 
 
 def _compare(blocks: DataFrame, sets: DataFrame, percent: int, pairs=_link_block, columns: tuple[str, ...] = ("grams",)) -> DataFrame:
-    filled = blocks.join(sets.select("cls", "n", *columns), ["cls", "n"])
+    source = sets.select("cls", "n", *columns)
+    if "grams" in columns:
+        shared = _hash_filter(blocks.select(F.xxhash64("cls", "n").alias("h")))
+        source = source.select(F.xxhash64("cls", "n").alias("h"), *source.columns).mapInArrow(_passing(shared), source.schema)
+    filled = blocks.join(source, ["cls", "n"])
     dealt = filled.repartition("list", "i", "j").sortWithinPartitions("list", "i", "j")
     return dealt.mapInArrow(_pairs_of_blocks(pairs, percent), _EDGES).distinct()
 
