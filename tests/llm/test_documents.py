@@ -356,3 +356,20 @@ def test_sketches_never_miss_a_link():
         "cls": range(4), "n": counts[:4], "beyond": beyond[:4], "query": [True] * 4, "component": ["x", "x", "y", "y"],
         "sketch": K.binary_column(np.tile(sketches[: sizes[0]], 4), np.repeat(sizes[0], 4))})
     assert {x for a, _, b, _ in jaccard._candidates(some, 80) for x in (a, b)} == {0, 1, 2, 3}
+
+
+def test_a_secret_joined_to_a_base_span_is_found(spark):
+    rng = random.Random(5)
+    signs = secrets.ALPHABET[:62]
+    samples = [("".join(rng.choices(signs, k=30)), True) for _ in range(400)]
+    samples += [("_".join(rng.choices(["read", "file", "index", "table", "value", "count"], k=5)), False) for _ in range(400)]
+    model = secrets.train(spark.createDataFrame(samples, "value string, random boolean"))
+    access, key = "AKIA" + "Q7" * 8, "".join(rng.choices(signs, k=40))
+    texts = [f"\U0001f600 {access}{sign}{key}." for sign in "/=_+"] + [f"{key}/{access}", access, "", None]
+    found = secrets.scan(spark.createDataFrame(list(enumerate(texts)), "id int, text string"), model)
+    for r in found.withColumn("masked", secrets.redact(F.col("text"), F.col("secrets"))).collect():
+        text = r["text"] or ""
+        spans = {(s["kind"], text[s["start"]:s["end"]].strip("/")) for s in r["secrets"]}
+        want = {("access", access)} if access in text else set()
+        assert spans == (want | {("markov", key)} if key in text else want)
+        assert key not in (r["masked"] or "") and access not in (r["masked"] or "")

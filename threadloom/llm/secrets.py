@@ -79,6 +79,20 @@ def _base(df: DataFrame, text: str) -> DataFrame:
     return df.withColumn("_base", F.array_sort(spans)).drop("_assign", "_access", "_hex")
 
 
+def _blanked(text: Column, spans: Column) -> Column:
+    """The text with spaces in place of the spans, so that everything else keeps its position."""
+    def step(state: Column, s: Column) -> Column:
+        at = F.greatest(state["at"], s["start"])
+        end = F.greatest(state["at"], s["end"])
+        piece = F.concat(F.substr(text, state["at"] + 1, at - state["at"]), F.repeat(F.lit(" "), end - at))
+        return F.struct(end.alias("at"), F.concat(state["out"], F.array(piece)).alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    blank = F.aggregate(spans, start, step, lambda s: F.concat(
+        F.array_join(s["out"], ""), F.substr(text, s["at"] + 1, F.length(text))))
+    return F.when(F.size(spans) > 0, blank).otherwise(text)
+
+
 def train(samples: DataFrame) -> MarkovModel:
     """Count the two models from ``samples`` (``value`` string, ``random`` boolean).
 
@@ -124,13 +138,14 @@ def scan(docs: DataFrame, model: MarkovModel, text: str = "text") -> DataFrame:
     """Add ``secrets``: the spans (kind, start, end) of every whole text, by start and kind.
 
     Positions are code points, the end is exclusive. Null and empty texts have no spans. Base spans
-    are those of the patterns; ``markov`` spans are runs apart from them that the models call random.
+    are those of the patterns; ``markov`` spans are runs that the models call random, cut where base
+    spans begin and end: what a run holds beside a base span is judged by itself.
     Every row is kept, with its other columns; a column already called ``secrets`` is replaced.
     """
     prepare(docs.sparkSession)
     columns = [c for c in docs.columns if c != "secrets"]
     df = _base(docs.select(*columns), text)
-    pattern = f"{RUN}{{{RUN_LENGTH},}}"
+    pattern = f"[A-Za-z0-9]{RUN}{{{RUN_LENGTH - 1},}}"
     size = len(ALPHABET)
     table = F.split(F.lit(",".join(map(str, model.ratios))), ",").cast("array<double>")
 
@@ -142,18 +157,17 @@ def scan(docs: DataFrame, model: MarkovModel, text: str = "text") -> DataFrame:
 
         return F.aggregate(F.sequence(F.lit(1), F.length(run) - 1), F.lit(0.0), lambda s, i: s + at(i))
 
-    df = df.withColumn("_runs", _matches(F.col("_text"), pattern))
+    df = df.withColumn("_rest", _blanked(F.col("_text"), F.col("_base")))
+    df = df.withColumn("_runs", _matches(F.col("_rest"), pattern))
     df = df.withColumn("_likely", F.filter(F.array_distinct("_runs"), lambda r: ratio(r) > model.threshold))
     # Places are added up only where some run is random.
     placed = F.when(F.size("_likely") > 0, _placed(
-        F.col("_text"), F.col("_runs"), pattern, 3, lambda v: F.array_contains("_likely", v),
+        F.col("_rest"), F.col("_runs"), pattern, 3, lambda v: F.array_contains("_likely", v),
     )).otherwise(F.array().cast("array<struct<start:int,end:int,rank:int,value:string>>"))
-    apart = lambda m: ~F.exists("_base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
-    df = df.withColumn("_added", F.filter(placed, apart))
     kinds = F.array(*(F.lit(k) for k in KINDS))
     named = lambda s: F.struct(
         F.element_at(kinds, s["rank"] + 1).alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
-    return df.withColumn("secrets", F.transform(F.array_sort(F.concat("_base", "_added")), named)).select(*columns, "secrets")
+    return df.withColumn("secrets", F.transform(F.array_sort(F.concat(F.col("_base"), placed)), named)).select(*columns, "secrets")
 
 
 def spelled(spans: Column) -> Column:
