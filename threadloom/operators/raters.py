@@ -29,11 +29,13 @@ def judge_subsample(predictions: DataFrame, n: int = C.JUDGE_SAMPLE, seed: int =
 
 
 def human_sheet(predictions: DataFrame, golden: DataFrame, n: int = C.JUDGE_SAMPLE, seed: int = C.SEED) -> DataFrame:
-    """Sampled rows with empty score cells. The sample is drawn first, so the join is small."""
-    chosen = judge_subsample(predictions.select("example_id", "query", "reply"), n, seed)
+    """Sampled rows with empty score cells. The sample is drawn first, so the join is small: its ids,
+    whose number is bounded, may be broadcast to the golden rows; texts of any length are not."""
+    chosen = materialize(judge_subsample(predictions.select("example_id", "query", "reply"), n, seed))
+    ids = chosen.select("example_id")
     if n <= BROADCAST_SAMPLE:
-        chosen = F.broadcast(chosen)
-    rows = golden.select("example_id", "brand_response_actual").join(chosen, "example_id")
+        ids = F.broadcast(ids)
+    rows = golden.select("example_id", "brand_response_actual").join(ids, "example_id", "left_semi").join(chosen, "example_id")
     blank = [F.lit("").alias(f"human_{c}") for c in (*C.DIMENSIONS, "notes")]
     return rows.select(
         F.col("example_id").alias("index"), F.col("query").alias("customer_query"),
