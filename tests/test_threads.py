@@ -1,10 +1,11 @@
 import random
 from collections import deque
+from functools import partial
 
 import pytest
 
 from threadloom.functions.text import thread_key
-from threadloom.operators import graph, threads
+from threadloom.operators import graph, threads, tours
 from threadloom.schemas import TWEETS
 from pyspark.sql import functions as F
 
@@ -87,6 +88,50 @@ def test_random_graphs_match_a_queue_walk(spark, seed, size, tangled, group):
     assert rebuilt(turns) == queue_walk(rows, "brand1")
 
 
+@pytest.mark.parametrize("seed,size,tangled,levels", [(5, 200, False, 0), (6, 200, False, 1), (8, 150, True, 0)])
+def test_trees_ranked_along_their_tours_match_a_queue_walk(spark, monkeypatch, seed, size, tangled, levels):
+    monkeypatch.setattr(threads, "find_tops", partial(threads.find_tops, path_levels=levels))
+    rows = random_messages(seed, size, tangled)
+    assert rebuilt(threads.build_threads(frame(spark, rows).repartition(3), "brand1")) == queue_walk(rows, "brand1")
+
+
+def test_a_very_deep_tree_that_branches_everywhere(spark):
+    depth = 10_000
+    rows = [tweet(0)]
+    for i in range(1, depth + 1):  # the even child goes on, the odd one has one reply
+        rows.append(tweet(4 * i, 4 * (i - 1), author="Brand" if i % 2 else None, inbound="no" if i % 2 else "yes"))
+        rows += [tweet(4 * i + 1, 4 * (i - 1)), tweet(4 * i + 3, 4 * i + 1)]
+    turns = threads.build_threads(frame(spark, rows), "brand")
+    assert rebuilt(turns) == queue_walk(rows, "brand")
+
+
+def test_no_row_of_the_walk_grows_with_the_depth(spark):
+    links = [(str(i), str(i + 1), 2 * i) for i in range(300)] + [(str(i), f"x{i}", 2 * i + 1) for i in range(300)]
+    edges = spark.createDataFrame(links, "src string, dst string, ord bigint")
+    below, unordered = threads.find_tops(edges.withColumn("ok", F.lit(True)).withColumn("is_brand", F.lit(False)))
+    assert below.agg(F.max(F.size("path"))).first()[0] == threads.PATH_LEVELS
+    assert unordered == below.where("path IS NULL").count() == 2 * (300 - threads.PATH_LEVELS)
+
+
+def test_ranks_of_tours(spark):
+    rng = random.Random(11)
+    links = [(rng.randrange(i), i, rng.randrange(5)) for i in range(1, 120)] + [(1000, i, 7) for i in range(1001, 1101)]
+    edges = spark.createDataFrame(links, "src bigint, dst bigint, ord bigint").repartition(5)
+    children = {}
+    for src, dst, order in sorted(links, key=lambda r: (r[2], r[1])):
+        children.setdefault(src, []).append(dst)
+
+    def down(node):
+        return [node] + [x for child in children.get(node, []) for x in down(child)]
+
+    found = {r["tid"]: r["rank"] for r in tours.rank_messages(edges).collect()}
+    assert len(found) == len(links)
+    for top in (0, 1000):
+        tour = down(top)[1:]
+        assert [found[x] for x in tour] == list(range(len(tour), 0, -1))
+    assert tours.rank_messages(edges.limit(0)).count() == 0
+
+
 def test_small_shapes(spark):
     rows = [
         # A circle behind a root, a self reply, a dangling id and a message listed twice.
@@ -116,15 +161,15 @@ def test_a_walk_that_is_too_deep_fails_loudly(spark):
 
 
 def test_brand_rules(spark):
-    rows = [tweet(1, author="Apple", inbound="no"), tweet(2, author="AppleSupport_UK", inbound="no"),
-            tweet(3, author="Other", inbound="no"), tweet(4, author="Other", inbound="no"), tweet(5, author="applesupport")]
+    rows = [tweet(1, author="Plum", inbound="no"), tweet(2, author="PlumSupport_UK", inbound="no"),
+            tweet(3, author="Other", inbound="no"), tweet(4, author="Other", inbound="no"), tweet(5, author="plumsupport")]
     df = frame(spark, rows)
 
     def names(brand, **options):
         return sorted(r["author_id"] for r in graph.brand_authors(df, brand, **options).collect())
 
-    assert names("AppleSupport") == ["Apple", "AppleSupport_UK"]
-    assert names("apple", exact=True) == ["Apple"]
+    assert names("PlumSupport") == ["Plum", "PlumSupport_UK"]
+    assert names("plum", exact=True) == ["Plum"]
     assert names("nobody") == ["Other"]
 
 

@@ -21,12 +21,15 @@ from pyspark.sql import DataFrame, Window, functions as F
 from threadloom.functions.text import thread_key
 from threadloom.operators import graph
 from threadloom.operators.sampling import BROADCAST_SAMPLE, sample_rows
+from threadloom.operators.tours import rank_messages
 from threadloom.session import materialize, materialize_counted
 
 # Children of one message per edge group, nodes per edge partition, short rows that may be broadcast.
 GROUP_EDGES = 1_000_000
 PARTITION_EDGES = 2_000_000
 BROADCAST_ROWS = 100_000
+# Branching levels whose order a row carries itself; deeper trees are ranked along their tours.
+PATH_LEVELS = 16
 # Levels merged into one table, to keep plans short on deep threads.
 MERGE_LEVELS = 32
 
@@ -74,7 +77,7 @@ def split_irregular(edges: DataFrame, roots: DataFrame) -> tuple[DataFrame, Data
 
 def _tree_rows(edges: DataFrame) -> DataFrame:
     """One row per message below a top. ``path`` holds the order among siblings, but only where there
-    are siblings, so that long back-and-forth chains stay short rows."""
+    are siblings, so that long back-and-forth chains stay short rows. Beyond ``PATH_LEVELS`` it is null."""
     children = edges.groupBy("src").agg(F.count("*").alias("n_children"))
     several = children.where("n_children > 1").select("src", F.lit(True).alias("branching"))
     inner = children.select(F.col("src").alias("tid"), F.lit(True).alias("internal"))
@@ -85,14 +88,16 @@ def _tree_rows(edges: DataFrame) -> DataFrame:
     return rows.join(inner, "tid", "left").withColumn("internal", F.coalesce("internal", F.lit(False)))
 
 
-def find_tops(edges: DataFrame) -> DataFrame:
-    """Top, distance and sibling path of every message below a top; every target has one parent.
+def find_tops(edges: DataFrame, path_levels: int = PATH_LEVELS) -> tuple[DataFrame, int]:
+    """Top, distance and sibling path of every message below a top, and the number of rows whose path
+    would be longer than ``path_levels`` and is null instead. Every target has one parent.
 
     Each round joins the rows still on their way with the row of their current ancestor. A round that
     finishes nothing leaves only closed circles, which no top leads to.
     """
     columns = ["tid", "anc", "dist", "path", "ok", "is_brand", "internal"]
-    active, finished = materialize(_tree_rows(edges)).select(*columns, F.lit(False).alias("done")), []
+    active, finished, unordered = materialize(_tree_rows(edges)).select(*columns, F.lit(False).alias("done")), [], 0
+    fits = F.size("up_path") + F.size("path") <= path_levels
     while True:
         ancestors = reduce(DataFrame.unionByName, [*finished, active]).where("internal").select(
             F.col("tid").alias("anc"), F.col("anc").alias("up"), F.col("dist").alias("up_dist"),
@@ -103,15 +108,16 @@ def find_tops(edges: DataFrame) -> DataFrame:
             "tid",
             F.coalesce("up", "anc").alias("anc"),
             (F.col("dist") + F.coalesce("up_dist", F.lit(0))).alias("dist"),
-            F.when(is_top, F.col("path")).otherwise(F.concat("up_path", "path")).alias("path"),
+            F.when(is_top, F.col("path")).when(fits, F.concat("up_path", "path")).alias("path"),
             "ok", "is_brand", "internal",
             F.coalesce("up_done", F.lit(True)).alias("done"),
         )
-        table, counts = materialize_counted(moved, done=F.col("done"))
+        table, counts = materialize_counted(moved, done=F.col("done"), unordered=F.col("done") & F.col("path").isNull())
         finished.append(table.where("done"))
         active = table.where("NOT done")
+        unordered += counts["unordered"]
         if counts["done"] in (0, counts["rows"]):
-            return reduce(DataFrame.unionByName, finished)
+            return reduce(DataFrame.unionByName, finished), unordered
 
 
 def qualified_roots(visits: DataFrame, min_turns: int) -> DataFrame:
@@ -120,9 +126,9 @@ def qualified_roots(visits: DataFrame, min_turns: int) -> DataFrame:
     return sizes.where(F.col("has_brand") & (F.col("n_kept") >= min_turns)).select("root")
 
 
-def tree_visits(below: DataFrame, roots: DataFrame, min_turns: int) -> DataFrame:
-    """Visits of the qualified trees under ``roots``; ``pos`` follows the sibling paths of a level.
-    Other trees are dropped before the sort."""
+def tree_visits(edges: DataFrame, below: DataFrame, unordered: int, roots: DataFrame, min_turns: int) -> DataFrame:
+    """Visits of the qualified trees under ``roots``; ``pos`` follows the sibling paths of a level, or, in a
+    tree with a row that has none, the tour of the tree. Other trees are dropped before the sort."""
     members = below.select(F.col("anc").alias("root"), "tid", F.col("dist").alias("level"), "path", "ok", "is_brand")
     tops = roots.select(
         "root", F.col("root").alias("tid"), F.lit(0).alias("level"), F.array().cast("array<bigint>").alias("path"),
@@ -130,8 +136,17 @@ def tree_visits(below: DataFrame, roots: DataFrame, min_turns: int) -> DataFrame
     )
     visits = members.unionByName(tops)
     chosen = qualified_roots(visits, min_turns).join(roots.select("root"), "root", "left_semi")
-    ordered = visits.join(chosen, "root", "left_semi").orderBy("root", "level", "path", "tid")
-    return ordered.withColumn("pos", F.monotonically_increasing_id()).select(*_OUT)
+    visits = visits.join(chosen, "root", "left_semi")
+    order = ["root", "level", "path", "tid"]
+    if unordered:
+        visits = materialize(visits)
+        deep = visits.where("path IS NULL").select("root", F.lit(True).alias("deep")).distinct()
+        visits = visits.join(deep, "root", "left").withColumn("path", F.when(F.col("deep").isNull(), F.col("path")))
+        visits = materialize(visits.drop("deep"))
+        inside = visits.where("path IS NULL").select(F.col("tid").alias("dst"))
+        visits = visits.join(rank_messages(edges.join(inside, "dst", "left_semi")), "tid", "left")
+        order = ["root", "level", "path", F.desc("rank"), "tid"]
+    return visits.orderBy(*order).withColumn("pos", F.monotonically_increasing_id()).select(*_OUT)
 
 
 def visit_threads(
@@ -142,15 +157,16 @@ def visit_threads(
     level walk for the roots that reach an irregular message."""
     shape = edge_shape(edges, roots)
     if shape.parents <= 1 and not shape.entered_roots:
-        visits, counts = materialize_counted(tree_visits(find_tops(edges), roots, min_turns), kept=F.col("ok"))
+        visits, counts = materialize_counted(tree_visits(edges, *find_tops(edges), roots, min_turns), kept=F.col("ok"))
         return visits, counts["kept"]
     regular, irregular = split_irregular(edges, roots)
-    below = find_tops(materialize(regular))
+    regular = materialize(regular)
+    below, unordered = find_tops(regular)
     exits = irregular.select(F.col("src").alias("tid")).distinct()
     tops = exits.join(below.select("tid", "anc"), "tid", "left").select(F.coalesce("anc", "tid").alias("root")).distinct()
     tangled = materialize(roots.join(tops, "root", "left_semi"))
     clean = roots.join(tangled.select("root"), "root", "left_anti")
-    visits, counts = materialize_counted(tree_visits(below, clean, min_turns), kept=F.col("ok"))
+    visits, counts = materialize_counted(tree_visits(regular, below, unordered, clean, min_turns), kept=F.col("ok"))
     walked = walk(edges, tangled, shape, partitions, max_levels, group_edges)
     walked = walked.join(qualified_roots(walked, min_turns), "root", "left_semi")
     walked, more = materialize_counted(walked, kept=F.col("ok"))
