@@ -84,6 +84,70 @@ def test_table_is_reused_only_for_the_same_key(spark, tmp_path):
     assert not tables.is_complete(spark, str(broken))
 
 
+def test_every_change_of_the_input_files_is_another_state(spark, tmp_path):
+    folder = tmp_path / "a b%20c [x]"  # names that an address would write differently
+
+    def part(name, text):
+        (folder / name).parent.mkdir(exist_ok=True)
+        (folder / name).write_text(text)
+
+    def state(*columns):
+        return tables.input_state(spark.read.schema("a string, b string").csv(str(folder).replace("[", "\\[").replace("]", "\\]")).select(*columns or ("a", "b")))
+
+    part("1.csv", "x,y\n")
+    part("2.csv", "z,y\n")
+    seen = [state()]
+    assert state() == seen[0] != state("a")
+    part("1.csv", "x,yy\n")  # changed
+    seen.append(state())
+    part("3.csv", "x,y\n")  # added
+    seen.append(state())
+    (folder / "2.csv").write_text("")  # emptied
+    seen.append(state())
+    assert len(set(seen)) == 4
+
+
+def test_state_of_wide_plans_and_of_tables_without_files(spark, tmp_path):
+    spark.range(5).select(*[(F.col("id") + i).alias(f"c{i}") for i in range(60)]).write.parquet(str(tmp_path / "wide"))
+    wide = spark.read.parquet(str(tmp_path / "wide"))
+    usual = spark.conf.get("spark.sql.debug.maxToStringFields")
+    one, two = [wide.where(F.col("c0").isin(*range(80), last)) for last in (100, 101)]
+    assert tables.input_state(one) == tables.input_state(wide.where(F.col("c0").isin(*range(80), 100))) != tables.input_state(two)
+    assert spark.conf.get("spark.sql.debug.maxToStringFields") == usual
+    rows = spark.createDataFrame([(1, "a"), (2, None)], "a int, b string")
+    again = spark.createDataFrame([(2, None), (1, "a")], "a int, b string")
+    assert tables.input_state(rows) == tables.input_state(again) != tables.input_state(rows.limit(0))
+
+
+def test_vector_table_joins_without_moving_its_documents(spark, tmp_path):
+    vectors = spark.range(200).select(
+        F.col("id").alias("thread_id"), F.array(F.col("id").cast("double"), F.lit(1.0)).alias("embedding"),
+        F.concat(F.lit("q"), "id").alias("customer_query"), F.lit("it's").alias("brand_response"))
+    path = str(tmp_path / "it's here")
+    for buckets in (3, 7):  # a second write replaces the first, its number of buckets too
+        tables.write_vectors(vectors, path, buckets=buckets)
+        stored = tables.read_vectors(spark, path)
+        assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, vectors.collect()))
+    hits = spark.range(500).select(F.col("id").alias("query_id"), (F.col("id") % 200).alias("doc_id"), F.lit(0.5).alias("score"))
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a corpus too large to be sent
+    try:
+        joined = retrieval.with_documents(hits, stored, broadcast_hits=0)
+        assert joined.where("customer_query = concat('q', doc_id)").count() == 500
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    lines = plan.split("SortMergeJoin")[1].split("\n")[1:]
+    at = lines[0].index(":-")
+    second = next(i for i, line in enumerate(lines) if line[at:at + 2] == "+-")
+    sides = ["\n".join(lines[:second]), "\n".join(lines[second:])]
+    scanned, moved = sides if "FileScan" in sides[0] else sides[::-1]
+    assert "Bucketed: true" in scanned and "Exchange" not in scanned and moved.count("Exchange") == 1
+    empty = str(tmp_path / "empty")
+    tables.write_vectors(vectors.limit(0), empty)
+    assert tables.read_vectors(spark, empty).count() == 0
+
+
 def test_all_steps_end_to_end(spark, tmp_path):
     tweets = dump(spark)
     turns = jobs.build_conversations(spark, tweets, str(tmp_path), "brand", n=8)
@@ -119,7 +183,7 @@ def test_all_steps_end_to_end(spark, tmp_path):
     index = jobs.build_index(turns, vectors)
     assert index.count() == 8 and {len(r["full_thread"]) for r in index.collect()} == {3}
     tables.write_vectors(index, str(tmp_path / "index"), "root_id")
-    assert spark.read.parquet(str(tmp_path / "index")).count() == 8
+    assert tables.read_vectors(spark, str(tmp_path / "index")).count() == 8
 
     answers = golden.select("example_id", F.inline(F.array(*[
         F.struct(F.lit(s).alias("stage"), F.lit(t).alias("response"))

@@ -10,7 +10,7 @@ best ``k`` per query, never all pairs. ``threadloom.operators.pivots`` leaves ou
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -233,13 +233,17 @@ def retrieval_corpus(pairs: DataFrame, vectors: DataFrame, key: str = "thread_id
     return pairs.join(vectors, key).withColumn("embedding", l2_normalize(F.col("embedding")))
 
 
-def with_documents(hits: DataFrame, corpus: DataFrame, key: str = "thread_id") -> DataFrame:
-    """Hits with the texts of their documents. Stored first: the search then runs once, and few hits
-    go to the texts instead of shuffling those."""
+def with_documents(
+    hits: DataFrame, corpus: DataFrame, key: str = "thread_id", columns: Sequence[str] = ("customer_query", "brand_response"),
+    broadcast_hits: int = BROADCAST_HITS,
+) -> DataFrame:
+    """Hits with ``columns`` of their documents. Stored first: the search then runs once, and few hits
+    go to the texts instead of shuffling those. Many hits are shuffled by document; a corpus of
+    :func:`threadloom.sources.tables.read_vectors` in buckets of ``key`` still stays where it is."""
     hits, counts = materialize_counted(hits)
-    if counts["rows"] <= BROADCAST_HITS:
+    if counts["rows"] <= broadcast_hits:
         hits = F.broadcast(hits)
-    texts = corpus.select(F.col(key).alias("doc_id"), "customer_query", "brand_response")
+    texts = corpus.select(F.col(key).alias("doc_id"), *columns)
     return texts.join(hits, "doc_id")
 
 

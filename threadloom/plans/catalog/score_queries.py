@@ -9,6 +9,8 @@ from threadloom.functions.text import to_taxonomy
 from threadloom.operators import failures, metrics, predictions as P, raters, sampling
 from threadloom.plans import evaluation
 from threadloom.plans.catalog.base import LABEL_LIST, query, sql_label, sql_quote, sql_strip, view, with_views
+from threadloom.session import scratch_path
+from threadloom.sources.tables import write_metrics
 
 _LABELS = "labels_dim AS (SELECT unnest([" + LABEL_LIST + "]) AS label)"
 
@@ -331,6 +333,13 @@ def evaluation_long(spark, sf_dir):
     return metrics.rounded(_evaluated(spark, sf_dir))
 
 
+@query("metrics_roundtrip", f"{_LONG} SELECT system, family, metric, class, round(value, 4) AS value FROM long")
+def metrics_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "metrics")
+    write_metrics(_evaluated(spark, sf_dir), path)
+    return metrics.rounded(spark.read.parquet(path).select("system", "family", "metric", "class", "value"))
+
+
 @query("evaluation_with_agreement", f"{_long_sql(human=True)} SELECT system, family, metric, class, round(value, 4) AS value FROM long")
 def evaluation_with_agreement(spark, sf_dir):
     return metrics.rounded(_evaluated(spark, sf_dir, view(spark, sf_dir, "human_scores")))

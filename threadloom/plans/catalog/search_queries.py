@@ -8,6 +8,8 @@ from threadloom.functions.vectors import dot, l2_normalize, norm
 from threadloom.operators import pairs, pivots, retrieval
 from threadloom.plans.catalog.base import query, table, view
 from threadloom.plans.catalog.conversation_queries import PAIRS
+from threadloom.session import scratch_path
+from threadloom.sources.tables import read_vectors, write_vectors
 
 _UNIT = """unit AS (
     SELECT vec_id, list_transform(v, lambda x: x / CASE WHEN n > 0 THEN n ELSE 1 END) AS v
@@ -77,6 +79,22 @@ def knn_pruned(spark, sf_dir):
     return _rounded(pivots.knn_pruned(documents, pivots.build_pivot_index(documents)))
 
 
+@query("vector_table_roundtrip", f"""WITH {_UNIT}, {_ALL}, {_top('docs', 'docs', 3)}
+    SELECT h.query_id, h.rank, h.doc_id, round(h.score, 6) AS score, e.label, round(u.v[1], 6) AS first
+    FROM hits h JOIN embeddings e ON e.vec_id = h.doc_id JOIN unit u ON u.vec_id = h.doc_id""")
+def vector_table_roundtrip(spark, sf_dir):
+    """Search in a stored table in buckets; the hits fetch their documents without moving these."""
+    path = scratch_path(spark, "vectors")
+    write_vectors(table(spark, sf_dir, "embeddings").withColumn("embedding", l2_normalize(F.col("embedding"))), path, "vec_id", buckets=8)
+    stored = read_vectors(spark, path)
+    documents = retrieval.vector_side(stored, "vec_id", "embedding", normalize=False)
+    found = retrieval.with_documents(retrieval.knn_topk(documents, documents), stored, "vec_id", ("label", "embedding"), broadcast_hits=0)
+    return found.select(
+        "query_id", F.col("rank").cast("bigint").alias("rank"), "doc_id", F.round("score", 6).alias("score"), "label",
+        F.round(F.get("embedding", F.lit(0)), 6).alias("first"),
+    )
+
+
 _CORPUS = f"""{PAIRS}, {_UNIT},
     corpus AS (SELECT p.*, u.v, p.thread_id AS id FROM pairs p JOIN unit u ON u.vec_id = p.thread_id)"""
 
