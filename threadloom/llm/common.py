@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -46,6 +46,25 @@ def temporary(spark: SparkSession) -> Iterator:
             where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
+def fresh(columns: Iterable[str], *names: str) -> list[str]:
+    """The names, lengthened where a column already has one of them in any case."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def low_hash(hashed: Column, rows: int, among: Column | int) -> Column:
+    """True for a share of all hashes, from the smallest on, that holds the ``rows`` smallest of ``among``: twice
+    as many and 1,000 more on average, so that a lack is beyond 30 standard deviations. What is ranked after
+    this filter no longer grows with the table; ``among`` may be off by a fifth."""
+    wanted = F.lit(2.0 * rows + 1000.0) / F.greatest(F.lit(among) if isinstance(among, int) else among, F.lit(1))
+    return hashed.cast("double") <= F.lit(-(2.0**63)) + F.least(F.lit(1.0), wanted) * F.lit(2.0**64)
+
+
 def held_out(key: str = "doc_id") -> Column:
     """True for rows that no model may learn from: crc32 of the id's text modulo 5 is 0."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -55,4 +74,4 @@ def present(df: DataFrame) -> bool:
     return bool(df.take(1))
 
 
-__all__ = ["prepare", "stored", "temporary", "held_out", "present", "materialize"]
+__all__ = ["prepare", "stored", "temporary", "fresh", "low_hash", "held_out", "present", "materialize"]

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from threadloom.llm import kernels as K
-from threadloom.llm.common import prepare, stored, temporary
+from threadloom.llm.common import fresh, prepare, stored, temporary
 
 GRAM = 5
 # Benchmarks up to this many bytes are sent to the tasks whole; larger ones are joined by fingerprint.
@@ -188,10 +188,11 @@ def decontaminate(
     look = _looker(lambda: Benchmark.build(shared.value, span))
     named = F.arrow_udf(lambda hits: pa.array(
         [sorted({ids.value[i] for i in x} - {None}) for x in hits.to_pylist()], pa.list_(pa.string())), "array<string>")
-    found = docs.withColumn("_hit", look(F.col(text)))
+    [raw] = fresh([*docs.columns, "hit"], "_hit")
+    found = docs.withColumn(raw, look(F.col(text)))
     return found.withColumn("hit", F.struct(
-        F.col("_hit.n_words").alias("n_words"), F.col("_hit.n_hit").alias("n_hit"),
-        named(F.col("_hit.items")).alias("items"), F.col("_hit.spans").alias("spans"))).drop("_hit")
+        F.col(raw)["n_words"].alias("n_words"), F.col(raw)["n_hit"].alias("n_hit"),
+        named(F.col(raw)["items"]).alias("items"), F.col(raw)["spans"].alias("spans"))).drop(raw)
 
 
 def _marks(span: int, sizes: list[int]):
@@ -260,13 +261,15 @@ def _by_fingerprint(docs: DataFrame, items: DataFrame, text: str, span: int) ->
 
     kind = "array<struct<start:bigint,end:bigint>>"
     merged = hits.withColumn("spans", F.aggregate("spans", F.array().cast(kind), merge))
-    joined = docs.withColumn("_key", F.sha2(text, 256)).join(merged.withColumnRenamed("key", "_key"), "_key", "left")
+    # The row's own columns go in one, so that none of them can clash with a name of the join.
+    own = docs.select(F.struct(*docs.columns).alias("row"), F.sha2(text, 256).alias("key"))
+    joined = own.join(merged, "key", "left")
     spans = F.coalesce("spans", F.array().cast(kind))
     return joined.withColumn("hit", F.struct(
-        _count_words(F.col(text)).alias("n_words"),
+        _count_words(F.col("row")[text]).alias("n_words"),
         F.aggregate(spans, F.lit(0).cast("bigint"), lambda s, x: s + x["end"] - x["start"]).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"), spans.alias("spans"),
-    )).select(*docs.columns, "hit")
+    )).select("row.*", "hit")
 
 
 def _count_words(text: Column) -> Column:

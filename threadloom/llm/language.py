@@ -13,13 +13,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from threadloom.llm import kernels as K
-from threadloom.llm.common import materialize, prepare
+from threadloom.llm.common import low_hash, materialize, prepare
+from threadloom.session import materialize_counted
 
 # Labelled documents of each language that the model is fitted on at most.
 FIT_ROWS = 1500
 # Their bytes at most, in each language; a text adds its first ROW_CHARS characters (1 MB at most).
 FIT_BYTES = 12_000_000
 ROW_CHARS = 250_000
+# Rows of one number and a name that may be broadcast.
+BROADCAST_ROWS = 1_000_000
 # Words and n-grams seen less often are left to shorter ones.
 LEAST_COUNT = 2
 LONGEST = 5
@@ -56,6 +59,12 @@ def _table(rows, languages: list[str]) -> tuple[K.HashTable, np.ndarray]:
     return table, logs.astype(np.float32)
 
 
+def _sent(small: DataFrame) -> DataFrame:
+    """A table stored and counted, sent to all executors if it is small indeed."""
+    table, counts = materialize_counted(small)
+    return F.broadcast(table) if counts["rows"] <= BROADCAST_ROWS else table
+
+
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> LanguageModel:
     """Fit on a bounded sample of the labelled rows: of each language the FIT_ROWS documents whose
     keys have the smallest hash, up to FIT_BYTES of text, of which each adds its first ROW_CHARS
@@ -63,13 +72,17 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(key).alias("_key"), F.col(lang).alias("_lang"), F.left(text, F.lit(ROW_CHARS)).alias("text"))
     order = Window.partitionBy("_lang").orderBy(F.xxhash64("_key", F.lit(9)), "_key")
-    # Keys are ranked without their texts; the chosen ones, FIT_ROWS per language, go to the texts.
-    ranked = known.select("_key", "_lang").distinct().withColumn("_rank", F.row_number().over(order))
-    chosen = ranked.filter(F.col("_rank") <= FIT_ROWS).select("_key", "_lang")
-    rows = materialize(known.join(F.broadcast(chosen), ["_key", "_lang"]).groupBy("_key", "_lang").agg(F.min("text").alias("text")))
+    # Keys are ranked without their texts, and only those with small hashes: a language with most of the
+    # rows is no larger there than any other. The chosen ones, FIT_ROWS per language, go to the texts.
+    keys = known.filter(F.col("_key").isNotNull()).select("_key", "_lang")
+    many = _sent(keys.groupBy("_lang").agg(F.approx_count_distinct("_key").alias("_many")))
+    few = keys.join(many, "_lang").filter(low_hash(F.xxhash64("_key", F.lit(9)), FIT_ROWS, F.col("_many"))).select("_key", "_lang")
+    ranked = few.distinct().withColumn("_rank", F.row_number().over(order))
+    chosen = _sent(ranked.filter(F.col("_rank") <= FIT_ROWS).select("_key", "_lang"))
+    rows = materialize(known.join(chosen, ["_key", "_lang"]).groupBy("_key", "_lang").agg(F.min("text").alias("text")))
     sizes = rows.select("_key", "_lang", F.sum(F.octet_length("text")).over(
         order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_bytes"))
-    sample = rows.join(F.broadcast(sizes.filter(F.col("_bytes") <= FIT_BYTES).drop("_bytes")), ["_key", "_lang"]).select(
+    sample = rows.join(sizes.filter(F.col("_bytes") <= FIT_BYTES).drop("_bytes"), ["_key", "_lang"]).select(
         F.col("_lang").alias("lang"), "text")
     words = sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(_WORD_PATTERN), F.lit(0))).alias("name"))
     counted = words.groupBy("lang", "name").agg(F.count("*").alias("n")).persist()

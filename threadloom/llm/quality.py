@@ -16,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from threadloom.llm import kernels as K
-from threadloom.llm.common import prepare
+from threadloom.llm.common import low_hash, materialize, prepare
+from threadloom.session import materialize_counted
 
 # Labelled rows of each class that the model is fitted on at most (half for the dictionary, half for
 # the calibration), and their bytes at most. Of one text no more than its first ROW_CHARS characters
@@ -98,18 +99,25 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     one key are one row, with the smallest of their texts. Keys of several labels, or of none, are not learned from.
     Without rows of both labels every score is the share of label 1, or one half."""
     known = labels.filter(f"{label} in (0, 1)").groupBy(key).agg(F.min(label).alias("_low"), F.max(label).alias("_high")).filter("_low = _high")
+    known, counts = materialize_counted(known.select(F.col(key).alias("_key"), "_low"), bad=F.col("_low") == 0)
+    order, chosen = F.xxhash64("_key", F.lit(3)), None
+    for value, among in ((0, counts["bad"]), (1, counts["rows"] - counts["bad"])):
+        # Only keys with small hashes are ranked, so what meets there does not grow with the table.
+        few = known.filter((F.col("_low") == value) & low_hash(order, FIT_ROWS, max(1, among)))
+        few = few.orderBy(order, "_key").limit(FIT_ROWS)
+        chosen = few if chosen is None else chosen.unionByName(few)
+    # One look at the documents for both labels; at most FIT_ROWS keys of each are sent to them.
+    rows = docs.select(F.col(key).alias("_key"), F.left(text, F.lit(ROW_CHARS)).alias("_text")).filter(F.length("_text") > 0)
+    sample = materialize(rows.join(F.broadcast(chosen), "_key").groupBy("_key", "_low").agg(F.min("_text").alias("_text")))
     parts = []
     for value in (0, 1):
-        rows = known.filter(F.col("_low") == value).orderBy(F.xxhash64(F.col(key), F.lit(3)), key).limit(FIT_ROWS)
-        found = docs.select(key, F.left(text, F.lit(ROW_CHARS)).alias(text)).join(F.broadcast(rows.select(key)), key)
-        found = found.filter(F.length(text) > 0).groupBy(key).agg(F.min(text).alias(text))
         # Each row adds its bytes; the sample ends where the bound is met, in the order of the hash.
-        order = F.xxhash64(F.col(key), F.lit(3))
-        few = found.select(order.alias("o"), F.octet_length(text).alias("b")).toArrow().to_pandas().sort_values("o")
+        found = sample.filter(F.col("_low") == value)
+        few = found.select(order.alias("o"), F.octet_length("_text").alias("b")).toArrow().to_pandas().sort_values("o")
         within = few[few["b"].cumsum() <= FIT_BYTES]
         limit = int(within["o"].max()) if len(within) else -(2**63)
-        chosen = found.filter(order <= limit).select(order.alias("o"), text).distinct().toArrow()
-        pairs = sorted(zip(chosen["o"].to_pylist(), chosen[text].to_pylist()))
+        chosen = found.filter(order <= limit).select(order.alias("o"), "_text").distinct().toArrow()
+        pairs = sorted(zip(chosen["o"].to_pylist(), chosen["_text"].to_pylist()))
         parts.append([t.encode() for _, t in pairs])
     return _fit(*parts)
 

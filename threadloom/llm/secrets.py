@@ -144,7 +144,8 @@ def scan(docs: DataFrame, model: MarkovModel, text: str = "text") -> DataFrame:
     """
     prepare(docs.sparkSession)
     columns = [c for c in docs.columns if c != "secrets"]
-    df = _base(docs.select(*columns), text)
+    # The row's own columns go in one, so that none of them can clash with a working name.
+    df = _base(docs.select(F.struct(*columns).alias("row"), F.col(text).alias("text")), "text")
     pattern = f"[A-Za-z0-9]{RUN}{{{RUN_LENGTH - 1},}}"
     size = len(ALPHABET)
     table = F.split(F.lit(",".join(map(str, model.ratios))), ",").cast("array<double>")
@@ -167,7 +168,7 @@ def scan(docs: DataFrame, model: MarkovModel, text: str = "text") -> DataFrame:
     kinds = F.array(*(F.lit(k) for k in KINDS))
     named = lambda s: F.struct(
         F.element_at(kinds, s["rank"] + 1).alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
-    return df.withColumn("secrets", F.transform(F.array_sort(F.concat(F.col("_base"), placed)), named)).select(*columns, "secrets")
+    return df.withColumn("secrets", F.transform(F.array_sort(F.concat(F.col("_base"), placed)), named)).select("row.*", "secrets")
 
 
 def spelled(spans: Column) -> Column:

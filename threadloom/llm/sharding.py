@@ -12,7 +12,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from threadloom.llm.common import materialize, prepare
+from threadloom.llm.common import fresh, materialize, prepare
 
 ROUNDS = 6
 
@@ -80,19 +80,20 @@ def number_rows(df: DataFrame, order: list[Column]) -> tuple[DataFrame, int]:
     deal them out anew.
     """
     # The place in the source breaks the ties of equal rows, so that no hot key fills a partition.
-    placed = df.withColumn("_tie", F.monotonically_increasing_id())
-    dealt = placed.repartitionByRange(*order, F.col("_tie")).sortWithinPartitions(*order, "_tie").drop("_tie")
-    local = materialize(dealt.withColumn("_id", F.monotonically_increasing_id()))
-    part = F.shiftrightunsigned("_id", 33).alias("_part")
-    sizes = {r["_part"]: r["n"] for r in local.groupBy(part).agg(F.count("*").alias("n")).collect()}  # one per partition
+    tie, at, part, before = fresh(df.columns, "_tie", "_id", "_part", "_before")
+    placed = df.withColumn(tie, F.monotonically_increasing_id())
+    dealt = placed.repartitionByRange(*order, F.col(tie)).sortWithinPartitions(*order, tie).drop(tie)
+    local = materialize(dealt.withColumn(at, F.monotonically_increasing_id()))
+    number = F.shiftrightunsigned(at, 33).cast("long")
+    sizes = {r["part"]: r["n"] for r in local.groupBy(number.alias("part")).agg(F.count("*").alias("n")).collect()}  # one per partition
     total, offsets = 0, []
-    for number in sorted(sizes):
-        offsets.append((number, total))
-        total += sizes[number]
-    table = df.sparkSession.createDataFrame(offsets, "_part long, _before long")
-    numbered = local.withColumn("_part", F.shiftrightunsigned("_id", 33).cast("long")).join(F.broadcast(table), "_part")
-    row = F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
-    return numbered.withColumn("row_number", row).drop("_part", "_before", "_id"), total
+    for own in sorted(sizes):
+        offsets.append((own, total))
+        total += sizes[own]
+    table = df.sparkSession.createDataFrame(offsets, f"{part} long, {before} long")
+    numbered = local.withColumn(part, number).join(F.broadcast(table), part)
+    row = F.col(before) + F.col(at).bitwiseAND(F.lit((1 << 33) - 1))
+    return numbered.withColumn("row_number", row).drop(part, before, at), total
 
 
 def assign_shards(df: DataFrame, order: list[str], shards: int = 16, seed: int = 20240601) -> DataFrame:
@@ -107,14 +108,16 @@ def assign_shards(df: DataFrame, order: list[str], shards: int = 16, seed: int =
     numbered, n = number_rows(df, [F.col(c) for c in order])
     if n == 0:
         return numbered.withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("bigint")})
-    at = permute(numbered, "row_number", "_at", n, seed)
+    [place] = fresh(numbered.columns, "_at")
+    at = permute(numbered, "row_number", place, n, seed)
     return at.select(
-        *[c for c in at.columns if c != "_at"], (F.col("_at") % shards).cast("int").alias("shard"),
-        F.call_function("div", F.col("_at"), F.lit(shards)).cast("bigint").alias("slot"),
+        *numbered.columns, (F.col(place) % shards).cast("int").alias("shard"),
+        F.call_function("div", F.col(place), F.lit(shards)).cast("bigint").alias("slot"),
     )
 
 
 def locate(places: DataFrame, n: int, shards: int = 16, seed: int = 20240601) -> DataFrame:
     """Add ``row_number`` to rows with ``shard`` and ``slot``: the permutation backwards."""
-    at = places.withColumn("_at", F.col("slot") * shards + F.col("shard"))
-    return permute(at, "_at", "row_number", n, seed, inverse=True).drop("_at")
+    [place] = fresh(places.columns, "_at")
+    at = places.withColumn(place, F.col("slot") * shards + F.col("shard"))
+    return permute(at, place, "row_number", n, seed, inverse=True).drop(place)

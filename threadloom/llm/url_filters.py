@@ -82,9 +82,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     order = F.struct(F.length("rule"), F.col("rule_verdict") == "block", "rule")
     best = hits.groupBy("host", "path").agg(F.max_by(F.struct("rule", "rule_verdict"), order).alias("best"))
     keep = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    judged = pages.withColumns({"_host": host, "_path": path}).join(
-        best.select(F.col("host").alias("_host"), F.col("path").alias("_path"), "best"), ["_host", "_path"], "left")
+    # The row's own columns go in one, so that none of them can clash with a name of the join.
+    judged = pages.select(F.struct(*keep).alias("row"), host.alias("host"), path.alias("path")).join(best, ["host", "path"], "left")
     return judged.select(
-        *[F.col(c) for c in keep], F.col("_host").alias("host"), F.col("_path").alias("path"),
-        F.col("best.rule").alias("rule"), F.coalesce("best.rule_verdict", F.lit(default)).alias("verdict"),
+        "row.*", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.rule_verdict", F.lit(default)).alias("verdict"),
     )

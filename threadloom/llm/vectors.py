@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from threadloom.llm.common import materialize, prepare
+from threadloom.llm.common import low_hash, materialize, prepare
 from threadloom.llm.components import components
 
 # Bounds of the sample that codebooks are fitted on.
@@ -188,7 +188,8 @@ def _links_of(chosen: DataFrame, dims: int, least: float, cell_rows: int, recall
     spark = chosen.sparkSession
     size = chosen.agg(F.count("*").alias("n"), F.count_distinct("label").alias("labels")).first()
     sample_rows = min(SAMPLE_ROWS, max(1, SAMPLE_NUMBERS // dims))
-    sample = chosen.select("vector").orderBy(F.xxhash64("node", F.lit(5))).limit(sample_rows).toArrow()["vector"].combine_chunks()
+    order = F.xxhash64("node", F.lit(5))
+    sample = chosen.filter(low_hash(order, sample_rows, size["n"])).orderBy(order).select("vector").limit(sample_rows).toArrow()["vector"].combine_chunks()
     per_half = int(np.clip(round((size["n"] / size["labels"] / cell_rows) ** 0.5), 1, MOST_CENTROIDS)) if dims > 1 else 1
     shared = spark.sparkContext.broadcast(fit(unit_rows(sample), per_half, least, recall))
 
