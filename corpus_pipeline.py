@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threadloom.llm import language
-from threadloom.llm.common import held_out, prepare, stored
+from threadloom.llm.common import fresh, held_out, prepare, stored
 from threadloom.llm.decontaminate import decontaminate
 from threadloom.llm.jaccard import similar_groups
 from threadloom.llm.packing import pack
@@ -32,8 +32,9 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     model = language.fit(docs.filter(~held_out()).select("doc_id", "text", "lang"))
     if not model.languages:
         return docs.filter(language.has_letters(F.col("text")))
-    known = language.identify(docs.drop("_language"), model, out="_language")
-    kept = (F.col("_language.lang") != "und") & (F.col("_language.score") >= LEAST_LANGUAGE_SCORE)
+    [found] = fresh(docs.columns, "_language")
+    known = language.identify(docs, model, out=found)
+    kept = (F.col(found)["lang"] != "und") & (F.col(found)["score"] >= LEAST_LANGUAGE_SCORE)
     return known.filter(kept).select(*docs.columns)
 
 
@@ -44,7 +45,8 @@ def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     ids = docs.agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("distinct")).first()
     key, rows = "doc_id", docs
     if ids["n"] != ids["distinct"]:
-        key, rows = "_row", docs.withColumn("_row", F.monotonically_increasing_id())
+        [key] = fresh(docs.columns, "_row")
+        rows = docs.withColumn(key, F.monotonically_increasing_id())
     groups = similar_groups(rows, key=key)
     dropped = groups.filter(F.col("component_id") != F.col(key)).select(key)
     dropped = F.broadcast(dropped) if dropped.count() <= BROADCAST_KEYS else dropped
@@ -54,21 +56,23 @@ def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination. Documents of which 5 % of the words or more, and one at least, lie
     in passages of the benchmark go; others stay as they are."""
-    hit = decontaminate(docs.withColumnRenamed("hit", "_hit_column"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    [aside] = fresh(docs.columns, "_hit_column")
+    hit = decontaminate(docs.withColumnRenamed("hit", aside), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     clean = hit.filter(~contaminated(F.col("hit"))).drop("hit")
-    return clean.withColumnRenamed("_hit_column", "hit").select(*docs.columns)
+    return clean.withColumnRenamed(aside, "hit").select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secret scans. Every found span is replaced by [SECRET], and n_chars follows; all documents stay."""
     model = train(labelled_samples(docs.select("text")))
-    found = scan(docs.withColumnRenamed("secrets", "_secrets_column"), model)
+    [aside] = fresh(docs.columns, "_secrets_column")
+    found = scan(docs.withColumnRenamed("secrets", aside), model)
     any_ = F.size("secrets") > 0
     masked = found.withColumn("text", redact(F.col("text"), F.col("secrets")))
     if "n_chars" in docs.columns:
         count = F.length("text").cast(docs.schema["n_chars"].dataType)
         masked = masked.withColumn("n_chars", F.when(any_, count).otherwise(F.col("n_chars")))
-    return masked.drop("secrets").withColumnRenamed("_secrets_column", "secrets").select(*docs.columns)
+    return masked.drop("secrets").withColumnRenamed(aside, "secrets").select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
