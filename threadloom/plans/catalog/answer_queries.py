@@ -261,6 +261,6 @@ def resumable_scoring(spark, sf_dir):
     sink, state = scratch_path(spark, "scores"), scratch_path(spark, "score-state")
     for _ in range(2):
         start_scoring(
-            spark, sf_dir, schema, score, sink, state, key=["conv_id", "turn"], file_pattern="conversations.parquet"
+            spark, f"{sf_dir}/conversations.parquet", schema, score, sink, state, key=["conv_id", "turn"]
         ).awaitTermination()
     return spark.read.parquet(sink).select("conv_id", "turn", "reply")

@@ -43,7 +43,7 @@ def start_scoring(
     spark: SparkSession, source: str, schema: StructType, score: Scorer, sink: str, checkpoint: str,
     key: str | list[str] = "example_id", files_per_batch: int = 1_000, file_pattern: str = "*",
 ) -> StreamingQuery:
-    """Score new query files until none is left.
+    """Score new query files until none is left. ``source`` is a folder of files, or one file.
 
     The keys of earlier micro-batches are in the stream's state store, so a batch costs what its own rows
     cost and the sink is never read. Every micro-batch owns one folder of the sink and replaces it when it
@@ -51,7 +51,7 @@ def start_scoring(
     """
     configure(spark)
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-    queries = reader.option("pathGlobFilter", file_pattern).parquet(source)
+    queries = reader.option("pathGlobFilter", file_pattern).parquet(_listed(spark, source))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # Stored first: whatever the scorer does with the rows, the state is asked once.
@@ -66,6 +66,15 @@ def start_scoring(
     )
 
 
+def _listed(spark: SparkSession, source: str) -> str:
+    """The source as Spark's file stream lists it: a folder stays, one file becomes a pattern that fits it alone."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(source)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path) or files.getFileStatus(path).isDirectory():
+        return source
+    return f"{source[:-1]}[{source[-1]}]"
+
+
 def with_new_keys(queries: DataFrame, key: str | list[str]) -> DataFrame:
     """The rows of a stream, and beside them a row ``_new`` for each key that no micro-batch had before.
     The state holds the keys alone, not what the rows say."""
