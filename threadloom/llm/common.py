@@ -29,21 +29,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 @contextmanager
 def temporary(spark: SparkSession) -> Iterator:
-    """Tables written with the given function go when the block ends."""
-    paths: list[str] = []
+    """Tables written with the given function go when the block ends, or with ``keep.drop(name)`` before."""
+    paths: list[tuple[str, str]] = []
 
     def keep(df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(spark, name)
-        paths.append(path)
+        paths.append((name, path))
         df.write.option("compression", "zstd").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
+    def drop(*names: str) -> None:
+        for entry in [x for x in paths if x[0] in names]:
+            paths.remove(entry)
+            where = spark._jvm.org.apache.hadoop.fs.Path(entry[1])
+            where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+    keep.drop = drop
     try:
         yield keep
     finally:
-        for path in paths:
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+        drop(*[name for name, _ in paths])
 
 
 def fresh(columns: Iterable[str], *names: str) -> list[str]:

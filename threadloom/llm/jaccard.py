@@ -38,7 +38,12 @@ from threadloom.llm.components import components
 # Any counters give right results; a counter is one byte and stops at 255, so the bound is that of a
 # broadcast of 64 MB. A shingle whose counter says 1 is in no other document and needs no list.
 LEAST_COUNTER_BITS, MOST_COUNTER_BITS = 18, 26
+CHUNK = 1 << LEAST_COUNTER_BITS
 FULL = 255
+# Texts of so many bytes are worked on at once: what a task holds beside its counters is some 40 times as much.
+SLICE_BYTES = 500_000
+# Bits of the table that says which posted shingles are posted again; about 16 for each posting within these bounds.
+LEAST_AGAIN_BITS, MOST_AGAIN_BITS = 18, 26
 # Pivots that a class is compared with in the first step; the second step is for all the others.
 PIVOTS = 2
 # Classes in one side of a block.
@@ -83,33 +88,60 @@ def _classes(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return K.mix(total[ends] - total[ends - counts]).view(np.int64)
 
 
+def _pack_counters(counters: np.ndarray) -> bytes:
+    """Counters that are mostly 0: the number of the others, the gaps before them (a byte for each and one more
+    for every 255 that a gap is longer), and what they count."""
+    place = np.flatnonzero(counters)
+    gaps = np.diff(place, prepend=-1) - 1
+    ends = np.cumsum(gaps // 255 + 1)
+    coded = np.full(int(ends[-1]) if len(ends) else 0, 255, np.uint8)
+    coded[ends - 1] = gaps % 255
+    return zstandard.compress(np.int64(len(place)).tobytes() + coded.tobytes() + counters[place].tobytes(), 3)
+
+
+def _unpack_counters(data: bytes, size: int) -> np.ndarray:
+    data = zstandard.decompress(data)
+    n = int(np.frombuffer(data, np.int64, 1)[0])
+    coded = np.frombuffer(data, np.uint8, len(data) - 8 - n, 8)
+    ends = coded < FULL
+    counters = np.zeros(size, np.uint8)
+    counters[(np.cumsum(coded.astype(np.int64) + ends) - 1)[ends]] = np.frombuffer(data, np.uint8, n, len(data) - n)
+    return counters
+
+
+def _count(counters: np.ndarray, place: np.ndarray) -> None:
+    place, seen = np.unique(place, return_counts=True)
+    counters[place] = np.minimum(counters[place] + seen, FULL)
+
+
+def _chunks(counters: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """The chunks of a task's counters that are not all 0, with their numbers."""
+    for number in range(len(counters) // CHUNK):
+        part = counters[number * CHUNK : (number + 1) * CHUNK]
+        if part.any():
+            yield number, _pack_counters(part)
+
+
 def _describe(size: int, bits: int):
     """One row per document, and the shingle counters of the task that are not 0, in chunks."""
-    chunk = 1 << LEAST_COUNTER_BITS
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters, kind = np.zeros(1 << bits, np.uint8), None
         for batch in batches:
             kind = batch.column(0).type
-            for first, end, raw, at in K.slices(batch.column(1)):
+            for first, end, raw, at in K.slices(batch.column(1), SLICE_BYTES):
                 values, counts = shingle_sets(raw, at, size)
-                place, seen = np.unique(values >> np.uint64(64 - bits), return_counts=True)
-                place = place.astype(np.int64)
-                counters[place] = np.minimum(counters[place] + seen, FULL)
+                _count(counters, (values >> np.uint64(64 - bits)).astype(np.int64))
                 n = end - first
                 yield pa.record_batch({
                     "doc_id": batch.column(0).slice(first, n), "n": pa.array(counts), "cls": pa.array(_classes(values, counts)),
                     "chunk": pa.nulls(n, pa.int32()), "counters": pa.nulls(n, pa.binary()),
                 })
-        for number in range(len(counters) // chunk if kind is not None else 0):
-            part = counters[number * chunk : (number + 1) * chunk]
-            if part.any():
-                none = pa.nulls(1, pa.int64())
-                # Most counters of a task are 0: compressed, they are a few hundredths.
-                yield pa.record_batch({
-                    "doc_id": pa.nulls(1, kind), "n": none, "cls": none, "chunk": pa.array([number], pa.int32()),
-                    "counters": pa.array([zstandard.compress(part.tobytes(), 3)], pa.binary()),
-                })
+        for number, data in _chunks(counters) if kind is not None else ():
+            none = pa.nulls(1, pa.int64())
+            yield pa.record_batch({
+                "doc_id": pa.nulls(1, kind), "n": none, "cls": none, "chunk": pa.array([number], pa.int32()),
+                "counters": pa.array([data], pa.binary()),
+            })
 
     return run
 
@@ -119,12 +151,19 @@ def _add_counters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for number, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            part = np.frombuffer(zstandard.decompress(data), np.uint8).astype(np.uint16)
+            part = _unpack_counters(data, CHUNK).astype(np.uint16)
             sums[number] = np.minimum(sums.get(number, 0) + part, FULL).astype(np.uint8)
     for number, total in sums.items():
         yield pa.record_batch({"chunk": pa.array([number], pa.int32()), "counters": pa.array([total.tobytes()], pa.binary())})
 
 
+def _summed(chunks: DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+    """All tasks' counters together, chunk by chunk: (first place, counters). Dealt by chunk, each task sums whole ones."""
+    summed = chunks.repartition("chunk").mapInArrow(_add_counters, "chunk int, counters binary")
+    for r in summed.toLocalIterator():  # fixed size: the counters
+        yield r["chunk"] * CHUNK, np.frombuffer(r["counters"], np.uint8)
+
+
 def least_overlap(n: np.ndarray, percent: int) -> np.ndarray:
     """T: shingles that a set of n shares at least with any set it links to."""
     return -(-n * percent // 100)
@@ -135,7 +174,7 @@ def _postings(size: int, percent: int, bits: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[tuple[int, int]] = set()
         for batch in batches:
-            for _, _, raw, at in K.slices(batch.column(0)):
+            for _, _, raw, at in K.slices(batch.column(0), SLICE_BYTES):
                 values, counts = shingle_sets(raw, at, size)
                 names = _classes(values, counts)
                 fresh = np.zeros(len(counts), bool)
@@ -160,6 +199,36 @@ def _postings(size: int, percent: int, bits: int, shared):
     return run
 
 
+def _count_postings(bits: int):
+    """The counters of a task's posted shingles; by other bits of a shingle than those that have chosen it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters = np.zeros(1 << bits, np.uint8)
+        for batch in batches:
+            _count(counters, batch.column(0).to_numpy() & ((1 << bits) - 1))
+        for number, data in _chunks(counters):
+            yield pa.record_batch({"chunk": pa.array([number], pa.int32()), "counters": pa.array([data], pa.binary())})
+
+    return run
+
+
+def _posted_again(postings: DataFrame) -> DataFrame:
+    """The postings without most of the shingles that only one row has: those lists have one member. What is left
+    goes through shuffles."""
+    bits = min(MOST_AGAIN_BITS, max(LEAST_AGAIN_BITS, (16 * postings.count()).bit_length()))
+    chunks = postings.select("shingle").mapInArrow(_count_postings(bits), "chunk int, counters binary")
+    again = np.zeros((1 << bits) // 8, np.uint8)
+    for at, counters in _summed(chunks):
+        again[at // 8 : (at + len(counters)) // 8] = np.packbits(counters > 1, bitorder="little")
+    shared = postings.sparkSession.sparkContext.broadcast(again)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = batch.column(0).to_numpy() & ((1 << bits) - 1)
+            yield batch.filter(pa.array((shared.value[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)))
+
+    return postings.mapInArrow(run, postings.schema)
+
+
 def sketch_bits(n: np.ndarray) -> np.ndarray:
     """Bits of the buckets that the shingles of a set of n are counted in: about three to a bucket."""
     return np.clip(np.frexp(np.maximum(n, 1) // 3)[1], 5, 16)
@@ -183,7 +252,7 @@ def _needed_sets(size: int, shared):
         bits = shared.value
         for batch in batches:
             wanted = batch.filter(_in_filter(batch.column(0), bits))
-            for _, _, raw, at in K.slices(wanted.column(1)):
+            for _, _, raw, at in K.slices(wanted.column(1), SLICE_BYTES):
                 values, counts = shingle_sets(raw, at, size)
                 sketches, sizes, beyond = _sketches(values, counts)
                 yield pa.record_batch({
@@ -368,17 +437,19 @@ def similar_groups(
         described = keep(source.mapInArrow(_describe(size, bits), described_schema), "described")
         rows = described.filter("chunk is null").select("doc_id", "n", "cls")
         chunks = described.filter("chunk is not null").select("chunk", "counters")
-        # Dealt by chunk: each task sums whole chunks, and all together are the counters.
-        summed = chunks.repartition("chunk").mapInArrow(_add_counters, "chunk int, counters binary")
         counters = np.zeros(1 << bits, np.uint8)
-        for r in summed.toLocalIterator():  # fixed size: the counters
-            counters[r["chunk"] << LEAST_COUNTER_BITS : (r["chunk"] + 1) << LEAST_COUNTER_BITS] = np.frombuffer(r["counters"], np.uint8)
+        for at, part in _summed(chunks):
+            counters[at : at + len(part)] = part
         shared = spark.sparkContext.broadcast(counters)
         postings = keep(texts.mapInArrow(_postings(size, percent, bits, shared), "shingle long, cls long, n long"), "postings")
+        shared.destroy()
+        del counters, shared
+        postings = _posted_again(postings)
         lists = postings.groupBy("shingle").agg(
             F.min("cls").alias("low"), F.max("cls").alias("high"), F.min_by("n", "cls").alias("n_low"), F.max_by("n", "cls").alias("n_high"),
         ).filter("low <> high")
         members = keep(postings.join(lists, "shingle"), "members")
+        keep.drop("postings")
         classes = rows.filter("n > 0 and doc_id is not null").groupBy("cls", "n").agg(F.min("doc_id").alias("node"))
         classes = materialize(classes)
         sets = keep(_sets_of(source, members, classes, size), "sets")
@@ -388,6 +459,7 @@ def similar_groups(
         groups = components(_as_nodes(first, classes))
         opened = _open_blocks(members, classes, groups, percent, keep)
         near = materialize(_compare(opened, sets, percent, _candidates, ("sketch", "beyond")))
+        keep.drop("members", "placed")
         families = materialize(_family_blocks(near, classes, groups))
         second = materialize(_compare(families, sets, percent))
         if second.take(1):
