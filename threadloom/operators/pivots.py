@@ -142,11 +142,10 @@ def _blocks(placed: DataFrame, block_rows: int) -> Rotation:
 
 
 class _Queries:
-    """A block of queries in a task: places, radii, and the best hits so far."""
+    """A few queries of a task: places, radii, and the best hits so far."""
 
     def __init__(self, ids, vectors, homes, far, radius, floor, k, exclude_self):
         self.homes, self.far, self.radius = homes, far, radius
-        self.ids, self.vectors, self.k, self.exclude_self = ids, vectors, k, exclude_self
         self.top = R._TopHits(ids, vectors, k, exclude_self)
         self.top.floor = floor.copy()
         self.compared = 0
@@ -157,7 +156,7 @@ class _Queries:
         if not len(rows):
             return
         self.compared += len(rows) * len(docs)
-        part = R._TopHits(self.ids[rows], self.vectors[rows], self.k, self.exclude_self)
+        part = R._TopHits(self.top.ids[rows], self.top.vectors[rows], self.top.k, self.top.exclude_self)
         part.floor = self.top.floor[rows]
         part.add(docs, vectors)
         if len(part.rows):
@@ -171,28 +170,38 @@ class _Queries:
         return pa.RecordBatch.from_arrays([names, *(pa.array(x) for x in columns[1:])], ["query_id", "doc_id", "score", "compared"])
 
 
+def _few_at_a_time(ids, vectors, homes, far, radius, floor, k, exclude_self) -> list[_Queries]:
+    """A turn's queries by home, so many together that what a task holds beside them does not grow with the turn."""
+    order = np.argsort(homes, kind="stable")
+    parts = [order[at:at + R.BLOCK_QUERIES] for at in range(0, len(order), R.BLOCK_QUERIES)]
+    return [_Queries(*(x[rows] for x in (ids, vectors, homes, far, radius, floor)), k, exclude_self) for rows in parts]
+
+
 def _search(shared, own_home: bool, n_pivots: int):
     names = _columns(n_pivots)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries = _Queries(*shared.value)
+        width, blocks = shared.value[1].shape[1], _few_at_a_time(*shared.value)
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH_DOCUMENTS):
                 batch = whole.slice(at, BATCH_DOCUMENTS)
-                docs, vectors = R._ids(batch["id"]), R._matrix(batch, queries.vectors.shape[1])
+                docs, vectors = R._ids(batch["id"]), R._matrix(batch, width)
                 homes = np.asarray(batch["home"])
+                groups = [(home, homes == home) for home in np.unique(homes)]
                 if own_home:
-                    for home in np.unique(homes):
-                        mine = homes == home
-                        queries.meet(docs[mine], vectors[mine], queries.homes == home)
+                    for queries in blocks:
+                        for home, mine in groups:
+                            queries.meet(docs[mine], vectors[mine], queries.homes == home)
                     continue
                 far = np.stack([np.asarray(batch[x]) for x in names], axis=1)
-                apart = np.maximum(queries.far - far.max(axis=0), far.min(axis=0) - queries.far).max(axis=1)
-                near = apart <= queries.radius + SLACK
-                for home in np.unique(homes):
-                    mine = homes == home  # the documents of its own home have met a query before
-                    queries.meet(docs[mine], vectors[mine], near & (queries.homes != home))
-        yield queries.batch()
+                least, most = far.min(axis=0), far.max(axis=0)
+                for queries in blocks:
+                    apart = np.maximum(queries.far - most, least - queries.far).max(axis=1)
+                    near = apart <= queries.radius + SLACK
+                    for home, mine in groups:  # the documents of its own home have met a query before
+                        queries.meet(docs[mine], vectors[mine], near & (queries.homes != home))
+        for queries in blocks:
+            yield queries.batch()
 
     return run
 
