@@ -26,6 +26,8 @@ BROADCAST_VALUES = 4_194_304
 # A task scores blocks of this shape.
 BLOCK_QUERIES = 1_024
 BLOCK_DOCUMENTS = 4_096
+# Documents scored at once inside a block: at first as many as were scored before, so that few reach the floors.
+LEAST_STEP, MOST_STEP = 64, 512
 # Hits (four numbers each) that may be broadcast.
 BROADCAST_HITS = 100_000
 # Scores are compared at this precision, so that equal vectors tie and the smaller id wins.
@@ -77,13 +79,22 @@ class _TopHits:
         self.docs = np.empty(0, np.int64)
         self.scores = np.empty(0, np.float64)
         self.floor = np.full(len(ids), -np.inf)
+        self.seen = 0
 
     def add(self, docs: np.ndarray, vectors: np.ndarray) -> None:
+        at = 0
+        while at < len(docs):
+            step = slice(at, at + min(max(self.seen, LEAST_STEP, self.k), MOST_STEP))
+            self._score(docs[step], vectors[step])
+            self.seen += len(docs[step])
+            at = step.stop
+
+    def _score(self, docs: np.ndarray, vectors: np.ndarray) -> None:
         scores = self.vectors @ vectors.T
         if self.exclude_self:
             scores[self.ids[:, None] == docs[None, :]] = -np.inf
         # Rounding can lift a score by half a unit, so the test is one unit generous.
-        row, col = np.nonzero(scores >= np.maximum(self.floor - SCORE_UNIT, LOWEST)[:, None])
+        row, col = np.divmod(np.flatnonzero(scores >= np.maximum(self.floor - SCORE_UNIT, LOWEST)[:, None]), len(docs))
         if len(row) > 4 * self.k * len(self.ids) and len(docs) > self.k:
             kth = np.partition(scores, -self.k, axis=1)[:, -self.k]
             row, col = np.nonzero(scores >= np.maximum(kth - SCORE_UNIT, LOWEST)[:, None])
