@@ -7,10 +7,13 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from threadloom.session import checkpoint_dir, configure, materialize, scratch_path
+from threadloom import session
+from threadloom.session import checkpoint_dir, configure, scratch_path
 
 # Rows of an Arrow batch: long documents must not make a batch of gigabytes.
 BATCH_ROWS = 500
+# Spark's setting for shuffle files to go with the execution that made them.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -20,23 +23,45 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is written in the block go as soon as it is written, not when the driver next collects
+    its garbage. Only for tables that are read from their own files afterwards."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """``session.materialize``, without leaving shuffle files."""
+    with shuffles_freed(df.sparkSession):
+        return session.materialize(df.select("*"))  # planned anew: plans that are run again need their shuffle files
+
+
+def _write(df: DataFrame, path: str) -> DataFrame:
+    with shuffles_freed(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends here, executors may go."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _write(df, scratch_path(df.sparkSession, name))
 
 
 @contextmanager
 def temporary(spark: SparkSession) -> Iterator:
-    """Tables written with the given function go when the block ends, or with ``keep.drop(name)`` before."""
+    """Tables written with the given function go when the block ends, or with ``keep.drop(name)`` before. Where they
+    are small, a task reads several of their files, while a checkpoint takes a task for each of its partitions."""
     paths: list[tuple[str, str]] = []
 
     def keep(df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(spark, name)
         paths.append((name, path))
-        df.write.option("compression", "zstd").parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
+        return _write(df, path)
 
     def drop(*names: str) -> None:
         for entry in [x for x in paths if x[0] in names]:
@@ -79,4 +104,4 @@ def present(df: DataFrame) -> bool:
     return bool(df.take(1))
 
 
-__all__ = ["prepare", "stored", "temporary", "fresh", "low_hash", "held_out", "present", "materialize"]
+__all__ = ["prepare", "stored", "temporary", "fresh", "low_hash", "held_out", "present", "materialize", "shuffles_freed"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from threadloom.llm.common import materialize, present
+from threadloom.llm.common import materialize, present, temporary
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -16,22 +16,31 @@ def components(edges: DataFrame) -> DataFrame:
     and an equi-join that adaptive execution splits where a node has very many neighbours.
     """
     pairs = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    pairs = materialize(pairs)
-    if not present(pairs):
-        return pairs.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    before = None
-    while True:
-        both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("least")).withColumn("least", F.least("a", "least"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
-        # Nodes below all their neighbours keep their place through the neighbours' edges.
-        large = large.filter("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("least"))
-        small = large.join(least, "a").select(F.when(F.col("b") == F.col("least"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("least").alias("b"))
-        pairs = materialize(small.filter("a <> b").distinct())
-        now = pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        if now == before:
-            break
-        before = now
-    roots = pairs.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
-    return materialize(pairs.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots))
+    with temporary(edges.sparkSession) as keep:
+        turn = 0
+        pairs = keep(pairs, "pairs-0")
+        if not present(pairs):
+            return materialize(pairs.select(F.col("a").alias("node"), F.col("b").alias("component")))
+        before = _state(pairs)
+        while True:
+            both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            least = both.groupBy("a").agg(F.min("b").alias("least")).withColumn("least", F.least("a", "least"))
+            large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+            # Nodes below all their neighbours keep their place through the neighbours' edges.
+            large = large.filter("a <> b").distinct()
+            least = large.groupBy("a").agg(F.min("b").alias("least"))
+            small = large.join(least, "a").select(F.when(F.col("b") == F.col("least"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("least").alias("b"))
+            turn += 1
+            pairs = keep(small.filter("a <> b").distinct(), f"pairs-{turn}")
+            keep.drop(f"pairs-{turn - 1}")
+            now = _state(pairs)
+            if now == before:
+                break
+            before = now
+        roots = pairs.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
+        return materialize(pairs.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots))
+
+
+def _state(pairs: DataFrame) -> tuple:
+    """Equal for equal tables: the number of pairs and the sum of their hashes."""
+    return pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()

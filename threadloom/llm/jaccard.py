@@ -159,9 +159,10 @@ def _add_counters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _summed(chunks: DataFrame) -> Iterator[tuple[int, np.ndarray]]:
     """All tasks' counters together, chunk by chunk: (first place, counters). Dealt by chunk, each task sums whole ones."""
-    summed = chunks.repartition("chunk").mapInArrow(_add_counters, "chunk int, counters binary")
-    for r in summed.toLocalIterator():  # fixed size: the counters
-        yield r["chunk"] * CHUNK, np.frombuffer(r["counters"], np.uint8)
+    with temporary(chunks.sparkSession) as keep:
+        summed = keep(chunks.repartition("chunk").mapInArrow(_add_counters, "chunk int, counters binary"), "summed")
+        for r in summed.toLocalIterator():  # fixed size: the counters
+            yield r["chunk"] * CHUNK, np.frombuffer(r["counters"], np.uint8)
 
 
 def least_overlap(n: np.ndarray, percent: int) -> np.ndarray:
@@ -453,15 +454,17 @@ def similar_groups(
         classes = rows.filter("n > 0 and doc_id is not null").groupBy("cls", "n").agg(F.min("doc_id").alias("node"))
         classes = materialize(classes)
         sets = keep(_sets_of(source, members, classes, size), "sets")
-        stars = materialize(_star_blocks(members, percent))
-        likely = materialize(_compare(stars, sets, percent, _candidates, ("sketch", "beyond")))
-        first = materialize(_compare(stars.join(_ends(likely), ["cls", "n"], "left_semi"), sets, percent))
+        stars = keep(_star_blocks(members, percent, keep), "stars")
+        keep.drop("met")
+        likely = keep(_compare(stars, sets, percent, _candidates, ("sketch", "beyond")), "likely")
+        first = keep(_compare(stars.join(_ends(likely), ["cls", "n"], "left_semi"), sets, percent), "first")
+        keep.drop("stars", "likely")
         groups = components(_as_nodes(first, classes))
         opened = _open_blocks(members, classes, groups, percent, keep)
-        near = materialize(_compare(opened, sets, percent, _candidates, ("sketch", "beyond")))
+        near = keep(_compare(opened, sets, percent, _candidates, ("sketch", "beyond")), "near")
         keep.drop("members", "placed")
-        families = materialize(_family_blocks(near, classes, groups))
-        second = materialize(_compare(families, sets, percent))
+        families = keep(_family_blocks(near, classes, groups), "families")
+        second = keep(_compare(families, sets, percent), "second")
         if second.take(1):
             groups = components(_as_nodes(first.unionByName(second), classes))
         labelled = classes.join(groups, "node", "left").select("cls", "n", F.coalesce("component", "node").alias("component"))
@@ -478,8 +481,9 @@ def _hash_filter(hashes: DataFrame):
     words = words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
     bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
     view = bits.view("<i8")
-    for r in words.toLocalIterator():  # fixed size: the filter
-        view[r["word"]] = r["bits"]
+    with temporary(hashes.sparkSession) as keep:
+        for r in keep(words, "words").toLocalIterator():  # fixed size: the filter
+            view[r["word"]] = r["bits"]
     return hashes.sparkSession.sparkContext.broadcast(bits)
 
 
@@ -511,7 +515,7 @@ def _sets_of(source: DataFrame, members: DataFrame, classes: DataFrame, size: in
     return named.mapInArrow(_needed_sets(size, shared), "cls long, n long, grams binary, sketch binary, beyond long").filter("n > 0")
 
 
-def _star_blocks(members: DataFrame, percent: int) -> DataFrame:
+def _star_blocks(members: DataFrame, percent: int, keep) -> DataFrame:
     """Blocks of a pivot with the classes that meet it in the most lists."""
     ends = F.array(
         F.struct(F.col("low").alias("pivot"), F.col("n_low").alias("m")), F.struct(F.col("high").alias("pivot"), F.col("n_high").alias("m")))
@@ -520,7 +524,7 @@ def _star_blocks(members: DataFrame, percent: int) -> DataFrame:
     met = met.groupBy("cls", "n", "pivot", "m").agg(F.count("*").alias("lists"))
     best = Window.partitionBy("cls", "n").orderBy(F.desc("lists"), "pivot")
     met = met.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= PIVOTS)
-    met = materialize(met.select("cls", "n", "pivot", "m"))
+    met = keep(met.select("cls", "n", "pivot", "m"), "met")
     sizes = met.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     met = met.select("cls", "n", "pivot").unionByName(met.select(F.col("pivot").alias("cls"), F.col("m").alias("n"), "pivot")).distinct()
     placed = met.join(sizes, "pivot")
