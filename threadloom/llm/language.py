@@ -6,10 +6,12 @@ n-grams: the longest length of which any n-gram is known decides, down to single
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from threadloom.llm import kernels as K
@@ -44,18 +46,40 @@ class LanguageModel:
     gram_logs: np.ndarray
 
 
-def _table(rows, languages: list[str]) -> tuple[K.HashTable, np.ndarray]:
-    """Hash table and log frequencies by language from rows (lang, name, n)."""
-    names = sorted({r["name"] for r in rows})
-    place = {name: i for i, name in enumerate(names)}
-    column = {lang: i for i, lang in enumerate(languages)}
-    counts = np.zeros((len(names), len(languages)))
-    for r in rows:
-        counts[place[r["name"]], column[r["lang"]]] += r["n"]
-    raw, at = K.text_buffer(pa.array(names, pa.string()))
+@dataclass
+class Counts:
+    """Rows (lang, name, n) with each lang and name once, held as Arrow columns: as Python rows they take a
+    multiple of the driver's memory and leave holes in it. Who iterates gets them as dicts, a batch at a time."""
+
+    columns: pa.Table
+
+    @classmethod
+    def of(cls, df: DataFrame) -> Counts:
+        return cls(df.select("lang", "name", "n").toArrow())
+
+    def __iter__(self) -> Iterator[dict]:
+        for batch in self.columns.to_batches(max_chunksize=1000):
+            yield from batch.to_pylist()
+
+    def languages(self) -> set[str]:
+        return set(self.columns["lang"].unique().to_pylist())
+
+
+def _table(rows: Counts, languages: list[str]) -> tuple[K.HashTable, np.ndarray]:
+    """Hash table and log frequencies by language; names in their order."""
+    coded = rows.columns["name"].combine_chunks().dictionary_encode()
+    order = pa.compute.sort_indices(coded.dictionary)
+    names = coded.dictionary.take(order)
+    place = np.empty(len(names), np.int64)
+    place[order.to_numpy()] = np.arange(len(names))
+    column = pa.compute.index_in(rows.columns["lang"], pa.array(languages, rows.columns["lang"].type))
+    logs = np.zeros((len(names), len(languages)))
+    logs[place[coded.indices.to_numpy()], column.to_numpy()] = rows.columns["n"].to_numpy()
+    total = logs.sum(0)
+    logs = np.log(logs + 0.5) - np.log(total + 0.5 * max(1, len(names)))
+    raw, at = K.text_buffer(names)
     table = K.HashTable()
     table.insert(K.span_hashes(raw, at[:-1], at[1:]))
-    logs = np.log(counts + 0.5) - np.log(counts.sum(0) + 0.5 * max(1, len(names)))
     return table, logs.astype(np.float32)
 
 
@@ -86,16 +110,16 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
         F.col("_lang").alias("lang"), "text")
     words = sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(_WORD_PATTERN), F.lit(0))).alias("name"))
     counted = words.groupBy("lang", "name").agg(F.count("*").alias("n")).persist()
-    listed = counted.filter(F.col("n") >= LEAST_COUNT).collect()
+    listed = Counts.of(counted.filter(F.col("n") >= LEAST_COUNT))
     # A part has the n-grams that begin in its first PART characters; what follows lets them end.
     parts = counted.select("lang", "n", F.explode(F.transform(F.sequence(F.lit(1), F.length("name"), F.lit(PART)), lambda i: F.substr(
         F.col("name"), i, F.lit(PART + LONGEST - 1)))).alias("part"))
     spans = F.flatten(F.transform(F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.length("part"))), lambda k: F.transform(
         F.sequence(F.lit(1), F.least(F.lit(PART), F.length("part") - k + 1)), lambda i: F.substr(F.col("part"), i, k))))
     grams = parts.select("lang", "n", F.explode(spans).alias("name"))
-    pieces = grams.groupBy("lang", "name").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_COUNT).collect()
+    pieces = Counts.of(grams.groupBy("lang", "name").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_COUNT))
     counted.unpersist()
-    languages = sorted({r["lang"] for r in pieces} | {r["lang"] for r in listed})
+    languages = sorted(pieces.languages() | listed.languages())
     return LanguageModel(languages, *_table(listed, languages), *_table(pieces, languages))
 
 
