@@ -25,9 +25,9 @@ def components(edges: DataFrame) -> DataFrame:
         while True:
             both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
             least = both.groupBy("a").agg(F.min("b").alias("least")).withColumn("least", F.least("a", "least"))
-            large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
-            # Nodes below all their neighbours keep their place through the neighbours' edges.
-            large = large.filter("a <> b").distinct()
+            # In each pair a is the larger. Nodes below all their neighbours keep their place through the neighbours' edges.
+            large = pairs.select(F.col("b").alias("a"), F.col("a").alias("b")).join(least, "a")
+            large = large.select(F.col("b").alias("a"), F.col("least").alias("b")).filter("a <> b")
             least = large.groupBy("a").agg(F.min("b").alias("least"))
             small = large.join(least, "a").select(F.when(F.col("b") == F.col("least"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("least").alias("b"))
             turn += 1

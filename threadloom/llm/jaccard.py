@@ -1,9 +1,11 @@
 """Similarity join of documents on word shingles by T-occurrence search.
 
 Documents whose Jaccard similarity reaches the threshold share at least T of their n shingles, so of
-the n - T + 1 rarest one at least. Equal sets are one class from the start. Three steps follow:
+the n - T + 1 rarest one at least, and of the n - T + k rarest k. Equal sets are one class from the
+start. Three steps follow:
 
-1. Every class lists its rarest shingles. Of each inverted list only the smallest and the largest
+1. Every class lists its rarest shingles, as far as other documents have listed them too; classes of
+   which fewer than k of the n - T + k are left go. Of each inverted list only the smallest and the largest
    member are taken as pivots, and every class is compared with its pivots and with the others of
    its pivot: rows grow with the lists, not with their squares, and copies come together here.
 2. Lists whose members are not all connected by then are compared in full, in blocks: all members
@@ -22,24 +24,34 @@ the long ones by binary search. A block sends on a spanning forest of its links.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from threadloom.llm import kernels as K
-from threadloom.llm.common import materialize, prepare, temporary
+from threadloom.llm.common import BATCH_ROWS, materialize, prepare, temporary
 from threadloom.llm.components import components
 
-# Counters for the order of shingles by frequency, as many as the text asks for within these bounds.
-# Any counters give right results; a counter is one byte and stops at 255, so the bound is that of a
-# broadcast of 64 MB. A shingle whose counter says 1 is in no other document and needs no list.
-LEAST_COUNTER_BITS, MOST_COUNTER_BITS = 18, 26
-CHUNK = 1 << LEAST_COUNTER_BITS
+# Counters for the order of shingles by frequency. Any counters give right results; these tell shingles that very
+# many documents hold, which come last, from all the others. A shingle whose counter says 1 is in no other document
+# and needs no list.
+COUNTER_BITS = 20
+CHUNK = 1 << 18
 FULL = 255
+# Sums of counters are exact up to here; beyond, FULL stands for 2^20 times as much.
+EXACT = 16
+# Of the T shingles that a set shares at least, one in SPARE has to be among those that it lists.
+SPARE = 8
+# Postings that are compared at once, in memory; more make more parts, up to 2^15.
+PART = 1 << 19
+# Postings and documents of a task that are dealt to the parts at once.
+DEALT, DEALT_DOCS = 1 << 21, 1 << 15
 # Texts of so many bytes are worked on at once: what a task holds beside its counters is some 40 times as much.
 SLICE_BYTES = 500_000
 # Bits of the table that says which posted shingles are posted again; about 16 for each posting within these bounds.
@@ -48,10 +60,14 @@ LEAST_AGAIN_BITS, MOST_AGAIN_BITS = 18, 26
 PIVOTS = 2
 # Classes in one side of a block.
 BLOCK = 256
+# Rows of a small block: many of these are looked at together, all pairs of each; and bytes of sketches compared at once.
+SMALL, COMPARED = 128, 1 << 23
 # Bits of the filter for classes whose sets are needed; false hits only cost their rows.
 FILTER_BITS = 23
 # The weight of a binary search against a merge step, in the choice of long lists.
 SKIP_WEIGHT = 0.01
+# Members looked up in long lists at once.
+SEARCHED = 1 << 18
 
 WORD = np.ones(256, bool)
 WORD[[32, 9, 10, 11, 12, 13]] = False
@@ -65,20 +81,32 @@ def shingle_sets(raw: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray
     raw = K.LOWER[raw]
     starts, ends = K.runs(raw, at, WORD)
     words = K.span_hashes(raw, starts, ends)
-    rows = K.rows_of(starts, at)
-    counts = K.row_counts(rows, len(at) - 1)
-    parts = [K.grams(words, counts, size)]
-    for fewer in range(1, size):
-        values, first = K.grams(words, counts, fewer)
-        own = counts[rows[first]] == fewer
-        parts.append((values[own], first[own]))
-    values = np.concatenate([p[0] for p in parts])
-    owner = rows[np.concatenate([p[1] for p in parts])] if len(rows) else np.empty(0, np.int64)
-    order = np.lexsort((values, owner))
-    values, owner = values[order], owner[order]
+    begin = np.searchsorted(starts, at)
+    counts = np.diff(begin)
+    per = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
+    stop = np.cumsum(per)
+    values, _ = K.grams(words, counts, size)
+    if len(values) < (stop[-1] if len(stop) else 0):
+        long_ = values
+        values = np.empty(stop[-1], np.uint64)
+        values[np.repeat(counts >= size, per)] = long_
+        for fewer in range(1, size):
+            rows = np.flatnonzero(counts == fewer)
+            values[stop[rows] - 1] = K.grams(words[K.spread(begin[rows], counts[rows])], counts[rows], fewer)[0]
+    _sort_rows(values, per)
     fresh = np.ones(len(values), bool)
-    fresh[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
-    return values[fresh], K.row_counts(owner[fresh], len(at) - 1)
+    fresh[1:] = values[1:] != values[:-1]
+    fresh[(stop - per)[per > 0]] = True
+    kept = np.concatenate([[0], np.cumsum(fresh)])
+    return values[fresh], kept[stop] - kept[stop - per]
+
+
+def _sort_rows(values: np.ndarray, counts: np.ndarray) -> None:
+    """Sort each row of values, which lie end to end, in place."""
+    ends = np.cumsum(counts)
+    some = counts > 1
+    for a, z in zip((ends - counts)[some].tolist(), ends[some].tolist()):
+        values[a:z].sort()
 
 
 def _classes(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -122,6 +150,17 @@ def _chunks(counters: np.ndarray) -> Iterator[tuple[int, bytes]]:
             yield number, _pack_counters(part)
 
 
+def _counter(values: np.ndarray, bits: int) -> np.ndarray:
+    """The counter of each shingle; by other bits than those that deal postings to parts."""
+    return (values & np.uint64((1 << bits) - 1)).astype(np.int64)
+
+
+def _level(sums: np.ndarray) -> np.ndarray:
+    """Sums as bytes: exact up to EXACT, then their logarithm."""
+    beyond = EXACT + (FULL - EXACT) / 20 * np.log2(np.maximum(sums, EXACT) / EXACT)
+    return np.where(sums <= EXACT, sums, np.minimum(beyond, FULL)).astype(np.uint8)
+
+
 def _describe(size: int, bits: int):
     """One row per document, and the shingle counters of the task that are not 0, in chunks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,7 +169,7 @@ def _describe(size: int, bits: int):
             kind = batch.column(0).type
             for first, end, raw, at in K.slices(batch.column(1), SLICE_BYTES):
                 values, counts = shingle_sets(raw, at, size)
-                _count(counters, (values >> np.uint64(64 - bits)).astype(np.int64))
+                _count(counters, _counter(values, bits))
                 n = end - first
                 yield pa.record_batch({
                     "doc_id": batch.column(0).slice(first, n), "n": pa.array(counts), "cls": pa.array(_classes(values, counts)),
@@ -151,14 +190,13 @@ def _add_counters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for number, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            part = _unpack_counters(data, CHUNK).astype(np.uint16)
-            sums[number] = np.minimum(sums.get(number, 0) + part, FULL).astype(np.uint8)
+            sums[number] = sums.get(number, 0) + _unpack_counters(data, CHUNK).astype(np.int64)
     for number, total in sums.items():
-        yield pa.record_batch({"chunk": pa.array([number], pa.int32()), "counters": pa.array([total.tobytes()], pa.binary())})
+        yield pa.record_batch({"chunk": pa.array([number], pa.int32()), "counters": pa.array([_level(total).tobytes()], pa.binary())})
 
 
 def _summed(chunks: DataFrame) -> Iterator[tuple[int, np.ndarray]]:
-    """All tasks' counters together, chunk by chunk: (first place, counters). Dealt by chunk, each task sums whole ones."""
+    """All tasks' counters together as levels, chunk by chunk: (first place, levels). Dealt by chunk, each task sums whole ones."""
     with temporary(chunks.sparkSession) as keep:
         summed = keep(chunks.repartition("chunk").mapInArrow(_add_counters, "chunk int, counters binary"), "summed")
         for r in summed.toLocalIterator():  # fixed size: the counters
@@ -170,36 +208,154 @@ def least_overlap(n: np.ndarray, percent: int) -> np.ndarray:
     return -(-n * percent // 100)
 
 
-def _postings(size: int, percent: int, bits: int, shared):
-    """(shingle, class, size) for the rarest shingles of each class, once per class and task."""
+def listed(n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many of its rarest shingles a set of n lists, and how many of these it shares at least with any set it links to.
+
+    With c shingles in common, both sets list the first c - g(n) of them if both list n - g(n), for any g
+    that never falls, and n of the larger. c is T of the larger set at least; g is 7/8 of T, rounded down,
+    so an eighth of T, rounded up, is left over for the larger set and thus for the smaller.
+    """
+    return n - n * percent * (SPARE - 1) // (100 * SPARE), -(-n * percent // (100 * SPARE))
+
+
+class _Dealer:
+    """Deals the postings of classes to parts: a row per part and block of classes with the shingles and the classes'
+    numbers in the block, twice as high and 1 more where the shingle is among the n - T + 1 rarest. Then a row per block
+    with the names and sizes of its classes, on a part below 0."""
+
+    def __init__(self):
+        self.task, self.blocks, self.held = TaskContext.get().partitionId(), 0, []
+        self.docs = self.postings = 0
+
+    def add(self, names: np.ndarray, n: np.ndarray, per: np.ndarray, shingles: np.ndarray, early: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Classes with ``per`` shingles each, end to end; the part of a shingle is in its bits from 32 on."""
+        ends = np.concatenate([[0], np.cumsum(per)])
+        for a in range(0, len(n), DEALT_DOCS):
+            z = min(a + DEALT_DOCS, len(n))
+            if self.docs + z - a > DEALT_DOCS or self.postings > DEALT:
+                yield from self.deal()
+            self.held.append((names[a:z], n[a:z], per[a:z], shingles[ends[a] : ends[z]], early[ends[a] : ends[z]]))
+            self.docs, self.postings = self.docs + z - a, self.postings + int(ends[z] - ends[a])
+
+    def deal(self) -> Iterator[pa.RecordBatch]:
+        if not self.docs:
+            return
+        names, n, per, shingles, early = (np.concatenate(x) for x in zip(*self.held))
+        number = np.repeat(np.arange(len(names), dtype=np.uint16), per) << 1 | early
+        part = (shingles >> 32).astype(np.uint16)
+        order = np.argsort(part, kind="stable")
+        counts = np.bincount(part)
+        some = np.flatnonzero(counts)
+        meta = pa.array([names.tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary())
+        yield pa.record_batch({
+            "part": pa.array([*some.tolist(), -1 - self.task], pa.int32()),
+            "block": pa.array(np.full(len(some) + 1, self.task << 32 | self.blocks)),
+            "keys": pa.concat_arrays([K.binary_column(shingles[order].astype(np.uint32), counts[some]), meta[0]]),
+            "docs": pa.concat_arrays([K.binary_column(number[order], counts[some]), meta[1]]),
+        })
+        self.blocks, self.docs, self.postings = self.blocks + 1, 0, 0
+        self.held.clear()
+
+
+def _postings(size: int, percent: int, bits: int, part_bits: int, shared):
+    """The rarest shingles of each class, once per class and task, dealt to 2^part_bits parts by hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: set[tuple[int, int]] = set()
+        dealer, known = _Dealer(), set()
         for batch in batches:
             for _, _, raw, at in K.slices(batch.column(0), SLICE_BYTES):
-                values, counts = shingle_sets(raw, at, size)
-                names = _classes(values, counts)
-                fresh = np.zeros(len(counts), bool)
-                for i, pair in enumerate(zip(names.tolist(), counts.tolist())):
+                values, n = shingle_sets(raw, at, size)
+                names = _classes(values, n)
+                fresh = np.zeros(len(n), bool)
+                for i, pair in enumerate(zip(names.tolist(), n.tolist())):
                     if pair[1] and pair not in known:
                         known.add(pair)
                         fresh[i] = True
                 if len(known) > 500_000:
                     known.clear()
-                rows = np.repeat(np.arange(len(counts)), counts)
-                often = shared.value[(values >> np.uint64(64 - bits)).astype(np.int64)]
-                order = np.lexsort((values, often, rows))
-                rank = np.arange(len(values)) - (np.cumsum(counts) - counts)[rows]
-                keep = fresh[rows] & (rank < (counts - least_overlap(counts, percent) + 1)[rows])
-                keep &= often[order] > 1  # others hold it too, or may
-                chosen = rows[keep]
+                often = shared.value[_counter(values, bits)].astype(np.uint64)
+                keys = often << np.uint64(56) | values >> np.uint64(8)
+                _sort_rows(keys, n)
+                rows = np.repeat(np.arange(len(n)), n)
+                rank = np.arange(len(keys)) - (np.cumsum(n) - n)[rows]
+                most, least = listed(n, percent)
+                chosen = (rank < most[rows]) & (keys >> np.uint64(56) > 1)  # others hold it too, or may
+                fresh &= np.bincount(rows[chosen], minlength=len(n)) >= least
+                chosen &= fresh[rows]
+                early = (rank <= (n - least_overlap(n, percent))[rows])[chosen].astype(np.uint16)
+                keys, rows = keys[chosen].view(np.int64), rows[chosen]
+                part = (keys >> (48 - part_bits)) & ((1 << part_bits) - 1)
+                own = np.flatnonzero(fresh)
+                per = np.bincount(rows, minlength=len(n))[own]
+                yield from dealer.add(names[own], n[own], per, part << 32 | keys & 0xFFFFFFFF, early)
+        yield from dealer.deal()
+
+    return run
+
+
+def _runs_of(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[int, list[dict]]]:
+    """Rows that come sorted by a column, one value of it after the other."""
+    rows = (row for batch in batches for row in batch.to_pylist())
+    return ((value, list(some)) for value, some in itertools.groupby(rows, lambda row: row[column]))
+
+
+def _listed_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The postings of each part whose shingle is there twice; rows of blocks pass."""
+    for part, some in _runs_of(batches, "part"):
+        if part >= 0:
+            keys = [np.frombuffer(row["keys"], np.uint32) for row in some]
+            every = np.concatenate(keys)
+            order = np.argsort(every)
+            same = every[order[1:]] == every[order[:-1]]
+            again = np.zeros(len(every), bool)
+            again[order[1:][same]] = again[order[:-1][same]] = True
+            for row, own, keep in zip(some, keys, np.split(again, np.cumsum([len(x) for x in keys])[:-1])):
+                row["keys"], row["docs"] = own[keep].tobytes(), np.frombuffer(row["docs"], np.uint16)[keep].tobytes()
+        if some := [row for row in some if row["keys"]]:
+            yield pa.RecordBatch.from_pylist(some, _DEALT)
+
+
+def _likely_classes(percent: int):
+    """The classes of each block that share as many listed shingles as a link asks for, with those of the n - T + 1 rarest."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, some in _runs_of(batches, "block"):
+            [meta] = [row for row in some if row["part"] < 0]
+            names, n = (np.frombuffer(meta[x], np.int64) for x in ("keys", "docs"))
+            parts = [row for row in some if row["part"] >= 0]
+            if not parts:
+                continue
+            shingles = np.concatenate([np.frombuffer(row["keys"], np.uint32).astype(np.int64) | row["part"] << 32 for row in parts])
+            docs = np.concatenate([np.frombuffer(row["docs"], np.uint16) for row in parts])
+            owner = docs >> 1
+            likely = np.bincount(owner, minlength=len(n)) >= listed(n, percent)[1]
+            keep = np.flatnonzero(likely[owner] & (docs & 1 == 1))
+            keep = keep[np.argsort(owner[keep], kind="stable")]
+            shingles, counts = shingles[keep], np.bincount(owner[keep], minlength=len(n))
+            own = np.flatnonzero(counts)
+            ends = np.concatenate([[0], np.cumsum(counts[own])])
+            for a in range(0, len(own), BATCH_ROWS):
+                z = min(a + BATCH_ROWS, len(own))
                 yield pa.record_batch({
-                    "shingle": pa.array(values[order][keep].view(np.int64)), "cls": pa.array(names[chosen]),
-                    "n": pa.array(counts[chosen]),
-                })
+                    "cls": pa.array(names[own[a:z]]), "n": pa.array(n[own[a:z]]), "shingles": pa.ListArray.from_arrays(
+                        pa.array(ends[a : z + 1] - ends[a], pa.int32()), pa.array(shingles[ends[a] : ends[z]]))})
 
     return run
 
 
+_DEALT = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("docs", pa.binary())])
+
+
+def _likely_postings(texts: DataFrame, size: int, percent: int, bits: int, shared, shingles: int) -> DataFrame:
+    """(shingle, class, size) for the rarest shingles of each class that may link. All listed shingles are compared, in
+    parts of bounded size; only what is listed twice goes back to its class."""
+    part_bits = min(15, (shingles // PART).bit_length())
+    schema = "part int, block long, keys binary, docs binary"
+    dealt = texts.mapInArrow(_postings(size, percent, bits, part_bits, shared), schema)
+    again = dealt.repartition("part").sortWithinPartitions("part").mapInArrow(_listed_again, schema)
+    likely = again.repartition("block").sortWithinPartitions("block").mapInArrow(
+        _likely_classes(percent), "cls long, n long, shingles array<long>")
+    return likely.dropDuplicates(["cls", "n"]).select(F.explode("shingles").alias("shingle"), "cls", "n")
+
+
 def _count_postings(bits: int):
     """The counters of a task's posted shingles; by other bits of a shingle than those that have chosen it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,6 +432,8 @@ def t_occurrence(queries: Iterable[np.ndarray], index: list[np.ndarray], percent
     keys, begin = np.unique(grams, return_index=True)
     lengths = np.diff(np.concatenate([begin, [len(grams)]]))
     longest = int(lengths.max()) if len(lengths) else 1
+    # All lists end to end, by number of the list and member: one search looks up many members in many lists.
+    entries = np.repeat(np.arange(len(keys)) * len(index), lengths) + owners
     for query in queries:
         n = len(query)
         least = int(least_overlap(np.array(n), percent))
@@ -292,10 +450,11 @@ def t_occurrence(queries: Iterable[np.ndarray], index: list[np.ndarray], percent
         some = np.flatnonzero(fits)
         if len(some):
             shared = counts[some]
-            for k in long_.tolist():
-                members = owners[begin[k] : begin[k] + lengths[k]]
-                where = np.searchsorted(members, some)
-                shared = shared + (members[np.minimum(where, len(members) - 1)] == some)
+            step = max(1, SEARCHED // len(some))
+            for a in range(0, len(long_), step):
+                asked = long_[a : a + step, None] * len(index) + some
+                where = np.searchsorted(entries, asked)
+                shared = shared + (entries[np.minimum(where, len(entries) - 1)] == asked).sum(axis=0)
             some = some[100 * shared >= percent * (n + sizes[some] - shared)]
         yield some
 
@@ -372,42 +531,101 @@ def _candidates(table: pa.Table, percent: int) -> list[tuple[int, int, int, int]
     return edges
 
 
-def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The blocks of a task, one after the other: rows come sorted by block."""
+def _near_rows(table: pa.Table, begin: np.ndarray, percent: int) -> np.ndarray:
+    """``_candidates`` of many small blocks at once, over all pairs of each. ``begin`` has the first row of each block,
+    and the number of rows."""
+    names, n, beyond = (table[x].to_numpy() for x in ("cls", "n", "beyond"))
+    asked = table["query"].to_numpy(zero_copy_only=False)
+    label = table["component"].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    bits = sketch_bits(n)
+    data = table["sketch"].combine_chunks().cast(pa.large_binary())
+    _, offsets, raw = data.buffers()
+    at = np.frombuffer(offsets, np.int64)[data.offset : data.offset + len(data) + 1]
+    raw = np.frombuffer(raw, np.uint8)
+    after = np.repeat(begin[1:], np.diff(begin)) - np.arange(len(n)) - 1
+    a, b = np.repeat(np.arange(len(n)), after), K.spread(np.arange(len(n)) + 1, after)
+    near = (label[a] != label[b]) & (asked[a] | asked[b])
+    near &= 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
+    a, b = a[near], b[near]
+    a, b = np.where(bits[a] <= bits[b], a, b), np.where(bits[a] <= bits[b], b, a)
+    found = []
+    for level in np.unique(bits[a]).tolist():
+        for wider in (0, 1):
+            some = np.flatnonzero((bits[a] == level) & (bits[b] == level + wider))
+            for some in np.array_split(some, (len(some) << level) // COMPARED + 1):
+                x = raw[K.spread(at[a[some]], at[a[some] + 1] - at[a[some]])].reshape(len(some), 1 << level)
+                y = raw[K.spread(at[b[some]], at[b[some] + 1] - at[b[some]])]
+                y = y.reshape(len(some), 1 << level, 1 << wider).sum(axis=2, dtype=np.uint16)
+                most = np.minimum(x, y).sum(axis=1, dtype=np.int64) + np.minimum(beyond[a[some]], beyond[b[some]])
+                found.append(some[100 * most >= percent * (n[a[some]] + n[b[some]] - most)])
+    some = np.concatenate(found) if found else np.empty(0, np.int64)
+    family, forest = list(range(len(n))), []
+    for i, x, y in zip(some.tolist(), a[some].tolist(), b[some].tolist()):
+        while family[x] != x:
+            family[x] = x = family[family[x]]
+        while family[y] != y:
+            family[y] = y = family[family[y]]
+        if x != y:
+            family[x] = y
+            forest.append(i)
+    some = np.array(forest, np.int64)
+    return np.unique(np.stack([names[a[some]], n[a[some]], names[b[some]], n[b[some]]], axis=1), axis=0)
+
+
+def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Runs of whole blocks, with the first row of each and the number of rows: rows come sorted by block. A block that
+    lies in several batches comes alone."""
     held: list[pa.Table] = []
     current = None
+
+    def alone() -> tuple[pa.Table, np.ndarray]:
+        table = pa.concat_tables(held)
+        held.clear()
+        return table, np.array([0, len(table)])
+
     for batch in batches:
+        if not batch.num_rows:
+            continue
         keys = np.stack([batch.column(x).to_numpy() for x in ("list", "i", "j")])
         change = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
         table = pa.Table.from_batches([batch])
-        for a, z in zip([0, *change.tolist()], [*change.tolist(), batch.num_rows]):
-            if a == z:
-                continue
-            block = tuple(keys[:, a].tolist())
-            if held and block != current:
-                yield pa.concat_tables(held)
-                held.clear()
-            held.append(table.slice(a, z - a))
-            current = block
+        if held and tuple(keys[:, 0].tolist()) != current:
+            yield alone()
+        begin = np.concatenate([[0], change])
+        if held and len(begin) > 1:
+            held.append(table.slice(0, begin[1]))
+            yield alone()
+            begin = begin[1:]
+        if len(begin) > 1:
+            yield table.slice(begin[0], begin[-1] - begin[0]), begin - begin[0]
+        held.append(table.slice(begin[-1]))
+        current = tuple(keys[:, -1].tolist())
     if held:
-        yield pa.concat_tables(held)
+        yield alone()
 
 
-def _pairs_of_blocks(pairs, percent: int):
-    """The pairs that ``pairs`` finds in each block."""
+def _pairs_of_blocks(pairs, percent: int, small=None):
+    """The pairs that ``pairs`` finds in each block, or ``small`` in all the small ones of a run."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges: list[tuple[int, int, int, int]] = []
 
-        def out() -> pa.RecordBatch:
-            columns = np.array(edges, np.int64).reshape(-1, 4).T
-            edges.clear()
+        def out(found) -> pa.RecordBatch:
+            columns = np.array(found, np.int64).reshape(-1, 4).T
             return pa.record_batch(dict(zip(("cls_a", "n_a", "cls_b", "n_b"), map(pa.array, columns))))
 
-        for block in _by_block(batches):
-            edges += pairs(block, percent)
+        for table, begin in _whole_blocks(batches):
+            sizes = np.diff(begin)
+            few = (sizes <= SMALL) & (small is not None)
+            if few.any():
+                rows = K.spread(begin[:-1][few], sizes[few])
+                some = table if few.all() else table.take(rows)
+                yield out(small(some, np.concatenate([[0], np.cumsum(sizes[few])]), percent))
+            for a, m in zip(begin[:-1][~few].tolist(), sizes[~few].tolist()):
+                edges += pairs(table.slice(a, m), percent)
             if len(edges) > 1000:
-                yield out()
-        yield out()
+                yield out(edges)
+                edges.clear()
+        yield out(edges)
 
     return run
 
@@ -433,8 +651,7 @@ def similar_groups(
     ])
     texts = source.filter("doc_id is not null").select("text")
     with temporary(spark) as keep:
-        length = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        bits = min(MOST_COUNTER_BITS, max(LEAST_COUNTER_BITS, (length // 8).bit_length()))
+        bits = COUNTER_BITS
         described = keep(source.mapInArrow(_describe(size, bits), described_schema), "described")
         rows = described.filter("chunk is null").select("doc_id", "n", "cls")
         chunks = described.filter("chunk is not null").select("chunk", "counters")
@@ -442,7 +659,9 @@ def similar_groups(
         for at, part in _summed(chunks):
             counters[at : at + len(part)] = part
         shared = spark.sparkContext.broadcast(counters)
-        postings = keep(texts.mapInArrow(_postings(size, percent, bits, shared), "shingle long, cls long, n long"), "postings")
+        shingles = rows.agg(F.sum("n")).first()[0] or 0
+        lists, _ = listed(np.array(shingles), percent)
+        postings = keep(_likely_postings(texts, size, percent, bits, shared, int(lists)), "postings")
         shared.destroy()
         del counters, shared
         postings = _posted_again(postings)
@@ -460,14 +679,18 @@ def similar_groups(
         first = keep(_compare(stars.join(_ends(likely), ["cls", "n"], "left_semi"), sets, percent), "first")
         keep.drop("stars", "likely")
         groups = components(_as_nodes(first, classes))
-        opened = _open_blocks(members, classes, groups, percent, keep)
+        labelled = classes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        labelled = keep(labelled.select("cls", "n", "node", "component"), "labelled")
+        opened = _open_blocks(members, labelled, percent, keep)
         near = keep(_compare(opened, sets, percent, _candidates, ("sketch", "beyond")), "near")
         keep.drop("members", "placed")
-        families = keep(_family_blocks(near, classes, groups), "families")
+        families = keep(_family_blocks(near, labelled), "families")
         second = keep(_compare(families, sets, percent), "second")
+        labelled = labelled.select("cls", "n", "component")
         if second.take(1):
-            groups = components(_as_nodes(first.unionByName(second), classes))
-        labelled = classes.join(groups, "node", "left").select("cls", "n", F.coalesce("component", "node").alias("component"))
+            joined = components(_as_nodes(second, labelled.withColumnRenamed("component", "node")))
+            joined = joined.select(F.col("node").alias("component"), F.col("component").alias("root"))
+            labelled = labelled.join(joined, "component", "left").select("cls", "n", F.coalesce("root", "component").alias("component"))
         own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
         result = rows.join(labelled, ["cls", "n"], "left").select(
             F.col("doc_id").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"))
@@ -477,7 +700,7 @@ def similar_groups(
 def _hash_filter(hashes: DataFrame):
     """A broadcast bit table of the hashes ``h``; its size is fixed, whatever their number."""
     place = F.shiftrightunsigned("h", 64 - FILTER_BITS).cast("int")
-    words = hashes.select((place / 64).cast("int").alias("word"), (place % 64).alias("bit")).distinct()
+    words = hashes.select((place / 64).cast("int").alias("word"), (place % 64).alias("bit"))
     words = words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
     bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
     view = bits.view("<i8")
@@ -537,9 +760,9 @@ def _star_blocks(members: DataFrame, percent: int, keep) -> DataFrame:
         F.lit(True).alias("query"), F.xxhash64("cls", "n").cast("string").alias("component"))
 
 
-def _open_blocks(members: DataFrame, classes: DataFrame, groups: DataFrame, percent: int, keep) -> DataFrame:
+def _open_blocks(members: DataFrame, labelled: DataFrame, percent: int, keep) -> DataFrame:
     """Blocks of the lists whose members are in several components."""
-    labelled = classes.join(groups, "node", "left").select("cls", "n", F.coalesce("component", "node").cast("string").alias("component"))
+    labelled = labelled.select("cls", "n", F.col("component").cast("string").alias("component"))
     placed = members.select("shingle", "cls", "n").join(labelled, ["cls", "n"])
     placed = keep(placed.withColumn("mark", F.xxhash64("component")), "placed")
     lists = placed.groupBy("shingle").agg(
@@ -567,11 +790,10 @@ def _open_blocks(members: DataFrame, classes: DataFrame, groups: DataFrame, perc
         F.col("shingle").alias("list"), "place.i", "place.j", "cls", "n", "place.query", "component")
 
 
-def _family_blocks(near: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
+def _family_blocks(near: DataFrame, labelled: DataFrame) -> DataFrame:
     """Blocks of the classes that candidate pairs connect: every two of a family meet."""
-    families = components(_as_nodes(near, classes)).select("node", F.col("component").alias("family"))
-    labelled = families.join(classes, "node").join(groups, "node", "left")
-    labelled = labelled.select("family", "cls", "n", F.coalesce("component", "node").cast("string").alias("component"))
+    families = components(_as_nodes(near, labelled)).select("node", F.col("component").alias("family"))
+    labelled = families.join(labelled, "node").select("family", "cls", "n", F.col("component").cast("string").alias("component"))
     lanes = labelled.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("lanes"))
     lane = F.pmod(F.xxhash64("cls", "n"), F.col("lanes")).cast("int")
     met = F.transform(F.sequence(F.lit(0), F.col("lanes") - 1), lambda x: F.struct(F.least(lane, x).alias("i"), F.greatest(lane, x).alias("j")))
@@ -586,7 +808,7 @@ def _compare(blocks: DataFrame, sets: DataFrame, percent: int, pairs=_link_block
         source = source.select(F.xxhash64("cls", "n").alias("h"), *source.columns).mapInArrow(_passing(shared), source.schema)
     filled = blocks.join(source, ["cls", "n"])
     dealt = filled.repartition("list", "i", "j").sortWithinPartitions("list", "i", "j")
-    return dealt.mapInArrow(_pairs_of_blocks(pairs, percent), _EDGES).distinct()
+    return dealt.mapInArrow(_pairs_of_blocks(pairs, percent, _near_rows if pairs is _candidates else None), _EDGES).distinct()
 
 
 def _as_nodes(edges: DataFrame, classes: DataFrame) -> DataFrame:
